@@ -1,0 +1,5 @@
+"""Intentionally empty: every source this toolkit covers is a bounded table.
+
+The look-back "windows" of :mod:`trolley.operators.rfm` are horizons counted back
+from a reference date, not streaming windows.
+"""
