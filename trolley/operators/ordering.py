@@ -106,3 +106,33 @@ def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hou
     return (inside.join(carried, [*keys, "_slice"])
             .select(*keys, F.col("_ts").alias(ts), "rows",
                     F.slice(F.concat("_near", "_carry"), 1, depth).alias("prior")))
+
+
+def dense_rank_in_key(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
+                      name: str = "rank") -> DataFrame:
+    """Dense rank of a value within its key, for keys of any size.
+
+    The distinct (key, value) pairs are numbered over the whole table; a key's ranks are its
+    numbers less its first one.
+    """
+    keys = list(keys)
+    order = [F.col(k) for k in keys] + [F.col(value).desc() if descending else F.col(value).asc()]
+    numbered = number_rows(df.select(*keys, value).distinct(), order, "_no")
+    firsts = numbered.groupBy(*keys).agg(F.min("_no").alias("_first"))
+    ranks = numbered.join(firsts, keys).select(*keys, value, (F.col("_no") - F.col("_first") + 1).alias(name))
+    return df.join(ranks, [*keys, value])
+
+
+def forward_fill(df: DataFrame, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+    """Replace NULL by the closest earlier value in a total order over the whole table."""
+    parts = _range_parts(df, order)
+    ends = parts.groupBy("_part").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_slot"))).alias(c) for c in columns])
+    earlier_parts = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select("_part", *[F.last(c, True).over(earlier_parts).alias(f"_carry_{c}") for c in columns])
+    so_far = W.partitionBy("_part").orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
+    filled = parts.select(
+        *[F.last(c, True).over(so_far).alias(c) if c in columns else F.col(c) for c in parts.columns])
+    return (filled.join(F.broadcast(carried), "_part")
+            .select(*[F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) if c in columns else F.col(c)
+                      for c in df.columns]))
