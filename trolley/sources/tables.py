@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+# Fixed value: CSV times keep their microseconds.
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 TRANSACTIONS = T.StructType([
     T.StructField("customer_id", T.LongType()),
     T.StructField("item_id", T.StringType()),
@@ -49,7 +52,8 @@ def read_baskets(spark: SparkSession, path: str, sep: str = ",", keep_empty: boo
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """One logical table with a header in every file, optionally one folder per chunk."""
-    writer = df.write.option("header", True)
+    writer = (df.write.option("header", True).option("timestampFormat", CSV_TIME)
+              .option("timestampNTZFormat", CSV_TIME))
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
