@@ -52,17 +52,14 @@ def words(text: Column, pattern: str = WORDS_2PLUS) -> Column:
 
 
 def ngrams(tokens: Column, sizes: Sequence[int]) -> Column:
-    """All n-grams of the given sizes, joined by one blank."""
-    grams = []
-    for n in sizes:
-        if n == 1:
-            grams.append(tokens)
-            continue
+    """All n-grams of the given sizes, joined by one blank. ``tokens`` should be a plain
+    column: inside the loop over positions an expression would be evaluated again and again."""
+    def of_size(n: int) -> Column:
         starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-        grams.append(F.coalesce(
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")),
-            F.array().cast("array<string>")))
-    return F.concat(*grams)
+        grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+        return F.coalesce(grams, F.array().cast("array<string>"))
+
+    return F.concat(*[tokens if n == 1 else of_size(n) for n in sizes])
 
 
 def sequence_tokens(text: Column) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from trolley.functions.text import sequence_tokens, words
+from trolley.functions.text import ngrams, sequence_tokens, words
 from trolley.operators.ordering import number_rows
 
 # Fixed value: longest padded sequence the models take.
@@ -25,10 +25,13 @@ class Tfidf:
     documents: int
 
 
-def term_counts(df: DataFrame, keys: Sequence[str], text: str, tokens: Callable[[Column], Column] = words) -> DataFrame:
-    """Term frequency per document. A document may be spread over many rows (the purchases of
-    a customer): only counts are shuffled, so no row ever holds the joined text."""
-    return (df.select(*keys, F.explode(tokens(F.col(text))).alias("term"))
+def term_counts(df: DataFrame, keys: Sequence[str], text: str, tokens: Callable[[Column], Column] = words,
+                sizes: Sequence[int] = (1,)) -> DataFrame:
+    """Frequency of each token, or n-gram of the given sizes, per document. A document may be
+    spread over many rows (the purchases of a customer): only counts are shuffled, so no row
+    ever holds the joined text."""
+    split = df.select(*keys, tokens(F.col(text)).alias("_tokens"))
+    return (split.select(*keys, F.explode(ngrams(F.col("_tokens"), sizes)).alias("term"))
             .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
