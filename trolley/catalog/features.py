@@ -109,9 +109,9 @@ def with_ref_dates_customer(spark, d):
     return dated.select("transaction_id", *[micros(F.col(c)).alias(c) for c in ["rd", *[f"rd{w}" for w in rfm.WINDOWS]]])
 
 
-@register("recency_pair", ctes(TX, RD) + f"""SELECT customer_id, item_id, {days_sql('max(rd)', 'max("InvoiceDate")')} AS "R_L",
+@register("recency", ctes(TX, RD) + f"""SELECT customer_id, item_id, {days_sql('max(rd)', 'max("InvoiceDate")')} AS "R_L",
  {days_sql('max(rd)', 'min("InvoiceDate")')} AS "R_F" FROM tx, r GROUP BY customer_id, item_id""")
-def recency_pair(spark, d):
+def recency(spark, d):
     df = transactions(spark, d)
     return rfm.recency(df, reference_date(df))
 
@@ -150,8 +150,8 @@ def _gap_entry(name, source, load, keys, prefix="", fill_before=False):
     return build
 
 
-_gap_entry("gap_stats_pair", (TX, "tx"), transactions, rfm.PAIR)
-_gap_entry("gap_stats_pair_filled", (TX, "tx"), transactions, rfm.PAIR, fill_before=True)
+_gap_entry("gap_stats", (TX, "tx"), transactions, rfm.PAIR)
+_gap_entry("gap_stats_filled", (TX, "tx"), transactions, rfm.PAIR, fill_before=True)
 _gap_entry("gap_stats_customer", (TX, "tx"), transactions, rfm.CUSTOMER, "C_")
 _gap_entry("gap_stats_events", (EV, "ev"), event_purchases, rfm.PAIR)
 _gap_entry("gap_stats_events_customer", (EV, "ev"), event_purchases, rfm.CUSTOMER, "C_")
@@ -169,8 +169,8 @@ def _lagged(df, keys):
         c for i in (1, 2, 3) for c in (F.col(f"lag{i}").cast("date").cast("string").alias(f"lag{i}"), F.col(f"gap{i}"))])
 
 
-@register("lags_pair", ctes(TX) + _lag_sql("tx", rfm.PAIR), ["gap1", "gap2", "gap3"])
-def lags_pair(spark, d):
+@register("lags", ctes(TX) + _lag_sql("tx", rfm.PAIR), ["gap1", "gap2", "gap3"])
+def lags(spark, d):
     return _lagged(transactions(spark, d), rfm.PAIR)
 
 

@@ -1 +1,191 @@
-"""Pending."""
+"""Estimators. Iterative fits have no SQL; the closed-form ones do."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from trolley.catalog.base import SEED, TARGETS, register, stored_transactions, table
+from trolley.operators import metrics, models as M, rfm
+from trolley.operators.recommend import average_folds
+from trolley.operators.reshape import labels
+from trolley.operators.sampling import kfold, split
+from trolley.operators.summary import bounds, encode_ids, implicit_rating
+from trolley.functions.dates import reference_date, time_literal
+from trolley.plans import scoring, universe as U
+from trolley.session import materialise
+
+MODEL_TARGETS = [f"Target_{t}" for t in TARGETS[:3]]
+KEY = ["customer_id"]
+
+
+def behaviour(spark, d):
+    """(training rows, scoring rows, feature names): customer RFM and recency, scaled to [0, 1],
+    with next-year labels; scoring rows are dated a year later."""
+    tx = stored_transactions(spark, d)
+    now, then = reference_date(tx), reference_date(tx, days=360)
+
+    def features(ref):
+        past = tx.filter(F.col("InvoiceDate") <= time_literal(ref))
+        blocks = rfm.customer_rfm(past, (90, 360, 720), ref).join(rfm.recency(past, ref, KEY, "T"), KEY, "right")
+        return blocks.na.fill(rfm.PENALTY)
+
+    known = features(then)
+    names = [c for c in known.columns if c not in KEY]
+    later = labels(tx.filter(F.col("InvoiceDate") > time_literal(then)), TARGETS[:3])
+    train = materialise(known.join(later, KEY, "left").na.fill(0, MODEL_TARGETS), "train")
+    score = features(now)
+    return M.minmax(train, names), M.minmax(train, names, score), names
+
+
+def vectors(df, names):
+    return VectorAssembler(inputCols=list(names), outputCol="features").transform(df)
+
+
+def ready(spark, d):
+    train, score, names = behaviour(spark, d)
+    kept = [*KEY, "features", *MODEL_TARGETS]
+    return materialise(vectors(train, names).select(*kept), "ready"), vectors(score, names).select(*KEY, "features")
+
+
+@register("fit_per_target")
+def fit_per_target(spark, d):
+    train, score = ready(spark, d)
+    return M.fit_per_target(train, score, MODEL_TARGETS, KEY)
+
+
+@register("fit_per_target_balanced")
+def fit_per_target_balanced(spark, d):
+    """Under-sampled classes, selected features."""
+    train, score = ready(spark, d)
+    return M.fit_per_target(train, score, MODEL_TARGETS[:1], KEY, select=True, balance=SEED)
+
+
+@register("select_by_coef")
+def select_by_coef(spark, d):
+    train, _ = ready(spark, d)
+    return spark.createDataFrame([(i,) for i in M.select_by_coef(train, MODEL_TARGETS[0])], "feature int")
+
+
+@register("grid_search")
+def grid_search(spark, d):
+    train, _ = ready(spark, d)
+    fitted = M.grid_search(train, MODEL_TARGETS[0], (0.7, 0.1, 0.01), folds=3)
+    return spark.createDataFrame([(c, float(a)) for c, a in zip((0.7, 0.1, 0.01), fitted.avgMetrics)], "c double, accuracy double")
+
+
+@register("fit_forest")
+def fit_forest(spark, d):
+    train, score = ready(spark, d)
+    return M.fit_forest(train, score, MODEL_TARGETS[:2], KEY, trees=20)
+
+
+@register("fit_long")
+def fit_long(spark, d):
+    rows = materialise(U.universe_long(stored_transactions(spark, d), TARGETS, n=2, windows=(30, 360)).rows, "long")
+    names = [c for c in rows.columns if c not in ("origin", "customer_id", "item_id", "Target", "IMPP")]
+    train, score = rows.filter("origin = 2"), rows.filter("origin = 1")
+    return M.fit_long(train, score, names, ["customer_id", "item_id"])
+
+
+@register("family_models")
+def family_models(spark, d):
+    """Frequency-only, amount-only and all-feature families, equally blended."""
+    train, score, names = behaviour(spark, d)
+    families = {"frequency": [n for n in names if n.startswith("CF")], "amount": [n for n in names if n.startswith("CM")], "all": names}
+    fitted = M.family_models(train, score, families, MODEL_TARGETS[:1], KEY)
+    return scoring.family_blend(list(fitted.values()), MODEL_TARGETS[:1])
+
+
+@register("fit_ridge", """WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_discount) AS mz, avg(l_extendedprice) AS my,
+ var_pop(l_quantity) * count(*) + 1.0 AS xx, var_pop(l_discount) * count(*) + 1.0 AS zz, covar_pop(l_quantity, l_discount) * count(*) AS xz,
+ covar_pop(l_quantity, l_extendedprice) * count(*) AS xy, covar_pop(l_discount, l_extendedprice) * count(*) AS zy FROM lineitem),
+ w AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS wx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS wz FROM s)
+ SELECT 'l_quantity' AS feature, wx AS weight FROM w UNION ALL SELECT 'l_discount', wz FROM w UNION ALL SELECT 'intercept', my - wx * mx - wz * mz FROM w""", ["weight"], 3)
+def fit_ridge(spark, d):
+    lines = vectors(table(spark, d, "lineitem"), ["l_quantity", "l_discount"])
+    model = M.fit_ridge(lines, "l_extendedprice")
+    rows = [("l_quantity", float(model.coefficients[0])), ("l_discount", float(model.coefficients[1])), ("intercept", float(model.intercept))]
+    return spark.createDataFrame(rows, "feature string, weight double")
+
+
+@register("fit_boosted")
+def fit_boosted(spark, d):
+    """Order status from its price and month, one probability per class."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"),
+                                              F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2).alias("label"))
+    rows = materialise(vectors(orders, ["o_totalprice", "month"]).select("o_orderkey", "features", "label"), "orders")
+    return M.fit_boosted(rows, rows, "label", (0, 1, 2), ["o_orderkey"], rounds=5)
+
+
+def ratings(spark, d):
+    """(ratings with integer ids, customer dictionary, item dictionary) over customers and parts."""
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    tx = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("item_id"), F.col("l_orderkey").alias("transaction_id"))
+    rated = materialise(implicit_rating(tx), "ratings")
+    users, items = encode_ids(rated, "customer_id", "user"), encode_ids(rated, "item_id", "item")
+    coded = rated.join(users, "customer_id").join(items, "item_id")
+    return materialise(coded.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating"), "coded"), users, items
+
+
+@register("fit_factors")
+def fit_factors(spark, d):
+    """Loss of the factor model on the training and the held-out ratings."""
+    coded, _, _ = ratings(spark, d)
+    train, held = split(coded, 0.1, SEED, ["user", "item"])
+    edge = bounds(coded, "rating").first()
+    model = M.fit_factors(train, rank=50, iterations=5)
+    scored = [(n, M.clip_ratings(model.transform(t), edge["min"], edge["max"])) for n, t in (("train", train), ("held", held))]
+    losses = [(n, s.agg(metrics.mse("rating", "prediction").alias("m")).first()["m"]) for n, s in scored]
+    return spark.createDataFrame(losses, "part string, mse double")
+
+
+@register("recommend_all")
+def recommend_all(spark, d):
+    coded, users, items = ratings(spark, d)
+    edge = bounds(coded, "rating").first()
+    best = M.recommend_all(M.fit_factors(coded, rank=20, iterations=5), 10, edge["min"], edge["max"])
+    return (best.join(users, "user").join(items, "item")
+            .select("customer_id", "item_id", F.col("prediction").cast("double").alias("prediction"), "rank"))
+
+
+@register("average_fold_models")
+def average_fold_models(spark, d):
+    """Ten contiguous folds: one model each, averaged over the folds that pass the gate."""
+    train, score = ready(spark, d)
+    target, folded = MODEL_TARGETS[0], materialise(kfold(train, 10, [F.asc("customer_id")]), "folds")
+    accuracies, predictions = [], None
+    for fold in range(10):
+        model = M.logistic(1.0, train.count(), target).fit(folded.filter(F.col("fold") != fold))
+        held = model.transform(folded.filter(F.col("fold") == fold))
+        accuracies.append((fold, held.agg(metrics.accuracy(target, "prediction").alias("a")).first()["a"]))
+        scored = model.transform(score).select(*KEY, F.lit(fold).alias("fold"), M.positive_probability().alias(target))
+        predictions = scored if predictions is None else predictions.unionByName(scored)
+    folds = spark.createDataFrame(accuracies, "fold int, accuracy double")
+    return average_folds(predictions, folds, KEY, [target], gate=0.5)
+
+
+@register("permutation_importance")
+def permutation_importance(spark, d):
+    train, _, names = behaviour(spark, d)
+    rows = materialise(train, "importance")
+    model = M.logistic(1.0, rows.count(), MODEL_TARGETS[0]).fit(vectors(rows, names))
+    return M.permutation_importance(rows, model, names, MODEL_TARGETS[0], KEY, SEED)
+
+
+@register("permuted", """WITH a AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) AS i, row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':42')) AS j FROM customer)
+ SELECT x.c_custkey, x.c_acctbal, y.c_acctbal AS perm_c_acctbal FROM a x JOIN a y ON x.i = y.j""")
+def permuted(spark, d):
+    return M.permuted(table(spark, d, "customer").select("c_custkey", "c_acctbal"), ["c_custkey"], ["c_acctbal"], SEED)
+
+
+@register("assemble", """SELECT c_custkey, c_acctbal + coalesce(n, 0) * 1000 AS checksum FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n FROM orders
+ WHERE o_orderstatus = 'P' GROUP BY o_custkey) USING (c_custkey)""", ["checksum"], 2)
+def assemble(spark, d):
+    """Blocks joined to one vector; checked by a weighted sum of its entries."""
+    orders = table(spark, d, "orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    rows = M.assemble([table(spark, d, "customer").select("c_custkey", "c_acctbal"), orders], ["c_custkey"])
+    parts = vector_to_array("features")
+    return rows.select("c_custkey", (parts[0] + parts[1] * 1000).alias("checksum"))

@@ -116,6 +116,11 @@ def score_item_based(spark, d):
     return brand_scores(spark, d)[1]
 
 
+@register("score_items", ctes(SUPPLIERS, TX, ORDERS, WEIGHTS, SCORES) + "SELECT * FROM scores", ["score"])
+def score_items(spark, d):
+    return R.score_items(supplier_profiles(spark, d), order_weights(stored_transactions(spark, d)))
+
+
 @register("score_user_based", ctes(SUPPLIERS) + """, w AS (SELECT x."user" AS user_from, y."user" AS user_to, sum(x.value * y.value) AS weight FROM profile x JOIN profile y USING (item)
  WHERE x."user" <> y."user" GROUP BY ALL) SELECT user_from AS "user", item, sum(weight * value) AS score FROM w JOIN profile ON "user" = user_to GROUP BY user_from, item""", ["score"], 2)
 def score_user_based(spark, d):

@@ -142,9 +142,16 @@ def family_models(train: DataFrame, score: DataFrame, families: dict[str, Sequen
 
 
 def fit_ridge(train: DataFrame, label: str, features: str = "features", alpha: float = 1.0) -> LinearRegressionModel:
-    """Ridge regression; the penalty alpha |w|^2 on summed squares is alpha/n on their mean."""
-    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / train.count(), elasticNetParam=0.0,
-                            standardization=False, solver="normal").fit(train)
+    """Ridge regression with the penalty alpha |w|^2 on the sum of squares.
+
+    The estimator penalises by regParam / deviation(label), so that factor is put back: the
+    population deviation for the normal equations, the sample one for the iterative solver.
+    """
+    wide = train.schema[features].metadata.get("ml_attr", {}).get("num_attrs", 0) > 4096
+    deviation = F.stddev_samp if wide else F.stddev_pop
+    size = train.agg(F.count(F.lit(1)).alias("n"), deviation(label).alias("sd")).first()
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / size["n"] * size["sd"], elasticNetParam=0.0,
+                            standardization=False, solver="l-bfgs" if wide else "normal").fit(train)
 
 
 def fit_boosted(train: DataFrame, score: DataFrame, label: str, classes: Sequence[int], key: Sequence[str],

@@ -22,8 +22,7 @@ _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
 
 def _range_parts(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slotted = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    slotted = (df.repartitionByRange(*order).sortWithinPartitions(*order)
                .withColumn("_slot", F.monotonically_increasing_id()))
     return (materialise(slotted, "ordered")
             .withColumn("_part", F.shiftright("_slot", _SLOT_BITS)))
