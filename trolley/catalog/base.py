@@ -22,10 +22,11 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
-def stable(column, digits: int):
+def stable(df: DataFrame, doubles: Sequence[str], digits: int) -> DataFrame:
     """Round for comparison. Sums run in any order, so a value that lies exactly between two
     roundings could go either way; the odd shift moves such values off the boundary."""
-    return F.round(column + F.lit(1.7 * 10.0 ** -(digits + 1)), digits)
+    shift, chosen = f"{1.7 * 10.0 ** -(digits + 1):.6e}", set(doubles)
+    return df.selectExpr(*[f"round(CAST(`{c}` AS DOUBLE) + {shift}, {digits}) AS `{c}`" if c in chosen else f"`{c}`" for c in df.columns])
 
 
 def register(name: str, sql: str | None = None, doubles: Sequence[str] = (), digits: int = 4):
@@ -34,7 +35,7 @@ def register(name: str, sql: str | None = None, doubles: Sequence[str] = (), dig
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             out = build(spark, sf_dir)
-            return out.withColumns({c: stable(F.col(f"`{c}`"), digits) for c in doubles}) if doubles else out
+            return stable(out, doubles, digits) if doubles else out
 
         text = sql
         if sql is not None and doubles:

@@ -35,12 +35,8 @@ def pair_rfm(spark, d):
  {days_sql('max(rd)', 'max("InvoiceDate")')} AS "R_L", {days_sql('max(rd)', 'min("InvoiceDate")')} AS "R_F"
  FROM tx, r GROUP BY customer_id, item_id""", _doubles((30, 90, 360)))
 def rfm_with_recency(spark, d):
-    df = transactions(spark, d)
-    ref = reference_date(df)
-    when = time_literal(ref)
-    return df.groupBy(*rfm.PAIR).agg(
-        *rfm.window_features((30, 90, 360), when),
-        floor_days(when, F.max("InvoiceDate")).alias("R_L"), floor_days(when, F.min("InvoiceDate")).alias("R_F"))
+    df = stored_transactions(spark, d)
+    return rfm.dated(df, reference_date(df)).groupBy(*rfm.PAIR).agg(*rfm.window_features((30, 90, 360)), *rfm.recency_features("R"))
 
 
 @register("pair_rfm_stats", _rfm_sql("customer_id, item_id", rfm.WINDOWS_LONG, amount=SUM_MIN_MAX, quantity=SUM_MIN_MAX),

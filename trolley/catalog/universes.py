@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trolley.catalog.base import (TARGET_LIST, TARGETS, TX, block_sql, ctes, days_sql, event_purchases, filled_sql, gap_names, gaps_sql, labels_sql,
                                   register, stored_transactions, table, widen_sql)
 from trolley.catalog.texts import tfidf_ctes
+from trolley.functions import text as X
 from trolley.functions.dates import micros
 from trolley.operators import rfm
 from trolley.operators import text as T
@@ -39,7 +40,8 @@ def universe_fixed(spark, d):
 
 @register("universe_fixed_items", ctes(TX) + f"""SELECT customer_id, item_id, item_qty, item_amt, {days_sql('"InvoiceDate"', 'rd')} AS days,
  row_number() OVER (PARTITION BY customer_id ORDER BY "InvoiceDate" DESC, item_id, item_qty, item_amt) AS position
- FROM tx, (SELECT max("InvoiceDate") - INTERVAL 60 DAY AS rd FROM tx) WHERE "InvoiceDate" <= rd""")
+ FROM tx, (SELECT max("InvoiceDate") - INTERVAL 60 DAY AS rd FROM tx) WHERE "InvoiceDate" <= rd AND customer_id IN
+ (SELECT customer_id FROM tx WHERE "InvoiceDate" > (SELECT max("InvoiceDate") - INTERVAL 60 DAY FROM tx) AND item_id IN (""" + TARGET_LIST + "))")
 def universe_fixed_items(spark, d):
     return U.universe_fixed(stored_transactions(spark, d), TARGETS).items.drop("InvoiceDate")
 
@@ -96,15 +98,15 @@ def universe_rolling(spark, d):
     return U.universe_rolling(stored_transactions(spark, d), TARGETS).rows
 
 
-ROLL_TERMS = r"""SELECT (origin, customer_id) AS doc, term, count(*) AS tf FROM (SELECT origin, customer_id, unnest(regexp_extract_all(lower('ITEM_' || item_id), '[\p{L}\p{N}_]{2,}')) AS term FROM past) GROUP BY ALL"""
+ROLL_TERMS = r"""SELECT (origin, customer_id) AS doc, term, count(*) AS tf FROM (SELECT origin, customer_id, unnest(regexp_extract_all(lower('ITEM_' || item_id), '[\p{L}\p{N}_]{2,}')) AS term FROM past SEMI JOIN after USING (origin, customer_id)) GROUP BY ALL"""
 
 
-@register("universe_rolling_tfidf", ctes(*ROLL_CTES, *tfidf_ctes(ROLL_TERMS, "SELECT count(*) FROM (SELECT DISTINCT origin, customer_id FROM past)"))
+@register("universe_rolling_tfidf", ctes(*ROLL_CTES, *tfidf_ctes(ROLL_TERMS, "SELECT count(*) FROM (SELECT DISTINCT origin, customer_id FROM after)"))
           + "SELECT doc[1] AS origin, doc[2] AS customer_id, term, weight FROM weights", ["weight"], 6)
 def universe_rolling_tfidf(spark, d):
-    items = U.universe_rolling(stored_transactions(spark, d), TARGETS).items
-    counts = T.term_counts(items, O_CUST, "item")
-    return T.tfidf_transform(T.tfidf_fit(counts, items.select(*O_CUST).distinct().count()), counts, O_CUST)
+    universe = U.universe_rolling(stored_transactions(spark, d), TARGETS)
+    counts = T.term_counts(universe.items, O_CUST, "item")
+    return T.tfidf_transform(T.tfidf_fit(counts, universe.labelled.count()), counts, O_CUST)
 
 
 POPULAR = 5
@@ -170,6 +172,22 @@ def universe_long(spark, d):
     return U.universe_long(stored_transactions(spark, d), TARGETS).rows
 
 
+LONG_TERMS = r"""SELECT (origin, customer_id) AS doc, term, count(*) AS tf FROM (SELECT origin, customer_id, unnest(regexp_extract_all(lower('ITEM_' || item_id), '[\p{L}\p{N}_]{2,}')) AS term
+ FROM past SEMI JOIN bought USING (origin, customer_id) WHERE item_id IN (""" + TARGET_LIST + ")) GROUP BY ALL"
+
+
+@register("universe_long_tfidf", ctes(TX, VISITS, BOUGHT, f"past AS ({LONG_PAST})", f"counts AS ({LONG_TERMS})", "n AS (SELECT count(*) * 10 AS n FROM (SELECT DISTINCT origin, customer_id FROM bought))",
+          "vocab AS (SELECT term, ln((1 + (SELECT n FROM n)) / (1.0 + 10 * count(*))) + 1 AS idf FROM counts GROUP BY term)") + """SELECT doc[1] AS origin, doc[2] AS customer_id, term,
+ tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc)) AS weight FROM counts JOIN vocab USING (term)""", ["weight"], 6)
+def universe_long_tfidf(spark, d):
+    """Item-list weights of the long universe, whose rows repeat each customer once per target."""
+    universe = U.universe_long(stored_transactions(spark, d), TARGETS)
+    items = universe.items.filter(F.col("item_id").isin(*TARGETS)).select(*O_CUST, X.tag("ITEM_", F.col("item_id")).alias("item"))
+    counts = T.term_counts(items, O_CUST, "item")
+    documents = universe.labelled.count()
+    return T.tfidf_transform(T.tfidf_fit(counts, documents, copies=len(TARGETS)), counts, O_CUST)
+
+
 SCORE_BASE = f"""SELECT customer_id, item_id FROM (SELECT DISTINCT customer_id FROM target_past) CROSS JOIN (SELECT DISTINCT item_id FROM target_past)"""
 SCORE, SCORE_DOUBLES = _long_sql(CUST, 'SELECT tx.*, max("InvoiceDate") OVER (PARTITION BY customer_id) AS rd FROM tx', SCORE_BASE)
 

@@ -19,6 +19,12 @@ def floor_div(value: Column, step: int) -> Column:
     return ((value - F.pmod(value, F.lit(step))) / F.lit(step)).cast("long")
 
 
+def floor_days_text(later: str, earlier: str) -> str:
+    """``floor_days`` as SQL text, for aggregates written as many expressions at once."""
+    gap = f"(unix_micros(CAST({later} AS TIMESTAMP)) - unix_micros(CAST({earlier} AS TIMESTAMP)))"
+    return f"({gap} - pmod({gap}, {DAY_MICROS})) div {DAY_MICROS}"
+
+
 def floor_days(later: Column, earlier: Column) -> Column:
     """Whole days between two times, floored: -23 h is -1, not 0."""
     return floor_div(micros(later) - micros(earlier), DAY_MICROS)

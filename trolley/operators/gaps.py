@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from trolley.functions.dates import floor_days
-from trolley.operators.ordering import prior_times
+from trolley.functions.dates import floor_days, floor_days_text
+from trolley.operators.ordering import HOT_ROWS, prior_times
 from trolley.operators.rfm import PAIR, PENALTY
 
 
-def lags(df: DataFrame, keys: Sequence[str] = PAIR, n: int = 3, ts: str = "InvoiceDate") -> DataFrame:
+def lags(df: DataFrame, keys: Sequence[str] = PAIR, n: int = 3, ts: str = "InvoiceDate", hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per purchase with the dates of its 1..n predecessors and the day gaps.
 
     Purchases of one key at the same time follow each other in any order: only times are
     lagged, so the result does not depend on it.
     """
-    steps = (prior_times(df, keys, ts, n)
+    steps = (prior_times(df, keys, ts, n, hot_rows=hot_rows)
              .withColumn("_r", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))))
     out = [*keys, ts]
     for lag in range(1, n + 1):
@@ -27,46 +27,37 @@ def lags(df: DataFrame, keys: Sequence[str] = PAIR, n: int = 3, ts: str = "Invoi
     return steps.select(*out)
 
 
-def _exact_mean_std(n: Column, total: Column, squares: Column) -> tuple[Column, Column]:
-    """Mean and sample deviation from integer sums, in decimals so nothing cancels."""
-    wide = "decimal(38,0)"
-    spread = (n.cast(wide) * squares.cast(wide) - total.cast(wide) * total.cast(wide)).cast("double")
-    return (F.when(n > 0, total / n),
-            F.when(n > 1, F.sqrt(spread / (n.cast("double") * (n - 1).cast("double")))))
+def _mean_std(lag: int, fill_before: bool, stem: str) -> list[str]:
+    """Mean and sample deviation from integer sums, in decimals so that nothing cancels."""
+    count, total, squares = (f"_{name}{lag}" for name in "nsq")
+    if fill_before:
+        count, total = f"({count} + _m{lag})", f"({total} + _m{lag} * {PENALTY})"
+        squares = f"({squares} + _m{lag} * {PENALTY * PENALTY})"
+    n, s, q = (f"CAST({x} AS DECIMAL(38,0))" for x in (count, total, squares))
+    spread = f"CAST({n} * {q} - {s} * {s} AS DOUBLE)"
+    return [f"CASE WHEN {count} > 0 THEN {total} / {count} END AS {stem}Mean",
+            f"CASE WHEN {count} > 1 THEN sqrt({spread} / (CAST({count} AS DOUBLE) * ({count} - 1))) END AS {stem}Std"]
 
 
 def gap_stats(df: DataFrame, keys: Sequence[str] = PAIR, n: int = 3, fill_before: bool = False,
-              prefix: str = "", ts: str = "InvoiceDate") -> DataFrame:
+              prefix: str = "", ts: str = "InvoiceDate", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean and sample deviation of the 1..n-step gaps.
 
     ``fill_before=True`` counts a missing gap as the penalty inside the statistics;
     otherwise it is left out and an undefined statistic stays NULL.
     """
-    steps = prior_times(df, keys, ts, n).select(
-        *keys, "rows", *[floor_days(F.col(ts), F.get("prior", F.lit(i - 1))).alias(f"_d{i}") for i in range(1, n + 1)])
+    steps = prior_times(df, keys, ts, n, hot_rows=hot_rows).selectExpr(
+        *keys, "rows", *[floor_days_text(ts, f"get(prior, {i - 1})") + f" AS _d{i}" for i in range(1, n + 1)])
     sums = []
     for lag in range(1, n + 1):
         # The r-th of `rows` purchases made at one time looks lag-r+1 purchases behind that time;
         # purchases beyond the lag-th look at the same time, a gap of 0.
-        counts, totals, squares, missing = [F.greatest(F.col("rows") - lag, F.lit(0))], [], [], []
-        for i in range(1, lag + 1):
-            used, gap = F.col("rows") >= lag - i + 1, F.col(f"_d{i}")
-            counts.append(F.when(used & gap.isNotNull(), 1).otherwise(0))
-            missing.append(F.when(used & gap.isNull(), 1).otherwise(0))
-            totals.append(F.when(used, F.coalesce(gap, F.lit(0))).otherwise(0))
-            squares.append(F.when(used, F.coalesce(gap * gap, F.lit(0))).otherwise(0))
-        for name, terms in (("n", counts), ("s", totals), ("q", squares), ("m", missing)):
-            total = terms[0]
-            for term in terms[1:]:
-                total = total + term
-            sums.append(F.sum(total.cast("long")).alias(f"_{name}{lag}"))
-    out = list(keys)
-    for lag in range(1, n + 1):
-        count, total, square = F.col(f"_n{lag}"), F.col(f"_s{lag}"), F.col(f"_q{lag}")
-        if fill_before:
-            missing = F.col(f"_m{lag}")
-            count, total, square = count + missing, total + missing * PENALTY, square + missing * PENALTY * PENALTY
-        mean, std = _exact_mean_std(count, total, square)
-        stem = f"{prefix}DayDiff{'' if lag == 1 else lag}"
-        out += [mean.alias(f"{stem}Mean"), std.alias(f"{stem}Std")]
-    return steps.groupBy(*keys).agg(*sums).select(*out)
+        used = [(f"rows >= {lag - i + 1}", f"_d{i}") for i in range(1, lag + 1)]
+        terms = {
+            "n": [f"greatest(rows - {lag}, 0L)"] + [f"CASE WHEN {u} AND {d} IS NOT NULL THEN 1L ELSE 0L END" for u, d in used],
+            "s": [f"CASE WHEN {u} THEN coalesce({d}, 0L) ELSE 0L END" for u, d in used],
+            "q": [f"CASE WHEN {u} THEN coalesce({d} * {d}, 0L) ELSE 0L END" for u, d in used],
+            "m": [f"CASE WHEN {u} AND {d} IS NULL THEN 1L ELSE 0L END" for u, d in used]}
+        sums += [F.expr(f"sum({' + '.join(parts)}) AS _{name}{lag}") for name, parts in terms.items()]
+    stats = [text for lag in range(1, n + 1) for text in _mean_std(lag, fill_before, f"{prefix}DayDiff{'' if lag == 1 else lag}")]
+    return steps.groupBy(*keys).agg(*sums).selectExpr(*keys, *stats)

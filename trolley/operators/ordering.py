@@ -5,19 +5,23 @@ Two situations need an order at scale:
 * an order over the *whole* table (dense ids, folds, exact AUC): range-partition, number
   inside each partition, add the partition's start. The starts are one row per partition.
 * an order *within a key* (lags, visit ranks, sequences), where one key may own a third of
-  the rows: cut every key into time slices, work per (key, slice), then stitch the slices
-  with one small summary row each. A hot key is spread over as many tasks as it has slices.
+  the rows: ordinary keys take one window; keys beyond HOT_ROWS are cut into time slices,
+  worked on per (key, slice) and stitched with one small summary row per slice. A hot key is
+  spread over as many tasks as it has slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from trolley.functions.dates import HOUR_MICROS, floor_div, micros
 from trolley.session import materialise
 
+# A key with more rows than this is worked on slice by slice.
+HOT_ROWS = 1_000_000
+
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
 
@@ -60,51 +64,69 @@ def time_slice(ts: Column, hours: int = 24) -> Column:
     return floor_div(micros(ts), hours * HOUR_MICROS)
 
 
-def position_in_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[Column] = (),
-                    newest_first: bool = True, name: str = "position", hours: int = 24) -> DataFrame:
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows).
+
+    There are at most ``rows / hot_rows`` hot keys; with none, the adaptive plan drops the
+    hot branch.
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+
+
+def position_in_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[Column] = (), newest_first: bool = True,
+                    name: str = "position", hours: int = 24, hot_rows: int = HOT_ROWS) -> DataFrame:
     """1-based position of each row within its key, ordered by time then ``ties``."""
     keys = list(keys)
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), hours))
     by_time = F.col(ts).desc() if newest_first else F.col(ts).asc()
     by_slice = F.col("_slice").desc() if newest_first else F.col("_slice").asc()
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    direct = ordinary.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(by_time, *ties)).cast("long"))
+
+    sliced = hot.withColumn("_slice", time_slice(F.col(ts), hours))
     inside = sliced.withColumn(
         "_rn", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(by_time, *ties)).cast("long"))
     before = W.partitionBy(*keys).orderBy(by_slice).rowsBetween(W.unboundedPreceding, -1)
     starts = (sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
               .select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    return (inside.join(starts, [*keys, "_slice"])
-            .withColumn(name, F.col("_before") + F.col("_rn"))
-            .select(*df.columns, name))
+    stitched = (inside.join(starts, [*keys, "_slice"])
+                .withColumn(name, F.col("_before") + F.col("_rn")).select(*df.columns, name))
+    return direct.select(*df.columns, name).unionByName(stitched)
 
 
-def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hours: int = 24) -> DataFrame:
+def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hours: int = 24,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per (key, time) with its row count ``rows`` and ``prior``, the times of up to
     ``depth`` rows just before it (newest first, repeated where a time holds several rows)."""
     keys = list(keys)
     empty = F.array().cast(f"array<{df.schema[ts].dataType.simpleString()}>")
     collapsed = (df.filter(F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).alias("_ts"))
-                 .agg(F.count(F.lit(1)).alias("rows"))
-                 .withColumn("_slice", time_slice(F.col("_ts"), hours)))
-    in_slice = W.partitionBy(*keys, "_slice").orderBy("_ts")
+                 .agg(F.count(F.lit(1)).alias("rows")))
 
     def repeated(when: Column, count: Column) -> Column:
         times = F.array_repeat(when, F.least(count, F.lit(depth)).cast("int"))
         return F.when(when.isNull(), empty).otherwise(times)
 
-    earlier = [repeated(F.lag("_ts", i).over(in_slice), F.lag("rows", i).over(in_slice))
-               for i in range(1, depth + 1)]
-    inside = collapsed.select(
-        "*", F.slice(F.concat(*earlier), 1, depth).alias("_near"),
-        F.lead("_ts", 1).over(in_slice).isNull().alias("_last"))
+    def preceding(over: WindowSpec) -> Column:
+        earlier = [repeated(F.lag("_ts", i).over(over), F.lag("rows", i).over(over)) for i in range(1, depth + 1)]
+        return F.slice(F.concat(*earlier), 1, depth)
 
+    ordinary, hot = split_hot(collapsed, keys, hot_rows)
+    direct = ordinary.select("*", preceding(W.partitionBy(*keys).orderBy("_ts")).alias("prior"))
+
+    # Hot keys: lag inside each time slice, then carry the last times of the slices before.
+    in_slice = W.partitionBy(*keys, "_slice").orderBy("_ts")
+    inside = hot.withColumn("_slice", time_slice(F.col("_ts"), hours)).select(
+        "*", preceding(in_slice).alias("_near"), F.lead("_ts", 1).over(in_slice).isNull().alias("_last"))
     own = repeated(F.col("_ts"), F.col("rows"))
     tails = inside.filter("_last").select(*keys, "_slice", F.slice(F.concat(own, F.col("_near")), 1, depth).alias("_tail"))
     over_slices = W.partitionBy(*keys).orderBy("_slice")
     carried = tails.select(*keys, "_slice", F.slice(F.concat(
         *[F.coalesce(F.lag("_tail", i).over(over_slices), empty) for i in range(1, depth + 1)]), 1, depth).alias("_carry"))
-    return (inside.join(carried, [*keys, "_slice"])
-            .select(*keys, F.col("_ts").alias(ts), "rows",
-                    F.slice(F.concat("_near", "_carry"), 1, depth).alias("prior")))
+    stitched = (inside.join(carried, [*keys, "_slice"])
+                .withColumn("prior", F.slice(F.concat("_near", "_carry"), 1, depth)))
+    columns = [*keys, F.col("_ts").alias(ts), "rows", "prior"]
+    return direct.select(*columns).unionByName(stitched.select(*columns))
 
 
 def dense_rank_in_key(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,

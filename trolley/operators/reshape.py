@@ -14,12 +14,16 @@ from trolley.operators.rfm import CUSTOMER, PAIR, PENALTY
 
 def widen(long: DataFrame, items: Sequence[str], measures: Sequence[str], keys: Sequence[str] = CUSTOMER,
           item: str = "item_id") -> DataFrame:
-    """One ``<measure>_<item>`` column per listed item and measure. The explicit item list
-    gives a fixed schema and saves the distinct job."""
-    wide = long.groupBy(*keys).pivot(item, list(items)).agg(*[F.first(F.col(m)).alias(m) for m in measures])
-    if len(measures) == 1:
-        return wide.select(*keys, *[F.col(f"`{i}`").alias(f"{measures[0]}_{i}") for i in items])
-    return wide.select(*keys, *[F.col(f"`{i}_{m}`").alias(f"{m}_{i}") for m in measures for i in items])
+    """One ``<measure>_<item>`` column per listed item and measure.
+
+    Needs one row per (key, item). A key's rows, at most one per listed item, travel as one
+    array; the columns are then read off it, which for many measures beats one pivot
+    aggregate per measure.
+    """
+    rows = long.filter(F.col(item).isin(*items)).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(item), F.struct(*measures)))).alias("_m"))
+    entries = rows.select(*keys, *[F.try_element_at("_m", F.lit(i)).alias(f"_e{n}") for n, i in enumerate(items)])
+    return entries.selectExpr(*keys, *[f"_e{n}.`{m}` AS `{m}_{i}`" for m in measures for n, i in enumerate(items)])
 
 
 def melt_labels(wide: DataFrame, targets: Sequence[str], keys: Sequence[str] = CUSTOMER, prefix: str = "Target_",

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trolley.functions.columns import net_price
-from trolley.functions.dates import column_type, days_before, floor_days, time_literal
+from trolley.functions.dates import column_type, days_before, floor_days_text, time_literal
 
 PAIR = ("customer_id", "item_id")
 CUSTOMER = ("customer_id",)
@@ -20,62 +20,63 @@ WINDOWS_LONG = (1, 7, 30, 60, 90, 360, 720)
 PENALTY = 999
 
 
-def _when(df: DataFrame, ref: datetime | Column) -> Column:
-    return ref if isinstance(ref, Column) else time_literal(ref, column_type(df, "InvoiceDate"))
+def dated(df: DataFrame, ref: datetime | None) -> DataFrame:
+    """The table with its reference date as column ``rd``: a fixed date folds into the plan as
+    a literal, without one the rows bring their own ``rd``."""
+    return df if ref is None else df.withColumn("rd", time_literal(ref, column_type(df, "InvoiceDate")))
 
 
 def with_net_price(df: DataFrame) -> DataFrame:
     return df.withColumn("net_price", net_price(F.col("item_amt"), F.col("item_qty")))
 
 
-def with_ref_dates(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetime | Column | None = None) -> DataFrame:
+def with_ref_dates(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetime | None = None) -> DataFrame:
     """Add ``rd`` and one ``rd<w>`` per window.
 
     Without ``ref`` each customer's own latest date is used; it comes from a partial
     aggregate joined back, so a customer with very many rows is split by the skew join.
     """
     if ref is None:
-        latest = df.groupBy(*CUSTOMER).agg(F.max("InvoiceDate").alias("rd"))
-        df = df.join(latest, list(CUSTOMER))
-    else:
-        df = df.withColumn("rd", _when(df, ref))
-    return df.select("*", *[days_before(F.col("rd"), w).alias(f"rd{w}") for w in windows])
+        df = df.join(df.groupBy(*CUSTOMER).agg(F.max("InvoiceDate").alias("rd")), list(CUSTOMER))
+    return dated(df, ref).select("*", *[days_before(F.col("rd"), w).alias(f"rd{w}") for w in windows])
 
 
-def window_features(windows: Sequence[int], ref: Column, prefix: str = "", amount: Sequence[str] = ("sum",),
+def window_features(windows: Sequence[int], prefix: str = "", amount: Sequence[str] = ("sum",),
                     quantity: Sequence[str] = ("sum",), net: bool = False, sep: str = "") -> list[Column]:
-    """Aggregates of all windows at once; an empty window gives NULL, not 0."""
-    apply = {"sum": F.sum, "min": F.min, "max": F.max, "mean": F.avg}
-
-    def measures(letter: str, column: str, kinds: Sequence[str], window: int, inside: Column) -> list[Column]:
-        return [apply[k](F.when(inside, F.col(column))).alias(
-            f"{prefix}{letter}{window}" + (f"{sep}{k}" if len(kinds) > 1 else "")) for k in kinds]
-
-    out: list[Column] = []
+    """Aggregates of all windows back from ``rd`` at once; an empty window gives NULL, not 0."""
+    out = []
     for window in windows:
-        inside = F.col("InvoiceDate") >= days_before(ref, window)
-        out.append(F.nullif(F.count(F.when(inside, F.col("transaction_id"))), F.lit(0)).alias(f"{prefix}F{window}"))
-        out += measures("M", "item_amt", amount, window, inside)
-        out += measures("Q", "item_qty", quantity, window, inside)
+        inside = f"FILTER (WHERE InvoiceDate >= rd - INTERVAL '{int(window)}' DAY)"
+        out.append(f"nullif(count(transaction_id) {inside}, 0L) AS {prefix}F{window}")
+        for letter, column, kinds in (("M", "item_amt", amount), ("Q", "item_qty", quantity)):
+            for kind in kinds:
+                name = f"{prefix}{letter}{window}" + (f"{sep}{kind}" if len(kinds) > 1 else "")
+                out.append(f"{kind}({column}) {inside} AS {name}")
         if net:
-            out.append(F.sum(F.when(inside, F.col("net_price"))).alias(f"{prefix}N{window}"))
-    return out
+            out.append(f"sum(net_price) {inside} AS {prefix}N{window}")
+    return [F.expr(text) for text in out]
+
+
+def recency_features(letter: str) -> list[Column]:
+    """Days from the last (``_L``) and the first (``_F``) purchase to ``rd``."""
+    return [F.expr(floor_days_text("max(rd)", f"{pick}(InvoiceDate)") + f" AS {letter}_{end}")
+            for pick, end in (("max", "L"), ("min", "F"))]
 
 
-def _windowed(df: DataFrame, keys: Sequence[str], windows: Sequence[int], ref: datetime | Column | None,
-              prefix: str, **options) -> DataFrame:
+def span_feature(name: str) -> Column:
+    return F.expr(floor_days_text("max(InvoiceDate)", "min(InvoiceDate)") + f" AS {name}")
+
+
+def _windowed(df: DataFrame, keys: Sequence[str], windows: Sequence[int], ref: datetime | None, prefix: str,
+              **options) -> DataFrame:
     if options.get("net") and "net_price" not in df.columns:
         df = with_net_price(df)
-    if ref is None:
-        df, when = with_ref_dates(df, ()), F.col("rd")
-    else:
-        when = _when(df, ref)
-    widest = max(windows)
-    return (df.filter(F.col("InvoiceDate") >= days_before(when, widest))
-            .groupBy(*keys).agg(*window_features(windows, when, prefix, **options)))
+    df = with_ref_dates(df, (), ref)
+    return (df.filter(F.col("InvoiceDate") >= days_before(F.col("rd"), max(windows)))
+            .groupBy(*keys).agg(*window_features(windows, prefix, **options)))
 
 
-def pair_rfm(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetime | Column | None = None,
+def pair_rfm(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetime | None = None,
              keys: Sequence[str] = PAIR, **options) -> DataFrame:
     """F/M/Q of each (customer, item) for every window in one aggregation.
 
@@ -85,7 +86,7 @@ def pair_rfm(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetime | Co
     return _windowed(df, keys, windows, ref, "", **options)
 
 
-def customer_rfm(df: DataFrame, windows: Sequence[int] = WINDOWS_LONG, ref: datetime | Column | None = None,
+def customer_rfm(df: DataFrame, windows: Sequence[int] = WINDOWS_LONG, ref: datetime | None = None,
                  keys: Sequence[str] = CUSTOMER, **options) -> DataFrame:
     return _windowed(df, keys, windows, ref, "C", **options)
 
@@ -95,14 +96,10 @@ def rfm_join(parts: Sequence[DataFrame], keys: Sequence[str] = PAIR) -> DataFram
     return reduce(lambda a, b: a.join(b, list(keys), "outer"), parts)
 
 
-def recency(df: DataFrame, ref: datetime | Column, keys: Sequence[str] = PAIR, letter: str = "R") -> DataFrame:
-    """Days from the last (``_L``) and the first (``_F``) purchase to the reference date."""
-    when = _when(df, ref)
-    return df.groupBy(*keys).agg(
-        floor_days(F.first(when) if isinstance(ref, Column) else when, F.max("InvoiceDate")).alias(f"{letter}_L"),
-        floor_days(F.first(when) if isinstance(ref, Column) else when, F.min("InvoiceDate")).alias(f"{letter}_F"))
+def recency(df: DataFrame, ref: datetime, keys: Sequence[str] = PAIR, letter: str = "R") -> DataFrame:
+    return dated(df, ref).groupBy(*keys).agg(*recency_features(letter))
 
 
 def span_days(df: DataFrame, keys: Sequence[str] = PAIR, name: str = "R_F") -> DataFrame:
     """Days between the first and the last purchase."""
-    return df.groupBy(*keys).agg(floor_days(F.max("InvoiceDate"), F.min("InvoiceDate")).alias(name))
+    return df.groupBy(*keys).agg(span_feature(name))

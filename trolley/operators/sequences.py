@@ -9,19 +9,21 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from trolley.functions.dates import column_type, floor_days, time_literal
 from trolley.functions.text import tag
-from trolley.operators.ordering import position_in_key
+from trolley.operators.ordering import HOT_ROWS, position_in_key
 from trolley.operators.rfm import CUSTOMER
 
 SEP = ", "
 
 
-def sequence_steps(df: DataFrame, ref: datetime | Column, keys: Sequence[str] = CUSTOMER, prefix: str = "") -> DataFrame:
+def sequence_steps(df: DataFrame, ref: datetime | Column, keys: Sequence[str] = CUSTOMER, prefix: str = "",
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Long form: one row per purchase with its 1-based ``position`` (newest first; purchases of
     one time by item, quantity, amount) and its day offset from the reference date."""
     when = ref if isinstance(ref, Column) else time_literal(ref, column_type(df, "InvoiceDate"))
     steps = df.select(*keys, "InvoiceDate", "item_id", "item_qty", "item_amt",
                       floor_days(F.col("InvoiceDate"), when).alias("days"))
-    placed = position_in_key(steps, keys, "InvoiceDate", [F.asc("item_id"), F.asc("item_qty"), F.asc("item_amt")])
+    placed = position_in_key(steps, keys, "InvoiceDate", [F.asc("item_id"), F.asc("item_qty"), F.asc("item_amt")],
+                             hot_rows=hot_rows)
     return placed.withColumn("item_id", tag(prefix, F.col("item_id")) if prefix else F.col("item_id"))
 
 

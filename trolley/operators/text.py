@@ -35,11 +35,15 @@ def term_counts(df: DataFrame, keys: Sequence[str], text: str, tokens: Callable[
             .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def tfidf_fit(counts: DataFrame, documents: int, min_df: int = 1) -> Tfidf:
-    """Smoothed inverse document frequency: ln((1 + n) / (1 + df)) + 1."""
-    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def tfidf_fit(counts: DataFrame, documents: int, min_df: int = 1, copies: int = 1) -> Tfidf:
+    """Smoothed inverse document frequency: ln((1 + n) / (1 + df)) + 1.
+
+    ``copies`` is how often each document occurs where a customer's list is repeated on
+    several rows; it scales n and df without repeating the rows.
+    """
+    found = counts.groupBy("term").agg((F.count(F.lit(1)) * copies).alias("df"))
     kept = found if min_df <= 1 else found.filter(F.col("df") >= min_df)
-    idf = F.log((1 + F.lit(documents)) / (1 + F.col("df"))) + 1
+    idf = F.log((1 + F.lit(documents * copies)) / (1 + F.col("df"))) + 1
     return Tfidf(kept.select("term", "df", idf.alias("idf")), documents)
 
 

@@ -11,16 +11,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from trolley.functions.dates import column_type, floor_days, reference_date, time_literal
+from trolley.functions.dates import column_type, reference_date, time_literal
 from trolley.functions.text import tag
 from trolley.operators.filters import only_items, restrict_to
 from trolley.operators.gaps import gap_stats
 from trolley.operators.reshape import assemble_customer, attach_labels, attach_long_labels, labels, labels_long, widen
 from trolley.operators.recommend import score_grid
-from trolley.operators.rfm import (CUSTOMER, PAIR, PENALTY, WINDOWS, WINDOWS_LONG, recency, span_days, window_features,
-                                   with_net_price)
+from trolley.operators.rfm import (CUSTOMER, PAIR, PENALTY, WINDOWS, WINDOWS_LONG, dated, recency, recency_features, span_days,
+                                   span_feature, window_features, with_net_price)
 from trolley.operators.sequences import sequence_steps
 from trolley.operators.summary import top_item, top_n
 
@@ -29,24 +29,26 @@ ORIGIN = "origin"
 
 @dataclass(frozen=True)
 class Universe:
-    """Model-ready ``rows``; ``items`` are the purchases behind them (for TF-IDF and sequences)."""
+    """Model-ready ``rows``; ``items`` are the purchases behind them (for TF-IDF and sequences).
+
+    ``labelled`` holds the keys of the documents TF-IDF counts, also those without purchases.
+    """
 
     rows: DataFrame
     items: DataFrame
+    labelled: DataFrame | None = None
 
 
-def feature_block(df: DataFrame, keys: Sequence[str], ref: datetime | Column, windows: Sequence[int], prefix: str = "",
+def feature_block(df: DataFrame, keys: Sequence[str], windows: Sequence[int], ref: datetime | None = None, prefix: str = "",
                   fill_before: bool = False, letter: str | None = None, span: str | None = None, **options) -> DataFrame:
-    """Windowed aggregates, recency or span, and gap statistics of one key."""
-    when = ref if isinstance(ref, Column) else time_literal(ref, column_type(df, "InvoiceDate"))
-    measures = window_features(windows, when, prefix, **options)
+    """Windowed aggregates, recency or span, and gap statistics of one key, back from ``ref``
+    or from the rows' own ``rd``."""
+    measures = window_features(windows, prefix, **options)
     if letter:
-        at = F.max(when) if isinstance(ref, Column) else when
-        measures += [floor_days(at, F.max("InvoiceDate")).alias(f"{letter}_L"),
-                     floor_days(at, F.min("InvoiceDate")).alias(f"{letter}_F")]
+        measures += recency_features(letter)
     if span:
-        measures.append(floor_days(F.max("InvoiceDate"), F.min("InvoiceDate")).alias(span))
-    return df.groupBy(*keys).agg(*measures).join(
+        measures.append(span_feature(span))
+    return dated(df, ref).groupBy(*keys).agg(*measures).join(
         gap_stats(df, keys, fill_before=fill_before, prefix="C_" if prefix else ""), list(keys))
 
 
@@ -60,17 +62,21 @@ def _filled(base: DataFrame, blocks: Sequence[DataFrame], keys: Sequence[str]) -
 
 def universe_fixed(raw: DataFrame, targets: Sequence[str], horizon: int = 60, windows: Sequence[int] = WINDOWS,
                    fill_before: bool = True) -> Universe:
-    """Features up to ``horizon`` days before the end, labels from the days after."""
+    """Features up to ``horizon`` days before the end, labels from the days after.
+
+    Only labelled customers make rows, so the past of all others is dropped before any
+    feature is computed; the other universes do the same.
+    """
     ref = reference_date(raw, days=horizon)
     cut = time_literal(ref, column_type(raw, "InvoiceDate"))
     wanted = only_items(raw, targets)
-    past = wanted.filter(F.col("InvoiceDate") <= cut)
-    pairs = feature_block(past, PAIR, ref, windows, fill_before=fill_before, letter="R")
-    wide = widen(pairs, targets, _measures(pairs, PAIR))
     labelled = labels(wanted.filter(F.col("InvoiceDate") > cut), targets)
     base = labelled.select(*CUSTOMER)
+    past = restrict_to(wanted.filter(F.col("InvoiceDate") <= cut), base)
+    pairs = feature_block(past, PAIR, windows, ref, fill_before=fill_before, letter="R")
+    wide = widen(pairs, targets, _measures(pairs, PAIR))
     rows = attach_labels(_filled(base, [wide, recency(past, ref, CUSTOMER, "T")], CUSTOMER), labelled)
-    return Universe(rows, sequence_steps(raw.filter(F.col("InvoiceDate") <= cut), ref))
+    return Universe(rows, sequence_steps(restrict_to(raw.filter(F.col("InvoiceDate") <= cut), base), ref), base)
 
 
 def score_universe_wide(raw: DataFrame, targets: Sequence[str], template: DataFrame, windows: Sequence[int] = WINDOWS,
@@ -78,8 +84,8 @@ def score_universe_wide(raw: DataFrame, targets: Sequence[str], template: DataFr
     """Features as of the last date for exactly the template's customers; customers without
     purchases get the penalty everywhere."""
     ref = reference_date(raw)
-    past = only_items(raw, targets)
-    pairs = feature_block(past, PAIR, ref, windows, fill_before=fill_before, letter="R")
+    past = restrict_to(only_items(raw, targets), template)
+    pairs = feature_block(past, PAIR, windows, ref, fill_before=fill_before, letter="R")
     wide = widen(pairs, targets, _measures(pairs, PAIR))
     rows = _filled(template.select(*CUSTOMER), [wide, recency(past, ref, CUSTOMER, "T")], CUSTOMER)
     return Universe(rows, sequence_steps(restrict_to(raw, template), ref))
@@ -120,15 +126,15 @@ def universe_rolling(raw: DataFrame, targets: Sequence[str], n: int = 6, step: i
     wanted = only_items(raw, targets)
     copies = wanted.withColumn("_o", F.explode(F.filter(spans, lambda s: F.col("InvoiceDate") <= s["end"])))
     copies = copies.select(*wanted.columns, f"_o.{ORIGIN}", "_o.rd")
-    past, after = copies.filter(F.col("InvoiceDate") <= F.col("rd")), copies.filter(F.col("InvoiceDate") > F.col("rd"))
     keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
+    labelled = labels(copies.filter(F.col("InvoiceDate") > F.col("rd")), targets, keys)
+    past = restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys)
     kinds = ("sum", "min", "max")
-    pairs = feature_block(past, pair, F.col("rd"), windows, letter="R", amount=kinds, quantity=kinds)
+    pairs = feature_block(past, pair, windows, letter="R", amount=kinds, quantity=kinds)
     wide = widen(pairs, targets, _measures(pairs, pair), keys)
-    customers = feature_block(past, keys, F.col("rd"), windows, "C", letter="T", amount=kinds, quantity=kinds, sep="_")
-    labelled = labels(after, targets, keys)
+    customers = feature_block(past, keys, windows, prefix="C", letter="T", amount=kinds, quantity=kinds, sep="_")
     rows = attach_labels(_filled(labelled.select(*keys), [wide, customers], keys), labelled, keys)
-    return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")))
+    return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")), labelled.select(*keys))
 
 
 def popular_by_origin(raw: DataFrame, n: int, step: int, popular: int) -> DataFrame:
@@ -155,13 +161,14 @@ def universe_gaps(raw: DataFrame, targets: Sequence[str], n: int = 6, step: int
     copies = raw.withColumn("_o", F.explode(F.filter(spans, lambda s: (F.col("InvoiceDate") <= s["end"])
                                                      & F.array_contains(s["items"], F.col("item_id")))))
     copies = copies.select(*raw.columns, f"_o.{ORIGIN}", "_o.rd")
-    past, after = copies.filter(F.col("InvoiceDate") <= F.col("rd")), copies.filter(F.col("InvoiceDate") > F.col("rd"))
     keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
+    labelled = labels(copies.filter(F.col("InvoiceDate") > F.col("rd")), targets, keys)
+    past = restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys)
     gaps = gap_stats(past.filter(F.col("item_id").isin(*common)), pair)
     wide = widen(gaps, common, _measures(gaps, pair), keys)
     base = past.select(*keys).distinct()
-    rows = attach_labels(_filled(base, [wide], keys), labels(after, targets, keys), keys)
-    return Universe(rows, past.select(*keys, F.col("item_id").alias("item")))
+    rows = attach_labels(_filled(base, [wide], keys), labelled, keys)
+    return Universe(rows, past.select(*keys, F.col("item_id").alias("item")), base)
 
 
 def newest_visits(raw: DataFrame, n: int) -> DataFrame:
@@ -191,14 +198,14 @@ def universe_last_visit(raw: DataFrame, targets: Sequence[str], n: int = 4,
     copies = (wanted.join(spans, list(CUSTOMER))
               .withColumn("_o", F.explode(F.filter("_s", lambda s: F.col("InvoiceDate") <= s["label_date"])))
               .select(*wanted.columns, f"_o.{ORIGIN}", "_o.label_date", "_o.rd"))
-    past = copies.filter(F.col("InvoiceDate") < F.col("label_date"))
+    past = copies.filter(F.col("InvoiceDate") < F.col("label_date"))  # every customer here has a labelled visit
     keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
-    pairs = feature_block(past, pair, F.col("rd"), windows, span="R_F", amount=("mean",))
+    pairs = feature_block(past, pair, windows, span="R_F", amount=("mean",))
     wide = widen(pairs, targets, _measures(pairs, pair), keys)
-    customers = feature_block(past, keys, F.col("rd"), windows, "C", span="T_F", amount=("mean",))
+    customers = feature_block(past, keys, windows, prefix="C", span="T_F", amount=("mean",))
     labelled = labels(copies.filter(F.col("InvoiceDate") == F.col("label_date")), targets, keys)
     rows = attach_labels(_filled(labelled.select(*keys), [wide, customers], keys), labelled, keys)
-    return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")))
+    return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")), labelled.select(*keys))
 
 
 def _long_blocks(past: DataFrame, targets: Sequence[str], keys: Sequence[str], windows: Sequence[int]) -> tuple[DataFrame, DataFrame]:
@@ -211,8 +218,8 @@ def _long_blocks(past: DataFrame, targets: Sequence[str], keys: Sequence[str], w
     past = with_net_price(past)
     wanted = only_items(past, targets).drop("rd")
     latest = wanted.groupBy(*keys).agg(F.max("InvoiceDate").alias("rd"))
-    pairs = feature_block(wanted.join(latest, list(keys)), pair, F.col("rd"), windows, span="R_F", net=True)
-    customers = feature_block(past, keys, F.col("rd"), windows, "C", amount=("mean",), net=True)
+    pairs = feature_block(wanted.join(latest, list(keys)), pair, windows, span="R_F", net=True)
+    customers = feature_block(past, keys, windows, prefix="C", amount=("mean",), net=True)
     block = (customers.join(span_days(wanted, keys, "T_F"), list(keys), "left")
              .join(top_item(past, keys), list(keys), "left"))
     return pairs, block
@@ -230,10 +237,11 @@ def universe_long(raw: DataFrame, targets: Sequence[str], n: int = 6, windows: S
               .select(*raw.columns, f"_o.{ORIGIN}", "_o.label_date", "_o.rd"))
     bought = copies.filter((F.col("InvoiceDate") == F.col("label_date")) & (F.col("item_qty") > 0))
     labelled = labels_long(bought, targets, keys)
-    past = copies.filter(F.col("InvoiceDate") < F.col("label_date")).drop("label_date")
+    past = restrict_to(copies.filter(F.col("InvoiceDate") < F.col("label_date")).drop("label_date"),
+                       bought.filter(F.col("item_id").isin(*targets)), keys)
     pairs, block = _long_blocks(past, targets, keys, windows)
     rows = attach_long_labels(pairs, labelled, pair).join(block, list(keys), "left").na.fill(PENALTY).na.fill(str(PENALTY))
-    return Universe(rows, past.select(*keys, "InvoiceDate", "item_id", "item_qty", "item_amt"))
+    return Universe(rows, past.select(*keys, "InvoiceDate", "item_id", "item_qty", "item_amt"), labelled.select(*keys).distinct())
 
 
 def score_universe(raw: DataFrame, targets: Sequence[str], windows: Sequence[int] = WINDOWS_LONG) -> Universe:
