@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trolley.session import materialise
+from trolley.sources.tables import spread
 
 TARGETS = [f"Brand#{i}" for i in range(1, 11)]
 SEED = 42
@@ -53,6 +54,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases: line items with their order's customer and date and their part's brand."""
     lines, orders, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))

@@ -146,9 +146,9 @@ def _gap_entry(name, source, load, keys, prefix="", fill_before=False):
     return build
 
 
-_gap_entry("gap_stats", (TX, "tx"), transactions, rfm.PAIR)
-_gap_entry("gap_stats_filled", (TX, "tx"), transactions, rfm.PAIR, fill_before=True)
-_gap_entry("gap_stats_customer", (TX, "tx"), transactions, rfm.CUSTOMER, "C_")
+_gap_entry("gap_stats", (TX, "tx"), stored_transactions, rfm.PAIR)
+_gap_entry("gap_stats_filled", (TX, "tx"), stored_transactions, rfm.PAIR, fill_before=True)
+_gap_entry("gap_stats_customer", (TX, "tx"), stored_transactions, rfm.CUSTOMER, "C_")
 _gap_entry("gap_stats_events", (EV, "ev"), event_purchases, rfm.PAIR)
 _gap_entry("gap_stats_events_customer", (EV, "ev"), event_purchases, rfm.CUSTOMER, "C_")
 
@@ -167,7 +167,7 @@ def _lagged(df, keys):
 
 @register("lags", ctes(TX) + _lag_sql("tx", rfm.PAIR), ["gap1", "gap2", "gap3"])
 def lags(spark, d):
-    return _lagged(transactions(spark, d), rfm.PAIR)
+    return _lagged(stored_transactions(spark, d), rfm.PAIR)
 
 
 @register("lags_customer", ctes(EV) + _lag_sql("ev", rfm.CUSTOMER), ["gap1", "gap2", "gap3"])

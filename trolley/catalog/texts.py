@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trolley.catalog.base import TX, ctes, days_sql, register, stored_transactions, table, transactions
+from trolley.catalog.base import TX, ctes, days_sql, register, stored_transactions, texts, transactions
 from trolley.functions import text as X
 from trolley.functions.dates import reference_date
 from trolley.operators import sequences as Q
@@ -27,13 +27,13 @@ DOC_TERMS = f"SELECT doc_id AS doc, term, count(*) AS tf FROM (SELECT doc_id, un
 
 @register("tfidf_fit", ctes(*tfidf_ctes(DOC_TERMS, "SELECT count(*) FROM documents")) + "SELECT * FROM vocab", ["idf"], 6)
 def tfidf_fit(spark, d):
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d)
     return T.tfidf_fit(T.term_counts(documents, ["doc_id"], "text"), documents.count()).vocabulary
 
 
 @register("tfidf_transform", ctes(*tfidf_ctes(DOC_TERMS, "SELECT count(*) FROM documents")) + "SELECT doc AS doc_id, term, weight FROM weights", ["weight"], 6)
 def tfidf_transform(spark, d):
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d)
     counts = T.term_counts(documents, ["doc_id"], "text")
     return T.tfidf_transform(T.tfidf_fit(counts, documents.count()), counts, ["doc_id"])
 
@@ -45,9 +45,9 @@ NEW_TERMS = f"SELECT conv_id, turn, term, count(*) AS tf FROM (SELECT conv_id, t
  FROM (SELECT conv_id, turn, term, tf * idf AS r FROM ({NEW_TERMS}) JOIN vocab USING (term))""", ["weight"], 6)
 def tfidf_apply(spark, d):
     """A vocabulary fitted on one table applied to another; unseen terms are ignored."""
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d)
     model = T.tfidf_fit(T.term_counts(documents, ["doc_id"], "text"), documents.count())
-    return T.tfidf_transform(model, T.term_counts(table(spark, d, "conversations"), ["conv_id", "turn"], "text"), ["conv_id", "turn"])
+    return T.tfidf_transform(model, T.term_counts(texts(spark, d, "conversations"), ["conv_id", "turn"], "text"), ["conv_id", "turn"])
 
 
 def _grams(tokens: str) -> str:
@@ -66,14 +66,14 @@ def _gram_counts(documents):
 
 @register("tfidf_fit_ngrams", ctes(*tfidf_ctes(GRAMS, "SELECT count(*) FROM documents", 2)) + "SELECT * FROM vocab", ["idf"], 6)
 def tfidf_fit_ngrams(spark, d):
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d)
     return T.tfidf_fit(_gram_counts(documents), documents.count(), 2).vocabulary
 
 
 @register("tfidf_ngrams", ctes(*tfidf_ctes(GRAMS, "SELECT count(*) FROM documents", 2)) + """SELECT doc AS doc_id, count(*) AS terms, sum(weight) AS total,
  max(weight) AS strongest FROM weights GROUP BY doc""", ["total", "strongest"], 6)
 def tfidf_ngrams(spark, d):
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d)
     counts = _gram_counts(documents)
     weights = T.tfidf_transform(T.tfidf_fit(counts, documents.count(), 2), counts, ["doc_id"])
     return weights.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("weight").alias("total"), F.max("weight").alias("strongest"))
@@ -99,12 +99,12 @@ VOCAB = f"vocab AS (SELECT token, count(*) AS n, row_number() OVER (ORDER BY cou
 
 @register("fit_vocab", ctes(VOCAB) + "SELECT * FROM vocab")
 def fit_vocab(spark, d):
-    return T.fit_vocab(table(spark, d, "documents"), "text")
+    return T.fit_vocab(texts(spark, d), "text")
 
 
 @register("max_len", f"SELECT max(len({TOKENS})) AS max_len FROM documents")
 def max_len(spark, d):
-    return T.max_len(table(spark, d, "documents"), "text")
+    return T.max_len(texts(spark, d), "text")
 
 
 @register("to_padded_ids", ctes(VOCAB, f"flat AS (SELECT conv_id, turn, unnest({TOKENS}) AS token, generate_subscripts({TOKENS}, 1) AS pos FROM conversations)") + """
@@ -112,7 +112,7 @@ SELECT conv_id, turn, array_to_string(list_concat(coalesce(ids, []), list_resize
 FROM conversations LEFT JOIN (SELECT conv_id, turn, list(id ORDER BY pos) AS ids FROM (SELECT conv_id, turn, pos, id,
  row_number() OVER (PARTITION BY conv_id, turn ORDER BY pos DESC) AS back FROM flat JOIN vocab USING (token)) WHERE back <= 60 GROUP BY ALL) USING (conv_id, turn)""")
 def to_padded_ids(spark, d):
-    documents, conversations = table(spark, d, "documents"), table(spark, d, "conversations")
+    documents, conversations = texts(spark, d), texts(spark, d, "conversations")
     length = T.padding_length(documents, "text")
     ids = T.to_padded_ids(conversations, ["conv_id", "turn"], "text", T.fit_vocab(documents, "text"), length)
     return ids.select("conv_id", "turn", F.array_join("ids", " ").alias("ids"))

@@ -14,7 +14,6 @@ working set until none is left. The answer equals the full solve.
 from __future__ import annotations
 
 import math
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -126,7 +125,10 @@ def slim_fit(urm: DataFrame, alpha: float = 1.0, l1_ratio: float = 0.1, positive
                 .select("target", "item", "c"))
 
     working = materialise(widest(partners.filter(strength > n * l1), strongest), "working")
-    solve = partial(_solve_target, n=n, l1=l1, l2=l2, positive=positive, sweeps=sweeps, tol=tol)
+
+    def solve(block: pd.DataFrame) -> pd.DataFrame:
+        return _solve_target(block, n, l1, l2, positive, sweeps, tol)
+
     schema = f"target {kind}, item {kind}, weight double, converged boolean, sweeps int"
     for _ in range(MAX_ROUNDS):
         first = working.select("target", F.col("item").alias("a"), "c")

@@ -1,4 +1,8 @@
-"""Days between a purchase and the ones before it."""
+"""Days between a purchase and the ones before it.
+
+The input is read more than once (hot keys are looked for first): store an expensive join
+before handing it over.
+"""
 
 from __future__ import annotations
 

@@ -64,14 +64,16 @@ def time_slice(ts: Column, hours: int = 24) -> Column:
     return floor_div(micros(ts), hours * HOUR_MICROS)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows).
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows, or None).
 
-    There are at most ``rows / hot_rows`` hot keys; with none, the adaptive plan drops the
-    hot branch.
+    One partially aggregated count finds the hot keys. At most (table rows / hot_rows) keys
+    can be hot, a millionth of the table by default, so their stored list is broadcast.
     """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+    hot = materialise(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys), "hot")
+    if hot.isEmpty():
+        return df, None
+    return df.join(F.broadcast(hot), list(keys), "left_anti"), df.join(F.broadcast(hot), list(keys), "left_semi")
 
 
 def position_in_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[Column] = (), newest_first: bool = True,
@@ -82,6 +84,8 @@ def position_in_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[
     by_slice = F.col("_slice").desc() if newest_first else F.col("_slice").asc()
     ordinary, hot = split_hot(df, keys, hot_rows)
     direct = ordinary.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(by_time, *ties)).cast("long"))
+    if hot is None:
+        return direct
 
     sliced = hot.withColumn("_slice", time_slice(F.col(ts), hours))
     inside = sliced.withColumn(
@@ -100,8 +104,10 @@ def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hou
     ``depth`` rows just before it (newest first, repeated where a time holds several rows)."""
     keys = list(keys)
     empty = F.array().cast(f"array<{df.schema[ts].dataType.simpleString()}>")
-    collapsed = (df.filter(F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).alias("_ts"))
-                 .agg(F.count(F.lit(1)).alias("rows")))
+
+    def collapsed(rows: DataFrame) -> DataFrame:
+        return (rows.filter(F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).alias("_ts"))
+                .agg(F.count(F.lit(1)).alias("rows")))
 
     def repeated(when: Column, count: Column) -> Column:
         times = F.array_repeat(when, F.least(count, F.lit(depth)).cast("int"))
@@ -111,12 +117,16 @@ def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hou
         earlier = [repeated(F.lag("_ts", i).over(over), F.lag("rows", i).over(over)) for i in range(1, depth + 1)]
         return F.slice(F.concat(*earlier), 1, depth)
 
-    ordinary, hot = split_hot(collapsed, keys, hot_rows)
-    direct = ordinary.select("*", preceding(W.partitionBy(*keys).orderBy("_ts")).alias("prior"))
+    columns = [*keys, F.col("_ts").alias(ts), "rows", "prior"]
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    direct = (collapsed(ordinary).select("*", preceding(W.partitionBy(*keys).orderBy("_ts")).alias("prior"))
+              .select(*columns))
+    if hot is None:
+        return direct
 
     # Hot keys: lag inside each time slice, then carry the last times of the slices before.
     in_slice = W.partitionBy(*keys, "_slice").orderBy("_ts")
-    inside = hot.withColumn("_slice", time_slice(F.col("_ts"), hours)).select(
+    inside = collapsed(hot).withColumn("_slice", time_slice(F.col("_ts"), hours)).select(
         "*", preceding(in_slice).alias("_near"), F.lead("_ts", 1).over(in_slice).isNull().alias("_last"))
     own = repeated(F.col("_ts"), F.col("rows"))
     tails = inside.filter("_last").select(*keys, "_slice", F.slice(F.concat(own, F.col("_near")), 1, depth).alias("_tail"))
@@ -125,8 +135,7 @@ def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hou
         *[F.coalesce(F.lag("_tail", i).over(over_slices), empty) for i in range(1, depth + 1)]), 1, depth).alias("_carry"))
     stitched = (inside.join(carried, [*keys, "_slice"])
                 .withColumn("prior", F.slice(F.concat("_near", "_carry"), 1, depth)))
-    columns = [*keys, F.col("_ts").alias(ts), "rows", "prior"]
-    return direct.select(*columns).unionByName(stitched.select(*columns))
+    return direct.unionByName(stitched.select(*columns))
 
 
 def dense_rank_in_key(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,

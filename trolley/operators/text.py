@@ -86,12 +86,12 @@ def to_padded_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFram
     Keeping the last ones *is* the defined truncation; it runs as a per-document row limit
     before the shuffle, so a very long document is never gathered whole.
     """
-    placed = df.select(*keys, F.posexplode(tokens(F.col(text))).alias("pos", "token"))
-    known = placed.join(vocab.select("token", "id"), "token")
-    last = W.partitionBy(*keys).orderBy(F.desc("pos"))
+    placed = df.select(*keys, F.posexplode(tokens(F.col(text))).alias("_pos", "_token"))
+    known = placed.join(vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id")), "_token")
+    last = W.partitionBy(*keys).orderBy(F.desc("_pos"))
     kept = known.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= maxlen)
-    ids = kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_ids"))
-    found = F.coalesce(F.transform("_ids", lambda e: e["id"]), F.array().cast("array<bigint>"))
+    ids = kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "_id"))).alias("_ids"))
+    found = F.coalesce(F.transform("_ids", lambda e: e["_id"]), F.array().cast("array<bigint>"))
     return (df.select(*keys).join(ids, list(keys), "left")
             .select(*keys, pad_right(found, maxlen, F.lit(0).cast("bigint")).alias("ids")))
 

@@ -1,8 +1,8 @@
 """Training and scoring universes: features, labels and item lists as of reference dates.
 
 All universes of a run are built in one job: the universe number (``origin``) is part of
-every key, and a transaction row is copied only into the universes it belongs to before the
-first, partially aggregating, shuffle.
+every key, and a transaction row is copied only into the universes it belongs to. The copies
+feed half a dozen aggregates, so they are stored once instead of being joined up again by each.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from trolley.operators.rfm import (CUSTOMER, PAIR, PENALTY, WINDOWS, WINDOWS_LON
                                    span_feature, window_features, with_net_price)
 from trolley.operators.sequences import sequence_steps
 from trolley.operators.summary import top_item, top_n
+from trolley.session import materialise
 
 ORIGIN = "origin"
 
@@ -128,7 +129,7 @@ def universe_rolling(raw: DataFrame, targets: Sequence[str], n: int = 6, step: i
     copies = copies.select(*wanted.columns, f"_o.{ORIGIN}", "_o.rd")
     keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
     labelled = labels(copies.filter(F.col("InvoiceDate") > F.col("rd")), targets, keys)
-    past = restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys)
+    past = materialise(restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys), "past")
     kinds = ("sum", "min", "max")
     pairs = feature_block(past, pair, windows, letter="R", amount=kinds, quantity=kinds)
     wide = widen(pairs, targets, _measures(pairs, pair), keys)
@@ -198,6 +199,7 @@ def universe_last_visit(raw: DataFrame, targets: Sequence[str], n: int = 4,
     copies = (wanted.join(spans, list(CUSTOMER))
               .withColumn("_o", F.explode(F.filter("_s", lambda s: F.col("InvoiceDate") <= s["label_date"])))
               .select(*wanted.columns, f"_o.{ORIGIN}", "_o.label_date", "_o.rd"))
+    copies = materialise(copies, "copies")
     past = copies.filter(F.col("InvoiceDate") < F.col("label_date"))  # every customer here has a labelled visit
     keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
     pairs = feature_block(past, pair, windows, span="R_F", amount=("mean",))
@@ -237,8 +239,8 @@ def universe_long(raw: DataFrame, targets: Sequence[str], n: int = 6, windows: S
               .select(*raw.columns, f"_o.{ORIGIN}", "_o.label_date", "_o.rd"))
     bought = copies.filter((F.col("InvoiceDate") == F.col("label_date")) & (F.col("item_qty") > 0))
     labelled = labels_long(bought, targets, keys)
-    past = restrict_to(copies.filter(F.col("InvoiceDate") < F.col("label_date")).drop("label_date"),
-                       bought.filter(F.col("item_id").isin(*targets)), keys)
+    past = materialise(restrict_to(copies.filter(F.col("InvoiceDate") < F.col("label_date")).drop("label_date"),
+                                   bought.filter(F.col("item_id").isin(*targets)), keys), "past")
     pairs, block = _long_blocks(past, targets, keys, windows)
     rows = attach_long_labels(pairs, labelled, pair).join(block, list(keys), "left").na.fill(PENALTY).na.fill(str(PENALTY))
     return Universe(rows, past.select(*keys, "InvoiceDate", "item_id", "item_qty", "item_amt"), labelled.select(*keys).distinct())

@@ -38,6 +38,13 @@ def read_transactions(spark: SparkSession, path: str, schema: T.StructType = TRA
     return read_table(spark, path, schema).na.drop("any")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer partitions than cores (one small file) to all cores, for work
+    that is heavy per row. A large table has more partitions and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def split_basket(line: Column, sep: str = ",", keep_empty: bool = True) -> Column:
     """Distinct items of one header-less basket line; an empty field is an item if kept."""
     fields = F.split(F.regexp_replace(line, r"\r$", ""), f"\\Q{sep}\\E")
