@@ -48,6 +48,7 @@ def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def gram(urm: DataFrame, users_per_block: int = 2048, items_per_block: int = 1024) -> DataFrame:
     """Non-zero entries ``(i, j, g)`` of X'X for triples (user, item, value)."""
+    urm = urm.groupBy("user", "item").agg(F.sum("value").alias("value"))  # bounds a tile by its cells, not by rows
     size = urm.agg(F.approx_count_distinct("user").alias("u"), F.approx_count_distinct("item").alias("i")).first()
     user_blocks = max(1, math.ceil(size["u"] / users_per_block))
     item_blocks = max(1, math.ceil(size["i"] / items_per_block))
