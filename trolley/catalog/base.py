@@ -58,9 +58,10 @@ def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spread(table(spark, sf_dir, name))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """Purchases: line items with their order's customer and date and their part's brand."""
     lines, orders, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    lines = spread(lines) if spread_out else lines
     return (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).join(part, lines["l_partkey"] == part["p_partkey"])
             .select(F.col("o_custkey").alias("customer_id"), F.col("p_brand").alias("item_id"),
                     F.col("l_orderkey").alias("transaction_id"), F.col("o_orderdate").alias("InvoiceDate"),
@@ -68,8 +69,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as a stored narrow table, for jobs that read it several times."""
-    return materialise(transactions(spark, sf_dir), "transactions")
+    """The same as a stored narrow table, for jobs that read it several times; a small
+    single-file input is spread out first, so that later scans use all cores."""
+    return materialise(transactions(spark, sf_dir, spread_out=True), "transactions")
 
 
 def event_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
