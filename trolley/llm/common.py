@@ -84,3 +84,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def empty_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+BROADCAST_ROWS = 1_000_000  # ids or digests, some ten bytes each; a longer list is joined by shuffling
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """A stored list of keys, broadcast only if its counted rows are within the bound."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

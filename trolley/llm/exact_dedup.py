@@ -8,8 +8,9 @@ all rows of a digest with more than one row are compared, and a digest that turn
 different texts is split by text.
 
 Scale: only digests are shuffled, combined before the shuffle, so a text copied a billion times
-is one row per input task. The byte comparison groups (digest, text), again combined before the
-shuffle. Each state partition lives on disk, so memory does not grow with the corpus. State and
+is one row per input task. The byte comparison reads the hits only (their digests are broadcast
+if their counted rows are within a bound, else joined) and groups (digest, text), again combined
+before the shuffle. Each state partition lives on disk, so memory does not grow with the corpus. State and
 landing folder are in the shared folder: a lost executor reloads its partitions from there, and a
 later call with the same folder goes on where the last one ended.
 """
@@ -20,14 +21,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trolley.llm.common import empty_text, scratch, table
+from trolley.llm.common import empty_text, few, scratch, stored, table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def sha256(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def ingest(docs: DataFrame, state: str, text: str = "text", key: str = "doc_id",
@@ -63,22 +64,20 @@ def assign(docs: DataFrame, state: str, text: str = "text", key: str = "doc_id",
     Null text counts as empty. A null id is smaller than any other. Rows repeating both id and
     text cannot be told apart and carry the same values (``deduplicated`` keeps one of them).
     """
-    spark, body = docs.sparkSession, empty_text(text)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), digest(body).alias("digest"), sha256(body).alias("text_sha256"))
-    seen = read_state(spark, state)
-    # Full bytes on hits: the texts of every digest that more than one row has.
-    hits = seen.filter("group_size > 1").select("digest")
+    body = empty_text(text)
+    seen = stored(read_state(docs.sparkSession, state).drop("locator"), "seen")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), digest(body).alias("digest"), sha256(body).alias("sha"))
+    # Full bytes on hits: all texts of every digest that more than one row has.
+    hits = stored(seen.filter("group_size > 1").select("digest"), "hits")
     texts = (docs.select(digest(body).alias("digest"), body.alias("text"), F.col(key).cast("long").alias("id"))
-             .join(hits, "digest", "left_semi").groupBy("digest", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    by_text = texts.select("digest", sha256(F.col("text")).alias("text_sha256"), "text", "keep_id", "group_size")
-    # max_by on the count alone would hide a second text, so the number of texts decides.
-    checked = by_text.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
-    clashing = checked.filter("texts > 1").select("digest")
-    split = (by_text.join(clashing, "digest", "left_semi")
-             .select("digest", "text_sha256", F.col("keep_id").alias("own_keep"), F.col("group_size").alias("own_size")))
-    return (rows.join(seen.drop("locator"), "digest", "left").join(split, ["digest", "text_sha256"], "left")
-            .withColumn("keep_id", F.when(F.col("own_size").isNotNull(), F.col("own_keep")).otherwise(F.col("keep_id")))
-            .withColumn("group_size", F.coalesce("own_size", "group_size"))
+             .join(few(hits), "digest", "left_semi").groupBy("digest", "text").agg(F.max("id").alias("own_keep"), F.count(F.lit(1)).alias("own_size"))
+             .select("digest", sha256(F.col("text")).alias("sha"), "own_keep", "own_size"))
+    texts = stored(texts, "texts")
+    clashing = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    split = texts.join(clashing, "digest", "left_semi")
+    return (rows.join(seen, "digest", "left").join(split, ["digest", "sha"], "left")
+            .select("doc_id", F.when(F.col("own_size").isNull(), F.col("keep_id")).otherwise(F.col("own_keep")).alias("keep_id"),
+                    F.coalesce("own_size", "group_size").alias("group_size"), F.lower(F.hex("sha")).alias("text_sha256"))
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
 
 
@@ -92,13 +91,20 @@ def exact_dedup(docs: DataFrame, state: str | None = None, text: str = "text", k
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns; of rows repeating id and text, one."""
-    body = empty_text(text)
-    verdict = exact_dedup(docs, None, text, key).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_rows"))
-    tagged = docs.withColumn("_sha_own", sha256(body))
-    kept = tagged.join(verdict, F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha_own") == F.col("_sha")))
-    once = kept.filter("_rows = 1").select(*docs.columns)
-    again = kept.filter("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
-    return once.unionByName(again)
+    verdict = stored(exact_dedup(docs, None, text, key), "verdict")
+    sha, same = F.lower(F.hex(sha256(empty_text(text)))), ["_id", "_sha"]
+    names = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
+    gone = stored(verdict.filter("not kept").select(*names).distinct(), "gone")
+    repeated = stored(verdict.filter("kept").groupBy(*names).count().filter("count > 1").select(*same), "repeated")
+    rows = docs.withColumn("_id", F.col(key).cast("long")).withColumn("_sha", sha)
+
+    def meets(other: DataFrame) -> Column:
+        return rows["_id"].eqNullSafe(other["_id"]) & (rows["_sha"] == other["_sha"])
+
+    gone, repeated = few(gone), few(repeated)
+    once = rows.join(gone, meets(gone), "left_anti").join(repeated, meets(repeated), "left_anti")
+    again = rows.join(repeated, meets(repeated), "left_semi").dropDuplicates(same)
+    return once.unionByName(again).select(*docs.columns)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
