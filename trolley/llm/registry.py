@@ -1,9 +1,15 @@
 """Queries of this package: name -> callable, and the SQL of those that SQL can express."""
 
+from trolley.llm.bpe import op3_byte_bpe
 from trolley.llm.exact_dedup import SQL as EXACT_SQL, op1_exact_dedup
+from trolley.llm.near_dedup import op9_near_dedup
+from trolley.llm.packing import op2_packing
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLES = {
