@@ -23,8 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trolley.llm.common import empty_text, few, scratch, stored, table
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State on disk; no preallocated logs, of which many small partitions would hold megabytes each.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -38,15 +41,17 @@ def ingest(docs: DataFrame, state: str, text: str = "text", key: str = "doc_id",
     arrivals = docs.select(digest(body).alias("digest"), F.col(key).cast("long").alias("id"),
                            F.struct(F.input_file_name().alias("file"), F.octet_length(body).cast("long").alias("n_bytes")).alias("locator"))
     arrivals.write.mode("append").parquet(f"{state}/arrivals")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    for k, v in STATE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         kept = (spark.readStream.schema(arrivals.schema).parquet(f"{state}/arrivals").groupBy("digest")
                 .agg(F.max(F.struct("id", "locator")).alias("best"), F.count(F.lit(1)).alias("rows")))
         (kept.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{state}/checkpoint")
          .trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
