@@ -2,13 +2,17 @@
 
 from trolley.llm.bpe import op3_byte_bpe
 from trolley.llm.exact_dedup import SQL as EXACT_SQL, op1_exact_dedup
+from trolley.llm.language import op4_language
 from trolley.llm.near_dedup import op9_near_dedup
 from trolley.llm.packing import op2_packing
+from trolley.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language": op4_language,
+    "op7_toxicity": op7_toxicity,
     "op9_near_dedup": op9_near_dedup,
 }
 
