@@ -10,8 +10,11 @@
 4. Survivors are verified on the full shingle sets, first the best pair of each document, then
    the pairs that still join different components.
 5. What pivots could miss: members of one bucket that are by now in different components are all
-   compared, by the same steps 3 and 4. After that no candidate pair between different
-   components is left unchecked, whatever the size of a bucket.
+   compared, by the same steps 3 and 4. In buckets of up to ``SMALL`` members these pairs are a
+   join, whose size is at most ``SMALL`` times its input. Documents connected through larger
+   buckets form a hot group; those outside its largest component are compared with the whole group
+   in blocks of bounded size, inside tasks, and only links come out. After that no candidate pair
+   between different components is left unchecked, whatever the size of a bucket.
 
 A pair at the threshold shares no band with probability (1 - t^rows)^bands, 1.3e-7 by default;
 ``miss`` is a further 1e-9 per look. Shingles are 64-bit hashes, so a set of n shingles has two
@@ -37,6 +40,7 @@ from trolley.llm.graph import components
 from trolley.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS, BATCH, MISS = 40, 5, 25, 1e-9
+SMALL, BLOCK = 48, 256  # members of a bucket whose pairs are joined; documents a block holds on average
 _SEED = 7_919
 
 
@@ -102,24 +106,27 @@ def banded(reps: DataFrame, bands: int, rows: int) -> DataFrame:
     return reps.select("doc_id", "signature").mapInArrow(work, "band long, doc_id long")
 
 
-def promising(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float, batch: int) -> DataFrame:
+def surviving(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray, looks: list[int], least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs that stay, their equal values) of the pairs left[x], right[y], batch by batch."""
+    alive, matches, done = np.arange(len(x)), np.zeros(len(x), np.int64), 0
+    for n, m in zip(looks, least):
+        matches += (left[x[alive], done:n] == right[y[alive], done:n]).sum(1)
+        stay, done = matches >= m, n
+        alive, matches = alive[stay], matches[stay]
+    return alive, matches
+
+
+def promising(pairs: DataFrame, reps: DataFrame, threshold: float, looks: list[int], least: list[int]) -> DataFrame:
     """(a, b, matches) of the pairs whose posterior bound holds after every batch of values."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = None
         for rows in batches:
             if not rows.num_rows:
                 continue
             left, right = (np.frombuffer(text_bytes(rows.column(i))[0], np.uint32).reshape(rows.num_rows, -1) for i in (4, 5))
-            looks = [*range(batch, left.shape[1], batch), left.shape[1]]
-            least = least or least_matches(looks, threshold, miss)
             small, large = (f(rows.column(2).to_numpy(), rows.column(3).to_numpy()) for f in (np.minimum, np.maximum))
-            alive = np.flatnonzero(small >= threshold * large * (1 - 1e-9))  # |A| / |B| bounds the similarity
-            matches, done = np.zeros(len(alive), np.int64), 0
-            for n, m in zip(looks, least):
-                matches += (left[alive, done:n] == right[alive, done:n]).sum(1)
-                stay, done = matches >= m, n
-                alive, matches = alive[stay], matches[stay]
-            chosen = pa.array(alive)
+            near = np.flatnonzero(small >= threshold * large * (1 - 1e-9))  # |A| / |B| bounds the similarity
+            alive, matches = surviving(left, right, near, near, looks, least)
+            chosen = pa.array(near[alive])
             yield pa.record_batch([rows.column(0).take(chosen), rows.column(1).take(chosen), pa.array(matches)], ["a", "b", "matches"])
 
     side = {x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}")) for x in "ab"}
@@ -156,6 +163,53 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(side["b"], "b").join(side["a"], "a").select("a", "b", "sa", "sb").mapInArrow(work, "a long, b long")
 
 
+def hot_groups(rows: DataFrame) -> DataFrame:
+    """(doc_id, hot, component, asks): documents connected through the large buckets of ``rows``; those
+    that ask are outside the largest component of their hot group."""
+    if rows.isEmpty():
+        return rows.select("doc_id", F.col("doc_id").alias("hot"), "component", F.lit(True).alias("asks"))
+    leads = rows.groupBy("band").agg(F.min("doc_id").alias("a"))
+    groups = components(rows.join(leads, "band").select("a", F.col("doc_id").alias("b")))
+    members = stored(rows.select("doc_id", "component").distinct().join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("hot")), "doc_id"), "hot-members")
+    largest = members.groupBy("hot", "component").count().groupBy("hot").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    return members.join(largest, "hot").select("doc_id", "hot", "component", (F.col("component") != F.col("main")).alias("asks"))
+
+
+def blockwise(hot: DataFrame, reps: DataFrame, sets: DataFrame, threshold: float, percent: int, looks: list[int], least: list[int]) -> DataFrame:
+    """Links (a, b) between different components of each hot group: blocks of asking documents
+    against blocks of the whole group, each pair of blocks one bounded group."""
+    sizes = hot.groupBy("hot").agg(F.ceil(F.sum(F.col("asks").cast("int")) / BLOCK).alias("asking"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("asked")).filter("asking > 0")
+    rows = (hot.join(sizes, "hot").join(reps.select("doc_id", "signature"), "doc_id").join(sets, "doc_id")
+            .withColumn("draw", F.xxhash64("doc_id")))
+    held = F.struct("doc_id", "component", "signature", "shingles")
+    asking = rows.filter("asks").select("hot", F.pmod("draw", "asking").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("asked") - 1)).alias("y"), F.lit(True).alias("asks"), held.alias("d"))
+    asked = rows.select("hot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asking") - 1)).alias("x"), F.pmod("draw", "asked").alias("y"), F.lit(False).alias("asks"), held.alias("d"))
+    blocks = asking.unionByName(asked).groupBy("hot", "x", "y").agg(F.collect_list(F.struct("asks", "d")).alias("members"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                members = batch.column(0).slice(i, 1).flatten()
+                asks, held_ = members.field(0).to_numpy(zero_copy_only=False), members.field(1)
+                ids, component = held_.field(0).to_numpy(), held_.field(1).to_numpy()
+                values = np.frombuffer(text_bytes(held_.field(2))[0], np.uint32).reshape(len(ids), -1)
+                own = [np.frombuffer(b.as_buffer(), np.uint64) for b in held_.field(3)]
+                size = np.array([len(o) for o in own])
+                left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+                for a in left:
+                    near = right[(component[right] != component[a]) & (np.minimum(size[right], size[a]) >= threshold * np.maximum(size[right], size[a]) * (1 - 1e-9))]
+                    alive, _ = surviving(values, values, np.full(len(near), a), near, looks, least)
+                    near = near[alive]
+                    if len(near):
+                        every = np.concatenate([own[b] for b in near])
+                        place = np.minimum(np.searchsorted(own[a], every), len(own[a]) - 1)
+                        both = np.add.reduceat(own[a][place] == every, np.cumsum(size[near]) - size[near], dtype=np.int64)
+                        found = near[100 * both >= percent * (size[a] + size[near] - both)]
+                        yield pa.record_batch([pa.array(np.minimum(ids[a], ids[found])), pa.array(np.maximum(ids[a], ids[found]))], ["a", "b"])
+
+    return blocks.select("members").mapInArrow(work, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links),
@@ -165,7 +219,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     linked with nothing, has a null component and is kept. Rows sharing an id are one document.
     An empty table gives an empty result.
     """
-    threshold = percent / 100
+    threshold, looks = percent / 100, [*range(batch, bands * rows, batch), bands * rows]
+    least = least_matches(looks, threshold, miss)
     sign = stored(signed(docs, text, key, width, bands * rows), "signed")
     usable = sign.filter("n_shingles > 0 and doc_id is not null")
     classes = stored(usable.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "classes")
@@ -177,7 +232,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     shared = stored(band_rows.join(pivots, "band"), "shared")  # rows of buckets with two members or more
     pairs = stored(shared.select("doc_id", F.explode(F.array("low", "high")).alias("pivot")).filter("doc_id != pivot")
              .select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct(), "pairs")
-    candidates = stored(promising(pairs, reps, threshold, miss, batch), "candidates")
+    candidates = stored(promising(pairs, reps, threshold, looks, least), "candidates")
     tested = set_rows(docs, stored(candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids"), text, key, width)
     sets = stored(tested, "sets")
 
@@ -190,15 +245,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
 
     # Members of a bucket that are still apart, whoever the pivots were.
     apart = with_component(shared.select("band", "doc_id"), belongs)
-    mixed = apart.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("band")
-    apart = stored(apart.join(mixed, "band", "left_semi"), "apart")
-    left, right = (apart.select("band", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    mixed = (apart.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members"))
+             .filter("least < most").select("band", "members"))
+    apart = stored(apart.join(mixed, "band"), "apart")
+    left, right = (apart.filter(F.col("members") <= SMALL).select("band", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
     more = left.join(right, "band").filter("a < b and ca != cb").select("a", "b").distinct()
-    more = stored(promising(more.join(pairs, ["a", "b"], "left_anti"), reps, threshold, miss, batch), "candidates")
-    if not more.isEmpty():
-        ids = stored(more.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    more = stored(promising(more, reps, threshold, looks, least), "candidates")
+    hot = stored(hot_groups(apart.filter(F.col("members") > SMALL)), "hot")
+    ids = stored(more.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(hot.select("doc_id")).distinct(), "ids")
+    if not ids.isEmpty():
         sets = stored(set_rows(docs, ids, text, key, width), "sets")
-        links = links.unionByName(stored(verified(more, sets, percent), "links"))
+        links = links.unionByName(stored(verified(more, sets, percent), "links")).unionByName(
+            stored(blockwise(hot, reps, sets, threshold, percent, looks, least), "links"))
         belongs = stored(components(links), "components")
 
     named = sign.select("doc_id", "n_shingles", "fingerprint").join(classes, "fingerprint", "left")
@@ -221,7 +279,7 @@ def crossing(pairs: DataFrame, belongs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component."""
     gone = stored(near_duplicates(docs, text, key, **options).filter("not kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
-    return docs.join(few(gone), key, "left_anti")
+    return docs.join(few(gone), key, "left_anti").select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
