@@ -171,6 +171,10 @@ def sequences(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     return joined.select("sequence_id", "length", F.when(power, F.lit(0)).otherwise(F.lit(window) - F.col("length")).alias("padding"), "ids")
 
 
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(table(spark, sf_dir, "documents"))
+def digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pack(table(spark, sf_dir, "documents")))
