@@ -1,14 +1,13 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of byte strings. Every adjacent pair whose join has a merge rank sits
-in the bucket of that rank, by position. A bitmap of three levels marks the buckets in use, so the
-next rank is three find-first-set steps, whatever the number of pairs; entries whose pair has
-changed since are skipped when they come up. Merging costs O(log n) per pair, so a pre-token of
+in the bucket of that rank, by position. A bitmap of two levels marks the buckets in use, so the
+next rank is two find-first-set steps, whatever the number of pairs; entries whose pair has changed
+since are skipped when they come up. Merging costs O(log n) per pair, so a pre-token of
 millions of letters is no special case.
 
-Pre-tokens repeat, so ids are remembered per worker, in tables of bounded size: first by chunk
-(what stands between single spaces or line ends, where the pattern always cuts), then by
-pre-token. Texts where white space meets white space are cut by the pattern as a whole.
+Pre-tokens repeat, so ids are remembered per worker, in tables of bounded size, by chunk (what
+stands between single spaces or line ends, where the pattern always cuts) and by pre-token. Texts where white space meets white space are cut by the pattern as a whole.
 
 Scale: two passes of Arrow batches without a shuffle; documents do not depend on each other.
 """
@@ -27,16 +26,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trolley.llm.common import empty_text, slices, table, worker_cache
 
-REMEMBERED = 600_000  # chunks, and pre-tokens, per worker
+REMEMBERED = 1_000_000  # chunks and pre-tokens per worker
 
 
 class RankQueue:
-    """Positions by merge rank; ``pop`` gives the lowest rank's leftmost position."""
+    """Positions by merge rank; the next one is the lowest rank's leftmost position.
+
+    Two levels of bitmaps: ``top`` has a bit per word of ``low``, whose bits are the ranks in use.
+    """
 
     def __init__(self, ranks: int):
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0  # as many bits as ``mid`` has words
+        self.low = [0] * ((ranks >> 8) + 1)
+        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
@@ -45,63 +46,71 @@ class RankQueue:
             heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int]:
-        i = (self.top & -self.top).bit_length() - 1
-        i = i << 6 | (self.mid[i] & -self.mid[i]).bit_length() - 1
-        rank = i << 6 | (self.low[i] & -self.low[i]).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        self.low[i] ^= 1 << (rank & 63)
+        i = rank >> 8
         if not self.low[i]:
-            self.mid[i >> 6] ^= 1 << (i & 63)
-            if not self.mid[i >> 6]:
-                self.top ^= 1 << (i >> 6)
-        return rank, bucket[0]
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token."""
-    if piece in ranks:
-        return [ranks[piece]]
-    n, rank_at, push, pop = len(piece), ranks.get, queue.push, queue.pop
-    part = [piece[i:i + 1] for i in range(n)]
+            self.top |= 1 << i
+        self.low[i] |= 1 << (rank & 255)
+
+
+class Pairs(dict):
+    """(left id << 20 | right id) -> id of their join, or None; filled as pairs are met."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
+
+    def __missing__(self, pair: int) -> int | None:
+        found = self[pair] = self.ranks.get(self.bytes_of[pair >> 20] + self.bytes_of[pair & 0xFFFFF])
+        return found
+
+
+def merge(piece: bytes, pairs: Pairs, queue: RankQueue) -> list[int]:
+    """Ids of one pre-token (a merged token's id is its rank). Taking the next position from the queue
+    is written out: this loop is where encoding spends its time."""
+    if piece in pairs.ranks:
+        return [pairs.ranks[piece]]
+    n, push, low, buckets = len(piece), queue.push, queue.low, queue.buckets
+    part = [pairs.single[b] for b in piece]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    rank_of = [rank_at(piece[i:i + 2]) for i in range(n - 1)]  # of the pair that begins here
+    rank_of = [pairs[a << 20 | b] for a, b in zip(part, part[1:])]  # of the pair that begins here
     rank_of.append(None)
     for i, rank in enumerate(rank_of):
         if rank is not None:
             push(rank, i)
-    while queue.top:
-        rank, i = pop()
+    while top := queue.top:
+        word_at = (top & -top).bit_length() - 1
+        word = low[word_at]
+        bit = word & -word
+        rank = word_at << 8 | bit.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            low[word_at] = word ^ bit
+            if word == bit:
+                queue.top = top ^ (1 << word_at)
         if rank_of[i] != rank:
             continue  # stale
         j = after[i]
-        own = part[i] = part[i] + part[j]
-        rank_of[j] = None
+        part[i] = own = rank
+        rank_of[j] = part[j] = None
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            rank = rank_of[i] = rank_at(own + part[k])
+            rank = rank_of[i] = pairs[own << 20 | part[k]]
             if rank is not None:
                 push(rank, i)
         else:
             rank_of[i] = None
         h = before[i]
         if h >= 0:
-            rank = rank_of[h] = rank_at(part[h] + own)
+            rank = rank_of[h] = pairs[part[h] << 20 | own]
             if rank is not None:
                 push(rank, h)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[part[i]])
-        i = after[i]
-    return out
+    return [p for p in part if p is not None]
 
 
 class Codec:
@@ -110,42 +119,47 @@ class Codec:
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = REMEMBERED):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self.pairs = Pairs(self.ranks)
+        self.bytes_of = self.pairs.bytes_of
         self.queue = RankQueue(max(self.bytes_of) + 1)
         # \s of this module also holds the separators U+001C to U+001F, which are not white space in Unicode.
         self.pattern = regex.compile(pattern.replace("\\s", "\\p{White_Space}").replace("\\S", "\\P{White_Space}"))
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by pre-token; one that begins with a space, without it
+        self.plain: dict[str, bytes] = {}  # by pre-token that does not
         self.remembered = remembered
 
     def cut(self, text: str) -> bytes:
         """Ids of a text by the pattern alone."""
-        out, pieces = [], self.pieces
+        out = []
         for piece in self.pattern.findall(text):
-            ids = pieces.get(piece)
+            table_, name = (self.known, piece[1:]) if piece[0] == " " and not piece[1:2].isspace() and len(piece) > 1 else (self.plain, piece)
+            ids = table_.get(name)
             if ids is None:
-                ids = np.array(merge(piece.encode(), self.ranks, self.queue), np.uint32).tobytes()
+                ids = np.array(merge(piece.encode(), self.pairs, self.queue), np.uint32).tobytes()
                 if len(piece) < 200:
-                    pieces[piece] = ids
+                    table_[name] = ids
             out.append(ids)
-        return b"".join(out)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        if len(self.pieces) > self.remembered:
-            self.pieces.clear()
-        if len(self.chunks) > self.remembered:
-            self.chunks.clear()
+        known = self.known
+        if len(known) > self.remembered:
+            known.clear()
+        for table_ in (self.plain, self.pairs):
+            if len(table_) > self.remembered:
+                table_.clear()
         parts = text.replace("\n", " \n").split(" ")
         if "" in parts or "\n" in parts:
             return self.cut(text)
-        chunks, first = self.chunks, parts[0]
-        new = set(parts[1:]).difference(chunks)
+        first = self.cut(parts[0])
+        del parts[0]
+        new = set(parts).difference(known)
         for chunk in new:
-            chunks[chunk] = self.cut(chunk if chunk[0] == "\n" else " " + chunk)
-        out = self.cut(first) + b"".join(map(chunks.__getitem__, parts[1:]))
+            known[chunk] = self.cut(chunk if chunk[0] == "\n" else " " + chunk)
+        out = first + b"".join(map(known.__getitem__, parts))
         for chunk in new:  # a chunk without any break is remembered for this text only
             if len(chunk) > 200:
-                del chunks[chunk]
+                del known[chunk]
         return out
 
     def decode(self, ids: bytes) -> bytes:
