@@ -97,14 +97,14 @@ def exact_dedup(docs: DataFrame, state: str | None = None, text: str = "text", k
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns; of rows repeating id and text, one."""
     verdict = stored(exact_dedup(docs, None, text, key), "verdict")
-    sha, same = F.lower(F.hex(sha256(empty_text(text)))), ["_id", "_sha"]
-    names = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
+    sha, same = F.lower(F.hex(sha256(empty_text(text)))), ["__exact_id", "__exact_sha"]
+    names = [F.col("doc_id").alias("__exact_id"), F.col("text_sha256").alias("__exact_sha")]
     gone = stored(verdict.filter("not kept").select(*names).distinct(), "gone")
     repeated = stored(verdict.filter("kept").groupBy(*names).count().filter("count > 1").select(*same), "repeated")
-    rows = docs.withColumn("_id", F.col(key).cast("long")).withColumn("_sha", sha)
+    rows = docs.withColumn("__exact_id", F.col(key).cast("long")).withColumn("__exact_sha", sha)
 
     def meets(other: DataFrame) -> Column:
-        return rows["_id"].eqNullSafe(other["_id"]) & (rows["_sha"] == other["_sha"])
+        return rows["__exact_id"].eqNullSafe(other["__exact_id"]) & (rows["__exact_sha"] == other["__exact_sha"])
 
     gone, repeated = few(gone), few(repeated)
     once = rows.join(gone, meets(gone), "left_anti").join(repeated, meets(repeated), "left_anti")

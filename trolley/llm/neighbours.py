@@ -70,6 +70,8 @@ def on_sphere(nodes: DataFrame) -> DataFrame:
 
 def _points(column: pa.Array) -> np.ndarray:
     """Float32 rows of a column of half-precision points."""
+    if not len(column):
+        return np.zeros((0, 0), np.float32)
     return np.frombuffer(text_bytes(column)[0], np.float16).reshape(len(column), -1).astype(np.float32)
 
 
