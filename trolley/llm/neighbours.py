@@ -10,7 +10,7 @@ their smallest id, so copies cost nothing and answers are expanded at the end.
    that have u as a neighbour) to each other; a pair is proposed where it beats the worst neighbour
    one of them has, and only if one of the two is new in u's list. Rounds are Spark joins and end
    when few neighbours change.
-3. Search: a query's pool of best nodes is extended by the neighbours of all members not yet
+3. Search: a query begins at its own node and its best pivots; its pool of best nodes is extended by the neighbours of all members not yet
    expanded, until a round brings nothing into the pool. All queries go through a round together.
    The pool is then scored in double precision on the original vectors.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from trolley.llm.common import stored, table, text_bytes
 
-DEGREE, REVERSE, POOL, TOP = 24, 12, 96, 20
+DEGREE, REVERSE, POOL, TOP, ENTRIES = 24, 12, 96, 20, 8
 PIVOTS, CELL, BLOCK = 4096, 128, 512  # at most, nodes a pivot stands for, nodes a block may hold on average
 ROUNDS, ENOUGH = 6, 0.02
 
@@ -81,12 +81,14 @@ def nearest(rows: DataFrame, owner: str, k: int) -> DataFrame:
     return rows.withColumn("place", place).filter(F.col("place") <= k).drop("place")
 
 
-def start_graph(points: DataFrame, n: int, degree: int) -> DataFrame:
-    """(owner, node, sim) from the comparison inside blocks."""
-    wanted = max(1, min(PIVOTS, n // CELL))
-    drawn = points.orderBy(F.xxhash64("node"), "node").limit(wanted).select("point").toArrow()["point"].combine_chunks()
-    pivots = _points(drawn)
+def pivots_of(points: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, points) of the pivots, drawn by hash."""
+    drawn = points.orderBy(F.xxhash64("node"), "node").limit(max(1, min(PIVOTS, n // CELL))).toArrow().combine_chunks()
+    return drawn["node"].to_numpy(), _points(drawn["point"].chunk(0) if drawn.num_rows else pa.array([], pa.binary()))
+
 
+def start_graph(points: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame:
+    """(owner, node, sim) from the comparison inside blocks."""
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
@@ -153,10 +155,10 @@ def descend(points: DataFrame, graph: DataFrame, degree: int, salt: int) -> Data
     return nearest(both.groupBy("owner", "node").agg(F.max("sim").alias("sim"), F.min("new").alias("new")), "owner", degree)
 
 
-def build(points: DataFrame, degree: int = DEGREE) -> DataFrame:
+def build(points: DataFrame, pivots: np.ndarray, degree: int = DEGREE) -> DataFrame:
     """The neighbour graph (owner, node, sim)."""
     n = points.count()
-    graph = stored(start_graph(points, n, degree).withColumn("new", F.lit(True)), "graph")
+    graph = stored(start_graph(points, pivots, degree).withColumn("new", F.lit(True)), "graph")
     for i in range(ROUNDS):
         graph = stored(descend(points, graph, degree, i), "graph")
         if graph.filter("new").count() <= ENOUGH * degree * n:
@@ -164,17 +166,33 @@ def build(points: DataFrame, degree: int = DEGREE) -> DataFrame:
     return graph.select("owner", "node", "sim")
 
 
-def search(points: DataFrame, graph: DataFrame, queries: DataFrame, pool: int = POOL) -> DataFrame:
-    """(query, node, sim): the pool of every query node after greedy search from itself."""
+def search(points: DataFrame, graph: DataFrame, queries: DataFrame, pivots: tuple[np.ndarray, np.ndarray], pool: int = POOL) -> DataFrame:
+    """(query, node, sim): the pool of every query node after greedy search from itself and from its
+    ``ENTRIES`` best pivots, by inner product: the query's added component counts as zero."""
     edges = stored(graph.select("owner", "node").unionByName(reverse(graph, REVERSE, ROUNDS)).distinct(), "edges")
     asked = stored(queries.join(points, queries["query"] == points["node"]).select("query", F.col("point").alias("asked")), "queries")
-    held = stored(asked.select("query", F.col("query").alias("node"), F.lit(2.0).cast("float").alias("sim"), F.lit(False).alias("done")), "pool")
+    nodes, places = pivots
+    places = places.copy()
+    places[:, -1:] = 0
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                sims = _points(part.column(1)) @ places.T
+                best = np.argsort(-sims, 1, kind="stable")[:, :ENTRIES]
+                queries_ = np.repeat(part.column(0).to_numpy(), best.shape[1])
+                other = nodes[best.ravel()] != queries_
+                yield pa.record_batch([pa.array(queries_[other]), pa.array(nodes[best.ravel()][other]), pa.array(np.take_along_axis(sims, best, 1).ravel()[other])], ["query", "node", "sim"])
+
+    own = asked.select("query", F.col("query").alias("node"), F.lit(2.0).cast("float").alias("sim"))
+    held = stored(own.unionByName(asked.mapInArrow(enter, "query long, node long, sim float")).withColumn("done", F.lit(False)), "pool")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 5000):
                 part = batch.slice(at, 5000)
-                sims = np.einsum("ij,ij->i", _points(part.column(2)), _points(part.column(3)))
+                sims = np.einsum("ij,ij->i", _points(part.column(2))[:, :-1], _points(part.column(3))[:, :-1])
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(sims)], ["query", "node", "sim"])
 
     while True:
@@ -193,11 +211,12 @@ def nearest_neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "e
     cannot take part (``usable``) are neither queries nor answers; an empty table gives an empty result."""
     members, nodes = classes(stored(usable(vectors, key, vector), "vectors"))
     points = on_sphere(nodes)
-    graph = build(points)
+    pivots = pivots_of(points, nodes.count())
+    graph = build(points, pivots[1])
     asking = members.filter(F.pmod("vec_id", F.lit(every)) == 0).withColumnRenamed("vec_id", "query_id")
     queries = stored(asking.select(F.col("node").alias("query")).distinct(), "asking")
     # The query's own node leads its pool: its other members are candidates.
-    found = nearest(search(points, graph, queries), "query", 2 * top + 1)
+    found = nearest(search(points, graph, queries, pivots), "query", 2 * top + 1)
     sides = (found.join(nodes, "node").withColumnRenamed("vector", "x")
              .join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("q")), "query"))
     product = F.aggregate(F.zip_with("x", "q", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
