@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trolley.operators import gaps, sequences, summary
-from trolley.operators.ordering import dense_rank_in_key
+from trolley.operators.filters import group_size
+from trolley.operators.ordering import dense_rank_in_key, position_in_key, prior_times
 from trolley.plans import universe as U
 
 HOT = 50  # rows beyond which a key counts as hot here
@@ -97,3 +98,22 @@ def test_stacked_universe_is_union_of_single_ones(df):
         single = U.universe_rolling(cut, items, n=1, step=20).rows.drop("origin")
         part = stacked.filter(F.col("origin") == origin).select(*single.columns)
         assert sorted(map(str, part.collect())) == sorted(map(str, single.collect()))
+
+
+def test_missing_keys_times_and_bursts(spark):
+    """NULL keys, NULL times and hundreds of rows of one time: the hot path changes nothing."""
+    rows = [(None if i % 4 == 0 else 1 if i % 4 < 3 else i, f"i{i % 7}", None if i % 9 == 0 else 60 * (0 if i % 2 else i)) for i in range(2000)]
+    df = (spark.createDataFrame(rows, "customer_id long, item_id string, m long")
+          .select("customer_id", "item_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m")).cast("timestamp_ntz").alias("InvoiceDate")))
+
+    def same(make):
+        cold, hot = ([tuple(r) for r in make(n).collect()] for n in (10**6, HOT))
+        assert sorted(cold, key=repr) == sorted(hot, key=repr)
+        return cold
+
+    ties = [F.asc("item_id")]
+    placed = same(lambda n: position_in_key(df, ["customer_id"], "InvoiceDate", ties, hot_rows=n))
+    assert len(placed) == len(rows)
+    assert len(same(lambda n: summary.visit_rank(df, hot_rows=n).select("customer_id", "item_id", "InvoiceDate", "rank"))) == len(rows)
+    same(lambda n: prior_times(df, ["customer_id"], "InvoiceDate", hot_rows=n))
+    assert group_size(df).count() == len(rows)

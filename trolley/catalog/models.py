@@ -16,7 +16,7 @@ from trolley.functions.dates import reference_date, time_literal
 from trolley.plans import scoring, universe as U
 from trolley.session import materialise
 
-MODEL_TARGETS = [f"Target_{t}" for t in TARGETS[:3]]
+MODEL_TARGETS = [f"Target_{t}" for t in TARGETS]
 KEY = ["customer_id"]
 
 
@@ -28,12 +28,12 @@ def behaviour(spark, d):
 
     def features(ref):
         past = tx.filter(F.col("InvoiceDate") <= time_literal(ref))
-        blocks = rfm.customer_rfm(past, (90, 360, 720), ref).join(rfm.recency(past, ref, KEY, "T"), KEY, "right")
+        blocks = rfm.customer_rfm(past, rfm.WINDOWS_LONG, ref).join(rfm.recency(past, ref, KEY, "T"), KEY, "right")
         return blocks.na.fill(rfm.PENALTY)
 
     known = features(then)
     names = [c for c in known.columns if c not in KEY]
-    later = labels(tx.filter(F.col("InvoiceDate") > time_literal(then)), TARGETS[:3])
+    later = labels(tx.filter(F.col("InvoiceDate") > time_literal(then)), TARGETS)
     train = materialise(known.join(later, KEY, "left").na.fill(0, MODEL_TARGETS), "train")
     score = features(now)
     return M.minmax(train, names), M.minmax(train, names, score), names
@@ -59,7 +59,7 @@ def fit_per_target(spark, d):
 def fit_per_target_balanced(spark, d):
     """Under-sampled classes, selected features."""
     train, score = ready(spark, d)
-    return M.fit_per_target(train, score, MODEL_TARGETS[:1], KEY, select=True, balance=SEED)
+    return M.fit_per_target(train, score, MODEL_TARGETS, KEY, select=True, balance=SEED)
 
 
 @register("select_by_coef")
@@ -71,14 +71,14 @@ def select_by_coef(spark, d):
 @register("grid_search")
 def grid_search(spark, d):
     train, _ = ready(spark, d)
-    fitted = M.grid_search(train, MODEL_TARGETS[0], (0.7, 0.1, 0.01), folds=3)
-    return spark.createDataFrame([(c, float(a)) for c, a in zip((0.7, 0.1, 0.01), fitted.avgMetrics)], "c double, accuracy double")
+    fitted = M.grid_search(train, MODEL_TARGETS[0])
+    return spark.createDataFrame([(c, float(a)) for c, a in zip(M.GRID_C, fitted.avgMetrics)], "c double, accuracy double")
 
 
 @register("fit_forest")
 def fit_forest(spark, d):
     train, score = ready(spark, d)
-    return M.fit_forest(train, score, MODEL_TARGETS[:2], KEY, trees=20)
+    return M.fit_forest(train, score, MODEL_TARGETS, KEY)
 
 
 @register("fit_long")
@@ -94,8 +94,8 @@ def family_models(spark, d):
     """Frequency-only, amount-only and all-feature families, equally blended."""
     train, score, names = behaviour(spark, d)
     families = {"frequency": [n for n in names if n.startswith("CF")], "amount": [n for n in names if n.startswith("CM")], "all": names}
-    fitted = M.family_models(train, score, families, MODEL_TARGETS[:1], KEY)
-    return scoring.family_blend(list(fitted.values()), MODEL_TARGETS[:1])
+    fitted = M.family_models(train, score, families, MODEL_TARGETS, KEY)
+    return scoring.family_blend(list(fitted.values()), MODEL_TARGETS)
 
 
 @register("fit_ridge", """WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_discount) AS mz, avg(l_extendedprice) AS my,
@@ -112,11 +112,12 @@ def fit_ridge(spark, d):
 
 @register("fit_boosted")
 def fit_boosted(spark, d):
-    """Order status from its price and month, one probability per class."""
+    """Order status from its price and month, one probability per class, for orders not trained on."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"),
                                               F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2).alias("label"))
     rows = materialise(vectors(orders, ["o_totalprice", "month"]).select("o_orderkey", "features", "label"), "orders")
-    return M.fit_boosted(rows, rows, "label", (0, 1, 2), ["o_orderkey"], rounds=5)
+    train, held = split(rows, 0.2, SEED + 1, ["o_orderkey"])  # another draw than the early-stopping one
+    return M.fit_boosted(materialise(train, "train"), held.drop("label"), "label", (0, 1, 2), ["o_orderkey"])
 
 
 def ratings(spark, d):
@@ -136,7 +137,7 @@ def fit_factors(spark, d):
     coded, _, _ = ratings(spark, d)
     train, held = split(coded, 0.1, SEED, ["user", "item"])
     edge = bounds(coded, "rating").first()
-    model = M.fit_factors(train, rank=50, iterations=5)
+    model = M.fit_factors(train)
     scored = [(n, M.clip_ratings(model.transform(t), edge["min"], edge["max"])) for n, t in (("train", train), ("held", held))]
     losses = [(n, s.agg(metrics.mse("rating", "prediction").alias("m")).first()["m"]) for n, s in scored]
     return spark.createDataFrame(losses, "part string, mse double")
@@ -146,7 +147,7 @@ def fit_factors(spark, d):
 def recommend_all(spark, d):
     coded, users, items = ratings(spark, d)
     edge = bounds(coded, "rating").first()
-    best = M.recommend_all(M.fit_factors(coded, rank=20, iterations=5), 10, edge["min"], edge["max"])
+    best = M.recommend_all(M.fit_factors(coded), 10, edge["min"], edge["max"])
     return (best.join(users, "user").join(items, "item")
             .select("customer_id", "item_id", F.col("prediction").cast("double").alias("prediction"), "rank"))
 
@@ -157,8 +158,9 @@ def average_fold_models(spark, d):
     train, score = ready(spark, d)
     target, folded = MODEL_TARGETS[0], materialise(kfold(train, 10, [F.asc("customer_id")]), "folds")
     accuracies, predictions = [], None
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
     for fold in range(10):
-        model = M.logistic(1.0, train.count(), target).fit(folded.filter(F.col("fold") != fold))
+        model = M.logistic(1.0, sum(n for f, n in sizes.items() if f != fold), target).fit(folded.filter(F.col("fold") != fold))
         held = model.transform(folded.filter(F.col("fold") == fold))
         accuracies.append((fold, held.agg(metrics.accuracy(target, "prediction").alias("a")).first()["a"]))
         scored = model.transform(score).select(*KEY, F.lit(fold).alias("fold"), M.positive_probability().alias(target))

@@ -42,9 +42,16 @@ def brand_scores(spark, d):
     return profile, R.score_item_based(profile, order_weights(tx))
 
 
-@register("gram", ctes(SUPPLIERS) + """SELECT x.item AS i, y.item AS j, sum(x.value * y.value) AS g FROM profile x JOIN profile y ON x."user" = y."user" GROUP BY ALL""", ["g"], 2)
+PARTS = 'profile AS (SELECT o_custkey AS "user", l_partkey AS item, CAST(count(*) AS DOUBLE) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)'
+BRANDS = 'profile AS (SELECT customer_id AS "user", item_id AS item, CAST(count(*) AS DOUBLE) AS value FROM tx GROUP BY ALL)'
+
+
+@register("gram", ctes(PARTS) + """SELECT x.item AS i, y.item AS j, sum(x.value * y.value) AS g FROM profile x JOIN profile y ON x."user" = y."user" GROUP BY ALL""", ["g"], 2)
 def gram(spark, d):
-    return elastic.gram(supplier_profiles(spark, d), users_per_block=64, items_per_block=8)
+    """Parts bought by the same customers."""
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    return elastic.gram(joined.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).agg(F.count(F.lit(1)).cast("double").alias("value")))
 
 
 @register("build_urm", ctes(TX, PROFILE) + "SELECT * FROM profile", ["value"], 6)
@@ -116,18 +123,22 @@ def score_item_based(spark, d):
     return brand_scores(spark, d)[1]
 
 
-@register("score_items", ctes(SUPPLIERS, TX, ORDERS, WEIGHTS, SCORES) + "SELECT * FROM scores", ["score"])
+@register("score_items", ctes(TX, BRANDS, ORDERS, WEIGHTS, SCORES) + "SELECT * FROM scores", ["score"])
 def score_items(spark, d):
-    return R.score_items(supplier_profiles(spark, d), order_weights(stored_transactions(spark, d)))
+    tx = stored_transactions(spark, d)
+    profile = tx.groupBy(F.col("customer_id").alias("user"), F.col("item_id").alias("item")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return R.score_items(profile, order_weights(tx))
 
 
-@register("score_user_based", ctes(SUPPLIERS) + """, w AS (SELECT x."user" AS user_from, y."user" AS user_to, sum(x.value * y.value) AS weight FROM profile x JOIN profile y USING (item)
- WHERE x."user" <> y."user" GROUP BY ALL) SELECT user_from AS "user", item, sum(weight * value) AS score FROM w JOIN profile ON "user" = user_to GROUP BY user_from, item""", ["score"], 2)
+@register("score_user_based", ctes(SUPPLIERS) + """, a AS (SELECT x."user" AS user_from, y."user" AS user_to, sum(x.value * y.value) AS weight FROM profile x JOIN profile y USING (item)
+ WHERE x."user" <> y."user" GROUP BY ALL), w AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY user_from ORDER BY weight DESC, user_to) <= 20)
+ SELECT user_from AS "user", item, sum(weight * value) AS score FROM w JOIN profile ON "user" = user_to GROUP BY user_from, item""", ["score"], 2)
 def score_user_based(spark, d):
+    """Suppliers by the brands they deliver, each scored from its 20 nearest ones."""
     profile = materialise(supplier_profiles(spark, d), "profile")
     turned = profile.select(F.col("item").alias("user"), F.col("user").alias("item"), "value")
-    weights = elastic.gram(turned).filter("i <> j").select(F.col("i").alias("user_from"), F.col("j").alias("user_to"), F.col("g").alias("weight"))
-    return R.score_user_based(profile, weights)
+    near = R.topk_weights(elastic.gram(turned).filter("i <> j").select(F.col("i").alias("item_from"), F.col("j").alias("item_to"), F.col("g").alias("weight")), 20)
+    return R.score_user_based(profile, near.select(F.col("item_to").alias("user_from"), F.col("item_from").alias("user_to"), "weight"))
 
 
 RANKED = 'row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item)'
@@ -165,24 +176,24 @@ def recommend_lists(spark, d):
 
 
 @register("recommend_zero_tail", ctes(SUPPLIERS) + f"""SELECT "user", item, score, rank FROM (SELECT *, {RANKED} AS rank FROM (SELECT s_suppkey AS "user", b.item, coalesce(value, 0) AS score
- FROM supplier CROSS JOIN (SELECT unnest([{TARGET_LIST}]) AS item) b LEFT JOIN (SELECT * FROM profile WHERE value > 25 AND item IN ({TARGET_LIST})) p ON p."user" = s_suppkey AND p.item = b.item)) WHERE rank <= 8""", ["score"])
+ FROM supplier CROSS JOIN (SELECT unnest([{TARGET_LIST}]) AS item) b LEFT JOIN (SELECT * FROM profile WHERE item IN ({TARGET_LIST})) p ON p."user" = s_suppkey AND p.item = b.item)) WHERE rank <= 8""", ["score"])
 def recommend_zero_tail(spark, d):
-    strong = supplier_profiles(spark, d).filter((F.col("value") > 25) & F.col("item").isin(*TARGETS)).select("user", "item", F.col("value").alias("score"))
+    known = supplier_profiles(spark, d).filter(F.col("item").isin(*TARGETS)).select("user", "item", F.col("value").alias("score"))
     users = table(spark, d, "supplier").select(F.col("s_suppkey").alias("user"))
-    return R.recommend(R.with_zero_tail(strong, users, TARGETS), 8)
+    return R.recommend(R.with_zero_tail(known, users, TARGETS), 8)
 
 
 # Three prediction tables over the same customers: shares of amount, of quantity and of rows per target.
-COLUMNS = [f"Target_{t}" for t in TARGETS[:3]]
+COLUMNS = [f"Target_{t}" for t in TARGETS]
 
 
 def _share_sql(measure: str) -> str:
-    cells = ", ".join(f"""coalesce(sum({measure}) FILTER (WHERE item_id = '{t}'), 0) / sum({measure}) AS "Target_{t}" """ for t in TARGETS[:3])
+    cells = ", ".join(f"""coalesce(sum({measure}) FILTER (WHERE item_id = '{t}'), 0) / sum({measure}) AS "Target_{t}" """ for t in TARGETS)
     return f"SELECT customer_id, {cells} FROM tx GROUP BY customer_id"
 
 
 def _share(tx, measure):
-    return tx.groupBy("customer_id").agg(*[(F.coalesce(F.sum(F.when(F.col("item_id") == t, measure)), F.lit(0)) / F.sum(measure)).alias(f"Target_{t}") for t in TARGETS[:3]])
+    return tx.groupBy("customer_id").agg(*[(F.coalesce(F.sum(F.when(F.col("item_id") == t, measure)), F.lit(0)) / F.sum(measure)).alias(f"Target_{t}") for t in TARGETS])
 
 
 PREDICTIONS = (f"a AS ({_share_sql('item_amt')})", f"q AS ({_share_sql('item_qty')})", f"n AS ({_share_sql('1')})")
@@ -222,17 +233,16 @@ def override_known(spark, d):
     return R.override_known(orders.drop("o_orderstatus"), known, "o_custkey", "o_orderpriority")
 
 
-COLD_TRAIN = labels_sql("tx", ["customer_id"], TARGETS[:3])
+COLD_TRAIN = labels_sql("tx", ["customer_id"], TARGETS)
 
 
 @register("cold_start", ctes(TX, *PREDICTIONS[:1]) + f""", t AS ({COLD_TRAIN}), rates AS (SELECT {', '.join(f'avg("{c}") AS "{c}"' for c in COLUMNS)} FROM t),
  known AS (SELECT * FROM a WHERE customer_id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000))
- SELECT c_custkey AS customer_id, CASE WHEN k.customer_id IS NULL THEN 1.0 ELSE k."{COLUMNS[0]}" END AS "{COLUMNS[0]}",
- CASE WHEN k.customer_id IS NULL THEN 0.9 ELSE k."{COLUMNS[1]}" END AS "{COLUMNS[1]}", CASE WHEN k.customer_id IS NULL THEN rates."{COLUMNS[2]}" ELSE k."{COLUMNS[2]}" END AS "{COLUMNS[2]}"
+ SELECT c_custkey AS customer_id, {', '.join(f'CASE WHEN k.customer_id IS NULL THEN {fixed} ELSE k."{c}" END AS "{c}"' for c, fixed in zip(COLUMNS, ["1.0", "0.9", *[f'rates."{c}"' for c in COLUMNS[2:]]]))}
  FROM customer CROSS JOIN rates LEFT JOIN known k ON k.customer_id = c_custkey""", COLUMNS, 6)
 def cold_start(spark, d):
     tx = stored_transactions(spark, d)
     buyers = table(spark, d, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("customer_id"))
     known = _share(tx, F.col("item_amt")).join(buyers, "customer_id", "left_semi")
     template = table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
-    return scoring.cold_start(known, template, labels(tx, TARGETS[:3]), COLUMNS, {COLUMNS[0]: 1.0, COLUMNS[1]: 0.9})
+    return scoring.cold_start(known, template, labels(tx, TARGETS), COLUMNS, {COLUMNS[0]: 1.0, COLUMNS[1]: 0.9})

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trolley.catalog.base import SEED, TARGETS, TX, ctes, draw_order_sql, draw_sql, labels_sql, register, table, transactions
-from trolley.functions.dates import time_literal
 from trolley.functions.draws import DRAW_RANGE, draw_order
 from trolley.operators import metrics as M
 from trolley.operators import models, sampling as S
@@ -54,11 +53,10 @@ TARGET_COLUMNS = [f"Target_{t}" for t in TARGETS]
 
 @register("class_weights", "SELECT target, greatest(1, ln(0.3 * sum(n) OVER () / CASE WHEN n = 0 THEN 1 ELSE n END)) AS weight FROM (UNPIVOT (SELECT "
           + ", ".join(f'sum("{c}") AS "{c}"' for c in TARGET_COLUMNS) + " FROM (" + ctes(TX) + labels_sql(
-              """(SELECT * FROM tx WHERE "InvoiceDate" >= TIMESTAMP '2001-07-01')""", ["customer_id"]) + ")) ON "
+              "tx", ["customer_id"]) + ")) ON "
           + ", ".join(f'"{c}"' for c in TARGET_COLUMNS) + " INTO NAME target VALUE n)", ["weight"], 6)
 def class_weights(spark, d):
-    recent = transactions(spark, d).filter(F.col("InvoiceDate") >= time_literal("2001-07-01 00:00:00"))
-    return S.class_weights(labels(recent, TARGETS), TARGET_COLUMNS, 0.3)
+    return S.class_weights(labels(transactions(spark, d), TARGETS), TARGET_COLUMNS, 0.3)
 
 
 SCORED = """scored AS (SELECT doc_id, quality AS label, 1 / (1 + exp(2 - n_chars / 1000.0)) AS probability,

@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from trolley.session import materialise
 
-MAX_ROUNDS = 50
-
 
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     """X_lo' X_hi of one user block and one pair of item blocks."""
@@ -56,7 +54,9 @@ def gram(urm: DataFrame, users_per_block: int = 2048, items_per_block: int = 102
         "user", "item", F.col("value").cast("double").alias("value"),
         F.pmod(F.xxhash64("user"), F.lit(user_blocks)).cast("int").alias("ub"),
         F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int").alias("block"))
-    paired = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
+    # A cell meets only the item blocks its own user has items in.
+    has = blocked.groupBy("user").agg(F.collect_set("block").alias("others"))
+    paired = (blocked.join(has, "user").withColumn("other", F.explode("others"))
               .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")))
     kind = urm.schema["item"].dataType.simpleString()
     tiles = paired.groupBy("ub", "lo", "hi").applyInPandas(_tile_product, f"i {kind}, j {kind}, g double")
@@ -131,7 +131,8 @@ def slim_fit(urm: DataFrame, alpha: float = 1.0, l1_ratio: float = 0.1, positive
         return _solve_target(block, n, l1, l2, positive, sweeps, tol)
 
     schema = f"target {kind}, item {kind}, weight double, converged boolean, sweeps int"
-    for _ in range(MAX_ROUNDS):
+    finished = None  # solutions of targets whose working set has stopped growing
+    while True:  # working sets grow strictly, so this ends
         first = working.select("target", F.col("item").alias("a"), "c")
         second = working.select("target", F.col("item").alias("b"))
         blocks = (first.join(second, "target").filter(F.col("a") <= F.col("b"))
@@ -149,13 +150,17 @@ def slim_fit(urm: DataFrame, alpha: float = 1.0, l1_ratio: float = 0.1, positive
                   .join(working, ["target", "item"], "left_anti"))
         worst = W.partitionBy("target").orderBy(F.desc("_slack"), F.asc("item"))
         added = materialise(widest(broken, worst), "violators")
+        growing = added.select("target").distinct()
+        done = solved.join(growing, "target", "left_anti")
+        finished = materialise(done if finished is None else finished.unionByName(done), "finished")
         if added.isEmpty():
             break
-        working = materialise(working.unionByName(added), "working")
-    else:
-        raise RuntimeError("working sets still grow: raise width")
+        # Only targets with new violators are solved again.
+        working = materialise(working.unionByName(added).join(growing, "target", "left_semi"), "working")
+        partners = materialise(partners.join(growing, "target", "left_semi"), "partners")
 
-    kept = weights.select(F.col("item").alias("item_from"), F.col("target").alias("item_to"), "weight")
+    solved = finished
+    kept = solved.filter(F.col("item").isNotNull()).select(F.col("item").alias("item_from"), F.col("target").alias("item_to"), "weight")
     if topk is not None or compat_topk:
         ranked = kept.withColumn("_rn", F.row_number().over(W.partitionBy("item_to").orderBy(F.desc("weight"), F.asc("item_from"))))
         if compat_topk:

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from trolley.functions.dates import column_type, reference_date, time_literal
+from trolley.operators.ordering import joined_on
 from trolley.operators.rfm import CUSTOMER
 
 
@@ -50,13 +51,13 @@ def valid_keys(df: DataFrame, column: str = "customer_id", invalid=0) -> DataFra
 def group_size(df: DataFrame, keys: Sequence[str] = CUSTOMER, name: str = "count") -> DataFrame:
     """Group size on every row: a partial count joined back, not one task per group."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, list(keys))
+    return joined_on(df, sizes, keys)
 
 
 def min_activity(df: DataFrame, n: int, keys: Sequence[str] = CUSTOMER) -> DataFrame:
     """Rows of keys with more than ``n`` rows."""
     active = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > n)
-    return df.join(active.select(*keys), list(keys), "left_semi")
+    return joined_on(df, active.select(*keys), keys, "left_semi")
 
 
 def label_rows(df: DataFrame, targets: Sequence[str], rank: str = "rank") -> DataFrame:

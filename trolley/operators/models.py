@@ -105,8 +105,12 @@ def grid_search(train: DataFrame, label: str, grid: Sequence[float] = GRID_C, fo
     rows = train.count() * (folds - 1) / folds
     space = ParamGridBuilder().addGrid(model.regParam, [1.0 / (c * rows) for c in grid]).build()
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    return CrossValidator(estimator=model, estimatorParamMaps=space, evaluator=judge, numFolds=folds, seed=seed,
-                          parallelism=parallelism).fit(train)
+    found = CrossValidator(estimator=model, estimatorParamMaps=space, evaluator=judge, numFolds=folds, seed=seed,
+                           parallelism=parallelism).fit(train)
+    # The last fit has all rows, so the chosen strength is another penalty than on a fold's rows.
+    best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
+    final = logistic(grid[best], round(rows * folds / (folds - 1)), label).fit(train)
+    return CrossValidatorModel(final, avgMetrics=found.avgMetrics)
 
 
 def fit_forest(train: DataFrame, score: DataFrame, targets: Sequence[str], key: Sequence[str], trees: int = 150,

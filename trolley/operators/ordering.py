@@ -5,22 +5,23 @@ Two situations need an order at scale:
 * an order over the *whole* table (dense ids, folds, exact AUC): range-partition, number
   inside each partition, add the partition's start. The starts are one row per partition.
 * an order *within a key* (lags, visit ranks, sequences), where one key may own a third of
-  the rows: ordinary keys take one window; keys beyond HOT_ROWS are cut into time slices,
-  worked on per (key, slice) and stitched with one small summary row per slice. A hot key is
-  spread over as many tasks as it has slices.
+  the rows: ordinary keys take one window; keys beyond HOT_ROWS are numbered in one order over
+  all their rows, so a hot key, a burst of equal times and a missing key are spread like any rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
-from trolley.functions.dates import HOUR_MICROS, floor_div, micros
 from trolley.session import materialise
 
-# A key with more rows than this is worked on slice by slice.
+# A key with more rows than this is ordered by range partitions instead of a window.
 HOT_ROWS = 1_000_000
+# Longest list of hot keys that is broadcast; a longer one is joined by shuffling.
+BROADCAST_KEYS = 100_000
 
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
 
@@ -60,48 +61,50 @@ def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str]) -
             .select(*df.columns, *[(F.col(f"_start_{v}") + F.col(f"_in_{v}")).alias(n) for v, n in sums.items()]))
 
 
-def time_slice(ts: Column, hours: int = 24) -> Column:
-    return floor_div(micros(ts), hours * HOUR_MICROS)
+def joined_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys equal each other, as they do in a window or an aggregate."""
+    named = right.select(*[F.col(f"`{k}`").alias(f"_jk{i}") for i, k in enumerate(keys)], *[F.col(f"`{c}`") for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(named[f"_jk{i}"]) for i, k in enumerate(keys)])
+    return left.join(named, same, how).drop(*[f"_jk{i}" for i in range(len(keys))])
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows, or None).
 
-    One partially aggregated count finds the hot keys. At most (table rows / hot_rows) keys
-    can be hot, a millionth of the table by default, so their stored list is broadcast.
+    One partially aggregated count finds the hot keys; their stored list is broadcast only if
+    it is short.
     """
     hot = materialise(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys), "hot")
-    if hot.isEmpty():
+    n = hot.count()
+    if n == 0:
         return df, None
-    return df.join(F.broadcast(hot), list(keys), "left_anti"), df.join(F.broadcast(hot), list(keys), "left_semi")
+    listed = F.broadcast(hot) if n <= BROADCAST_KEYS else hot
+    return joined_on(df, listed, keys, "left_anti"), joined_on(df, listed, keys, "left_semi")
 
 
 def position_in_key(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[Column] = (), newest_first: bool = True,
-                    name: str = "position", hours: int = 24, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """1-based position of each row within its key, ordered by time then ``ties``."""
+                    name: str = "position", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """1-based position of each row within its key, ordered by time then ``ties``; rows without a
+    time come last (first in ascending order), rows without a key are one group."""
     keys = list(keys)
     by_time = F.col(ts).desc() if newest_first else F.col(ts).asc()
-    by_slice = F.col("_slice").desc() if newest_first else F.col("_slice").asc()
     ordinary, hot = split_hot(df, keys, hot_rows)
     direct = ordinary.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(by_time, *ties)).cast("long"))
     if hot is None:
         return direct
 
-    sliced = hot.withColumn("_slice", time_slice(F.col(ts), hours))
-    inside = sliced.withColumn(
-        "_rn", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(by_time, *ties)).cast("long"))
-    before = W.partitionBy(*keys).orderBy(by_slice).rowsBetween(W.unboundedPreceding, -1)
-    starts = (sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-              .select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    stitched = (inside.join(starts, [*keys, "_slice"])
-                .withColumn(name, F.col("_before") + F.col("_rn")).select(*df.columns, name))
-    return direct.select(*df.columns, name).unionByName(stitched)
+    # All hot rows are numbered in one range-partitioned order; a key's positions are its numbers less
+    # its first one. The draw spreads rows that are equal in everything else.
+    numbered = number_rows(hot.withColumn("_draw", F.rand(0)), [*[F.asc(k) for k in keys], by_time, *ties, F.asc("_draw")], "_no").drop("_draw")
+    firsts = numbered.groupBy(*keys).agg(F.min("_no").alias("_first"))
+    placed = joined_on(numbered, firsts, keys).withColumn(name, F.col("_no") - F.col("_first") + 1)
+    return direct.select(*df.columns, name).unionByName(placed.select(*df.columns, name))
 
 
-def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hours: int = 24,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per (key, time) with its row count ``rows`` and ``prior``, the times of up to
-    ``depth`` rows just before it (newest first, repeated where a time holds several rows)."""
+    ``depth`` rows just before it (newest first, repeated where a time holds several rows).
+    Rows without a time have no place in the order and are left out."""
     keys = list(keys)
     empty = F.array().cast(f"array<{df.schema[ts].dataType.simpleString()}>")
 
@@ -124,18 +127,15 @@ def prior_times(df: DataFrame, keys: Sequence[str], ts: str, depth: int = 3, hou
     if hot is None:
         return direct
 
-    # Hot keys: lag inside each time slice, then carry the last times of the slices before.
-    in_slice = W.partitionBy(*keys, "_slice").orderBy("_ts")
-    inside = collapsed(hot).withColumn("_slice", time_slice(F.col("_ts"), hours)).select(
-        "*", preceding(in_slice).alias("_near"), F.lead("_ts", 1).over(in_slice).isNull().alias("_last"))
-    own = repeated(F.col("_ts"), F.col("rows"))
-    tails = inside.filter("_last").select(*keys, "_slice", F.slice(F.concat(own, F.col("_near")), 1, depth).alias("_tail"))
-    over_slices = W.partitionBy(*keys).orderBy("_slice")
-    carried = tails.select(*keys, "_slice", F.slice(F.concat(
-        *[F.coalesce(F.lag("_tail", i).over(over_slices), empty) for i in range(1, depth + 1)]), 1, depth).alias("_carry"))
-    stitched = (inside.join(carried, [*keys, "_slice"])
-                .withColumn("prior", F.slice(F.concat("_near", "_carry"), 1, depth)))
-    return direct.unionByName(stitched.select(*columns))
+    # Hot keys: times numbered in one order over the table; the i-th time before is the row i numbers less.
+    numbered = materialise(number_rows(collapsed(hot), [*[F.asc(k) for k in keys], F.asc("_ts")], "_no"), "times")
+    joined, earlier = numbered, []
+    for i in range(1, depth + 1):
+        before = numbered.select((F.col("_no") + i).alias("_no"), F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], "_ts", "rows").alias(f"_before{i}"))
+        joined = joined.join(before, "_no", "left")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_before{i}.k{n}")) for n, k in enumerate(keys)])
+        earlier.append(repeated(F.when(same, F.col(f"_before{i}._ts")), F.col(f"_before{i}.rows")))
+    return direct.unionByName(joined.withColumn("prior", F.slice(F.concat(*earlier), 1, depth)).select(*columns))
 
 
 def dense_rank_in_key(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
@@ -149,8 +149,8 @@ def dense_rank_in_key(df: DataFrame, keys: Sequence[str], value: str, descending
     order = [F.col(k) for k in keys] + [F.col(value).desc() if descending else F.col(value).asc()]
     numbered = number_rows(df.select(*keys, value).distinct(), order, "_no")
     firsts = numbered.groupBy(*keys).agg(F.min("_no").alias("_first"))
-    ranks = numbered.join(firsts, keys).select(*keys, value, (F.col("_no") - F.col("_first") + 1).alias(name))
-    return df.join(ranks, [*keys, value])
+    ranks = joined_on(numbered, firsts, keys).select(*keys, value, (F.col("_no") - F.col("_first") + 1).alias(name))
+    return joined_on(df, ranks, [*keys, value])
 
 
 def forward_fill(df: DataFrame, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:

@@ -20,9 +20,6 @@ INTERCEPT = 9999
 INTERCEPT_VALUE = 1
 LOG_SHIFT = 0.1
 
-# Longest item list a score grid is spread over.
-MAX_GRID_ITEMS = 1_000
-
 
 def add_intercept(df: DataFrame, user: str = "user", item: str = "item", value: str = "value") -> DataFrame:
     """One more row per user for the intercept pseudo-item."""
@@ -86,9 +83,8 @@ def slim_score(users: DataFrame, weights: DataFrame, index: DataFrame, trained_i
 
 
 def score_grid(users: DataFrame, items: Sequence[str], item: str = "item_id") -> DataFrame:
-    """Every user with every item of an explicit, checked-short list (one row explodes to one per item)."""
-    if len(items) > MAX_GRID_ITEMS:
-        raise ValueError(f"a grid over {len(items)} items is not supported: score sparse pairs instead")
+    """Every user with every item of an explicit list (one row explodes to one per item): the grid is
+    as large as users times items, so score sparse pairs where the list is long."""
     return users.withColumn(item, F.explode(F.array(*[F.lit(i) for i in items])))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trolley.functions.columns import net_price
 from trolley.functions.dates import column_type, days_before, floor_days_text, time_literal
+from trolley.operators.ordering import joined_on
 
 PAIR = ("customer_id", "item_id")
 CUSTOMER = ("customer_id",)
@@ -37,7 +38,7 @@ def with_ref_dates(df: DataFrame, windows: Sequence[int] = WINDOWS, ref: datetim
     aggregate joined back, so a customer with very many rows is split by the skew join.
     """
     if ref is None:
-        df = df.join(df.groupBy(*CUSTOMER).agg(F.max("InvoiceDate").alias("rd")), list(CUSTOMER))
+        df = joined_on(df, df.groupBy(*CUSTOMER).agg(F.max("InvoiceDate").alias("rd")), CUSTOMER)
     return dated(df, ref).select("*", *[days_before(F.col("rd"), w).alias(f"rd{w}") for w in windows])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trolley.functions.dates import column_type, floor_days, time_literal
 from trolley.functions.text import tag
@@ -50,6 +50,6 @@ def sequence(steps: DataFrame, keys: Sequence[str] = CUSTOMER, steps_per_row: in
 
 
 def first_steps(steps: DataFrame, n: int, keys: Sequence[str] = CUSTOMER) -> DataFrame:
-    """The n newest steps per customer, the model input; limited per key before the shuffle."""
-    newest = W.partitionBy(*keys).orderBy("position")
-    return steps.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
+    """The n newest steps per customer, the model input. With the position as a plain filter the limit
+    reaches the window that numbers the steps, and with it the tasks before the shuffle."""
+    return steps.filter(F.col("position") <= n)

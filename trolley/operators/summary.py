@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from trolley.functions.columns import log_shift
-from trolley.operators.ordering import HOT_ROWS, number_rows, position_in_key, running_sums
+from trolley.operators.ordering import HOT_ROWS, joined_on, number_rows, position_in_key, running_sums
 from trolley.operators.rfm import CUSTOMER, PAIR
 
 
@@ -108,7 +108,7 @@ def visit_rank(df: DataFrame, keys: Sequence[str] = CUSTOMER, ts: str = "Invoice
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Dense rank of the visit time within the customer, newest = 1, on every row."""
     visits = df.select(*keys, ts).distinct()
-    return df.join(position_in_key(visits, keys, ts, name=name, hot_rows=hot_rows), [*keys, ts])
+    return joined_on(df, position_in_key(visits, keys, ts, name=name, hot_rows=hot_rows), [*keys, ts])
 
 
 def top_n(df: DataFrame, keys: Sequence[str], score: str, n: int, ties: Sequence[str], rank: str | None = None) -> DataFrame:

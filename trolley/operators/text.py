@@ -13,9 +13,6 @@ from trolley.operators.ordering import number_rows
 # Fixed value: longest padded sequence the models take.
 MAX_STEPS = 60
 
-# Widest explicit pivot; a larger vocabulary stays in the long form.
-MAX_WIDE_TERMS = 20_000
-
 
 @dataclass(frozen=True)
 class Tfidf:
@@ -56,9 +53,8 @@ def tfidf_transform(model: Tfidf, counts: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def tfidf_wide(weights: DataFrame, keys: Sequence[str], terms: Sequence[str], prefix: str = "tfidf_") -> DataFrame:
-    """One column per vocabulary term, 0 where the document lacks it."""
-    if len(terms) > MAX_WIDE_TERMS:
-        raise ValueError(f"{len(terms)} terms are too many columns: keep the long form")
+    """One column per listed term, 0 where the document lacks it. The columns are as many as the terms:
+    for a large vocabulary list the terms that are wanted, or keep the long form."""
     wide = weights.groupBy(*keys).pivot("term", list(terms)).agg(F.first("weight"))
     return wide.select(*keys, *[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)).alias(f"{prefix}{t}") for t in terms])
 

@@ -155,7 +155,7 @@ def universe_gaps(raw: DataFrame, targets: Sequence[str], n: int = 6, step: int
     dates = origins(raw, n, step)
     extra = popular_by_origin(raw, n, step, popular).select(ORIGIN, "item_id").collect()  # n * popular rows
     lists = {o: set(targets) | {r["item_id"] for r in extra if r[ORIGIN] == o} for o, _, _ in dates}
-    common = sorted(set.intersection(*lists.values()))
+    common = sorted(set.intersection(*lists.values())) if lists else []
     spans = F.array(*[F.struct(
         F.lit(o).cast("long").alias(ORIGIN), time_literal(rd, kind).alias("rd"), time_literal(end, kind).alias("end"),
         F.array(*[F.lit(i) for i in sorted(lists[o])]).alias("items")) for o, rd, end in dates])
