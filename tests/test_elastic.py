@@ -78,3 +78,14 @@ def test_optimality(spark):
     urm = triples(spark, np.where(draw.random((60, 12)) < 0.4, draw.integers(1, 5, (60, 12)), 0))
     fitted, _ = elastic.slim_fit(urm, width=4)
     assert max(r["violation"] for r in elastic.kkt_residuals(urm, fitted).collect()) < 1e-7
+
+
+@pytest.mark.parametrize("pairs", [0, 10**9])
+def test_gram_tiles_dense_and_sparse(spark, monkeypatch, pairs):
+    draw = np.random.default_rng(3)
+    x = np.where(draw.random((40, 30)) < 0.2, draw.integers(1, 5, (40, 30)), 0)
+    x[0] = 1  # one profile over all blocks
+    monkeypatch.setattr(elastic, "SPARSE_PAIRS", pairs)
+    got = {(r["i"], r["j"]): r["g"] for r in elastic.gram(triples(spark, x), users_per_block=7, items_per_block=6).collect()}
+    want = x.T @ x
+    assert got == {(i, j): float(want[i, j]) for i in range(30) for j in range(30) if want[i, j]}

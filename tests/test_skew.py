@@ -117,3 +117,9 @@ def test_missing_keys_times_and_bursts(spark):
     assert len(same(lambda n: summary.visit_rank(df, hot_rows=n).select("customer_id", "item_id", "InvoiceDate", "rank"))) == len(rows)
     same(lambda n: prior_times(df, ["customer_id"], "InvoiceDate", hot_rows=n))
     assert group_size(df).count() == len(rows)
+
+
+def test_long_item_lists_make_whole_grids(spark):
+    from trolley.operators.recommend import score_grid
+    users = spark.createDataFrame([(1,), (2,)], "customer_id long")
+    assert score_grid(users, [f"i{n}" for n in range(1500)]).distinct().count() == 3000

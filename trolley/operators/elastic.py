@@ -21,10 +21,21 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from trolley.session import materialise
 
+# Pairs of a tile up to which they are formed one by one; beyond, the tile is one dense product.
+SPARSE_PAIRS = 4_000_000
+
 
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     """X_lo' X_hi of one user block and one pair of item blocks."""
     lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+    sides = [pdf.loc[pdf["block"] == b, ["user", "item", "value"]] for b in (lo, hi)]
+    meetings = (sides[0].groupby("user").size() * sides[1].groupby("user").size()).sum()
+    if meetings <= SPARSE_PAIRS:  # short profiles: only the pairs that occur
+        both = sides[0].merge(sides[1], on="user")
+        both = both.assign(g=both["value_x"] * both["value_y"]).groupby(["item_x", "item_y"], sort=False)["g"].sum().reset_index()
+        out = both.set_axis(["i", "j", "g"], axis=1)
+        out = out[out["g"] != 0]
+        return out if lo == hi else pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "g"]]], ignore_index=True)
     users, n_users = pdf["user"].factorize()[0], pdf["user"].nunique()
 
     def dense(block: int) -> tuple[np.ndarray, np.ndarray]:
