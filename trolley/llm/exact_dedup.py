@@ -35,11 +35,12 @@ def sha256(text: Column) -> Column:
 
 
 def ingest(docs: DataFrame, state: str, text: str = "text", key: str = "doc_id",
-           digest: Callable[[Column], Column] = sha256) -> None:
-    """Bring the rows of ``docs`` into the state kept in the folder ``state``."""
+           digest: Callable[[Column], Column] = sha256, where: Column | None = None) -> None:
+    """Bring the rows of ``docs`` into the state kept in the folder ``state``. ``where`` says where a
+    row's content lies (a plain file scan has ``input_file_name()``)."""
     spark, body = docs.sparkSession, empty_text(text)
     arrivals = docs.select(digest(body).alias("digest"), F.col(key).cast("long").alias("id"),
-                           F.struct(F.input_file_name().alias("file"), F.octet_length(body).cast("long").alias("n_bytes")).alias("locator"))
+                           F.struct((F.lit(None) if where is None else where).cast("string").alias("file"), F.octet_length(body).cast("long").alias("n_bytes")).alias("locator"))
     arrivals.write.mode("append").parquet(f"{state}/arrivals")
     before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
     for k, v in STATE_SETTINGS.items():
@@ -87,10 +88,10 @@ def assign(docs: DataFrame, state: str, text: str = "text", key: str = "doc_id",
 
 
 def exact_dedup(docs: DataFrame, state: str | None = None, text: str = "text", key: str = "doc_id",
-                digest: Callable[[Column], Column] = sha256) -> DataFrame:
+                digest: Callable[[Column], Column] = sha256, where: Column | None = None) -> DataFrame:
     """Ingest and assign in one call; an empty table gives an empty result."""
     state = state or scratch(docs.sparkSession, "exact-state")
-    ingest(docs, state, text, key, digest)
+    ingest(docs, state, text, key, digest, where)
     return assign(docs, state, text, key, digest)
 
 
@@ -113,7 +114,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents"), where=F.input_file_name())
 
 
 SQL = """SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
