@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from trolley.llm.common import stored, table
+from trolley.llm.common import few, stored, table
 
 RATIO, LEAST_PAGES = 0.1, 20
 
@@ -53,8 +53,10 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
     # The page itself is counted as the null line, so one aggregation gives both numbers.
     entries = F.concat(F.transform("lines", _digest), F.array(F.lit(None).cast("binary")))
     counts = stored(rows.select("host", F.explode(entries).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")), "line-counts")
-    sizes = counts.filter("line is null").select("host", F.col("n").alias("pages")).filter(F.col("pages") >= least_pages)
-    common = counts.filter("line is not null").join(sizes, "host").filter(F.col("n") > ratio * F.col("pages"))
+    sizes = stored(counts.filter("line is null").select("host", F.col("n").alias("pages")).filter(F.col("pages") >= least_pages), "hosts")
+    # No line on fewer pages can be boilerplate of any host: most lines end here, before the join.
+    frequent = counts.filter(F.col("line").isNotNull() & (F.col("n") > ratio * least_pages))
+    common = frequent.join(few(sizes), "host").filter(F.col("n") > ratio * F.col("pages"))
     return stored(common.groupBy("host").agg(F.collect_list("line").alias("common")), "boilerplate")
 
 
