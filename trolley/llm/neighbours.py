@@ -4,7 +4,7 @@ Vectors are put on a sphere (scaled by the largest norm, one more component), wh
 inner product with a query is the nearest point. Equal vectors are one node of the graph, known by
 their smallest id, so copies cost nothing and answers are expanded at the end.
 
-1. Start: every node goes to the cells of its two nearest pivots, cells are split by hash into
+1. Start: every node goes to the cells of its ``CELLS`` nearest pivots, cells are split by hash into
    blocks of bounded size, and each block is compared inside.
 2. NN-descent: in each round every node u introduces its neighbours (and a bounded number of nodes
    that have u as a neighbour) to each other; a pair is proposed where it beats the worst neighbour
@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from trolley.llm.common import stored, table, text_bytes
 
 DEGREE, REVERSE, POOL, TOP, ENTRIES = 24, 12, 96, 20, 8
-PIVOTS, CELL, BLOCK = 4096, 128, 512  # at most, nodes a pivot stands for, nodes a block may hold on average
+PIVOTS, CELL, CELLS, BLOCK = 4096, 128, 10, 2048  # at most, nodes a pivot stands for, cells of a node, nodes a block holds at most on average
+ASKED_ROWS = 100_000    # query points broadcast at most, some 15 MB at 64 components; more are joined
 ROUNDS, ENOUGH = 6, 0.02
 
 
@@ -94,9 +95,9 @@ def start_graph(points: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 sims = _points(part.column(1)) @ pivots.T
-                two = np.argsort(-sims, 1, kind="stable")[:, :2].astype(np.int32)
-                rows = np.repeat(np.arange(part.num_rows), two.shape[1])
-                yield pa.record_batch([pa.array(two.ravel()), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))], ["cell", "node", "point"])
+                near = np.argsort(-sims, 1, kind="stable")[:, :CELLS].astype(np.int32)
+                rows = np.repeat(np.arange(part.num_rows), near.shape[1])
+                yield pa.record_batch([pa.array(near.ravel()), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))], ["cell", "node", "point"])
 
     dealt = stored(points.mapInArrow(cells, "cell int, node long, point binary"), "cells")
     parts = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))  # a row per pivot
@@ -185,6 +186,7 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, pivots: tupl
                 other = nodes[best.ravel()] != queries_
                 yield pa.record_batch([pa.array(queries_[other]), pa.array(nodes[best.ravel()][other]), pa.array(np.take_along_axis(sims, best, 1).ravel()[other])], ["query", "node", "sim"])
 
+    nearby = F.broadcast(asked) if asked.count() <= ASKED_ROWS else asked
     own = asked.select("query", F.col("query").alias("node"), F.lit(2.0).cast("float").alias("sim"))
     held = stored(own.unionByName(asked.mapInArrow(enter, "query long, node long, sim float")).withColumn("done", F.lit(False)), "pool")
 
@@ -200,7 +202,7 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, pivots: tupl
         if frontier.isEmpty():
             return held.select("query", "node", "sim")
         met = frontier.join(edges, "owner").select("query", "node").distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
-        scored = met.join(points, "node").join(asked, "query").select("query", "node", "point", "asked").mapInArrow(compare, "query long, node long, sim float")
+        scored = met.join(points, "node").join(nearby, "query").select("query", "node", "point", "asked").mapInArrow(compare, "query long, node long, sim float")
         both = held.withColumn("done", F.lit(True)).unionByName(scored.withColumn("done", F.lit(False)))
         held = stored(nearest(both, "query", pool), "pool")
 
