@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from trolley.llm.common import stored, table, text_bytes
 
 DEGREE, REVERSE, POOL, TOP, ENTRIES = 24, 12, 96, 20, 8
-PIVOTS, CELL, CELLS, BLOCK = 4096, 128, 10, 2048  # at most, nodes a pivot stands for, cells of a node, nodes a block holds at most on average
+PIVOTS, CELL, CELLS, BLOCK = 4096, 96, 16, 2048  # at most, nodes a pivot stands for, cells of a node, nodes a block holds at most on average
 ASKED_ROWS = 100_000    # query points broadcast at most, some 15 MB at 64 components; more are joined
 ROUNDS, ENOUGH = 6, 0.02
 
