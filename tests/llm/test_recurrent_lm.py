@@ -109,3 +109,17 @@ def test_replicas_average_in_a_tree(spark, monkeypatch):
     model = R.fit(docs, head=200, share=1.0, rounds=1)
     rows = R.score(docs, model).agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert rows["s"] > rows["b"]
+
+
+def test_every_training_document_is_trained_on_once(spark, monkeypatch):
+    """Null and repeated ids included; by the query's own defaults."""
+    docs = documents(spark).select("doc_id", "text").unionByName(awkward(spark).select("doc_id", "text"))
+    seen, trained = [], R.trained
+
+    def noted(rows, *more):
+        seen.extend(r["text"] for r in rows.select("text").collect())
+        return trained(rows, *more)
+
+    monkeypatch.setattr(R, "trained", noted)
+    R.fit(docs)
+    assert Counter(seen) == Counter(r["text"] or "" for r in docs.collect())

@@ -154,7 +154,7 @@ class Trainer:
     def __init__(self, p: dict[str, np.ndarray], layout: Layout, end: int, rate: float):
         self.p, self.layout, self.end, self.rate = {k: v.copy() for k, v in p.items()}, layout, end, rate
         self.sums = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
-        self.tokens = 0
+        self.tokens = self.fullest = 0
 
     def _move(self, name: str, slope: np.ndarray, rows: slice | np.ndarray = slice(None)) -> None:
         total = self.sums[name][rows] + slope * slope
@@ -173,7 +173,9 @@ class Trainer:
         flat, real = states.reshape(-1, hidden), np.flatnonzero(target.ravel() >= 0)
         own, y = flat[real], target.ravel()[real]
         classes = layout.class_of(y)
-        scale = np.float32(1 / max(len(real), 1))
+        # A token weighs the same in every window: the last ones of a batch hold only the rest of its longest texts.
+        self.fullest = max(self.fullest, len(real), 1)
+        scale = np.float32(1 / self.fullest)
         wrong = np.exp(class_log_softmax(p, own))
         wrong[np.arange(len(real)), classes] -= 1
         wrong *= scale

@@ -6,8 +6,8 @@
 2. The recurrent model (``gru``) starts at the counted frequencies and is trained by truncated
    backpropagation: each replica goes through its documents window by window, replicas are averaged
    in a tree, and the next round starts from the average. Replicas follow from the number of tokens.
-   ``share`` of the training documents, drawn by the hash of the id, is trained on, so training
-   grows with the corpus; counts cover all of it.
+   Every training document is trained on once: the rounds are disjoint draws by the hash of the id
+   (``share`` below one trains on fewer; counts cover all of them either way).
 3. Scoring deals the documents of a batch to lanes and carries the state over all windows of a
    document. Counts of the words beyond the broadcast table are joined.
 
@@ -36,7 +36,7 @@ from trolley.llm.shingles import _LOWER, mix, word_hashes, words
 
 HEAD, CLASSES, TAILS, HIDDEN = 4096, 64, 64, 24
 FREQUENT = 262_144      # words whose counts every task holds (16 bytes each)
-SHARE, ROUNDS, REPLICA_TOKENS = 0.125, 2, 1_500_000
+SHARE, ROUNDS, REPLICA_TOKENS = 1.0, 2, 1_500_000
 LANES, STEPS, RATE = 64, 20, 0.08
 SMOOTH, END, _SEED = 0.1, 0, 3_001
 
