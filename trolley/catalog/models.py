@@ -83,9 +83,9 @@ def fit_forest(spark, d):
 
 @register("fit_long")
 def fit_long(spark, d):
-    rows = materialise(U.universe_long(stored_transactions(spark, d), TARGETS, n=2, windows=(30, 360)).rows, "long")
+    rows = materialise(U.universe_long(stored_transactions(spark, d), TARGETS).rows, "long")
     names = [c for c in rows.columns if c not in ("origin", "customer_id", "item_id", "Target", "IMPP")]
-    train, score = rows.filter("origin = 2"), rows.filter("origin = 1")
+    train, score = rows.filter("origin > 1"), rows.filter("origin = 1")
     return M.fit_long(train, score, names, ["customer_id", "item_id"])
 
 
