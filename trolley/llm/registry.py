@@ -8,6 +8,7 @@ from trolley.llm.line_dedup import SQL as LINE_SQL, op10_line_dedup
 from trolley.llm.near_dedup import op9_near_dedup
 from trolley.llm.neighbours import op6_neighbours
 from trolley.llm.packing import op2_packing
+from trolley.llm.prefix_trie import SQL as TRIE_SQL, op12_prefix_trie
 from trolley.llm.recurrent_lm import op5_recurrent_lm
 from trolley.llm.toxicity import op7_toxicity
 
@@ -22,9 +23,11 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES = {
     "op1_exact_dedup": EXACT_SQL,
     "op10_line_dedup": LINE_SQL,
+    "op12_prefix_trie": TRIE_SQL,
 }
