@@ -2,6 +2,7 @@
 
 from trolley.llm.bpe import op3_byte_bpe
 from trolley.llm.chat import op8_chat
+from trolley.llm.divergence import SQL as DIVERGENCE_SQL, op13_source_divergence
 from trolley.llm.exact_dedup import SQL as EXACT_SQL, op1_exact_dedup
 from trolley.llm.language import op4_language
 from trolley.llm.line_dedup import SQL as LINE_SQL, op10_line_dedup
@@ -24,10 +25,12 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
     "op1_exact_dedup": EXACT_SQL,
     "op10_line_dedup": LINE_SQL,
     "op12_prefix_trie": TRIE_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
 }
