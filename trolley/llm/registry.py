@@ -11,6 +11,7 @@ from trolley.llm.neighbours import op6_neighbours
 from trolley.llm.packing import op2_packing
 from trolley.llm.prefix_trie import SQL as TRIE_SQL, op12_prefix_trie
 from trolley.llm.recurrent_lm import op5_recurrent_lm
+from trolley.llm.secrets import op11_secret_scan
 from trolley.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_secret_scan": op11_secret_scan,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_source_divergence": op13_source_divergence,
 }
