@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from trolley.llm.common import empty_text, slices, stored, table, text_bytes
 
 LEAST_DOCS, SMOOTH, UNIT, TOP = 30, 5, 1_000_000_000, 50
-SOURCES, TERMS = 64, 4096       # a task's block of source pairs: sources a side, terms
+SOURCES, TERMS = 64, 1024       # a task's block of source pairs: sources a side, terms
 FLUSH, PIECE = 200_000, 1 << 20  # entries of a counting table; bytes of a text looked at in one go
 
 # Bytes of a term (letters of ASCII, and all bytes of other characters), lower-cased; others part terms.
@@ -101,19 +101,20 @@ class Skyband:
 
     def __init__(self, k: int):
         self.k, self.n = k, 0
-        self.counts, self.terms = np.empty(1024, np.int64), []
+        self.counts, self.heads, self.terms = np.empty(1024, np.int64), np.empty(1024, np.uint64), []
 
     def stays(self, lang_count: int, term: bytes) -> bool:
-        below = np.flatnonzero(self.counts[:self.n] <= lang_count)
-        if len(below) >= self.k:
-            seen = 0
-            for i in below.tolist():
-                seen += self.terms[i] < term
-                if seen >= self.k:
-                    return False
+        """Most dominators show by the first eight bytes; equal ones are compared in full."""
+        head = int.from_bytes(term[:8].ljust(8, b"\0"), "big")
+        lower, heads = self.counts[:self.n] <= lang_count, self.heads[:self.n]
+        seen = np.count_nonzero(lower & (heads < head))
+        if seen < self.k:
+            seen += sum(self.terms[i] < term for i in np.flatnonzero(lower & (heads == head)))
+        if seen >= self.k:
+            return False
         if self.n == len(self.counts):
-            self.counts = np.concatenate([self.counts, np.empty_like(self.counts)])
-        self.counts[self.n] = lang_count
+            self.counts, self.heads = (np.concatenate([x, np.empty_like(x)]) for x in (self.counts, self.heads))
+        self.counts[self.n], self.heads[self.n] = lang_count, head
         self.terms.append(term)
         self.n += 1
         return True

@@ -37,7 +37,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "crf")
 
-PER_CLASS, PER_TEXT, WIDTH = 2_000, 3, 64
+PER_CLASS, PER_TEXT, WIDTH = 2_000, 3, 64  # texts a class; windows a text; tokens a window
 _HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -145,9 +145,9 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", per_class: int
     hinted = F.col("text").rlike(r"(?i)(passw|secret|token|api_?key).{0,24}[:=]|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
     rows = docs.select(empty_text(text).alias("text"), F.col(key).alias("id")).filter("text <> ''")
     rows = rows.select(F.abs(F.xxhash64("id", "text") % 1_000_003).alias("key"), F.xxhash64("text", "id").alias("tie"), hinted.alias("hinted"), "text")
-    heads = stored(rows.select("key", "tie", "hinted"), "secret-keys")
+    heads = stored(rows.groupBy("key", "tie").agg(F.max("hinted").alias("hinted")), "secret-keys")
     chosen = [heads.filter(c).orderBy("key", "tie").limit(per_class) for c in ("hinted", "NOT hinted")]
-    chosen = stored(chosen[0].unionByName(chosen[1]).distinct(), "secret-sample")  # at most 2 * per_class rows
+    chosen = stored(chosen[0].unionByName(chosen[1]), "secret-sample")  # at most 2 * per_class rows
     sampled = rows.drop("hinted").join(F.broadcast(chosen.drop("hinted")), ["key", "tie"]).select("text", "key", "tie")
     once = sampled.dropDuplicates(["key", "tie"]).select("text", "key")
     found = stored(once.mapInArrow(windows, "key long, k long, size long, features binary, tags binary"), "windows")
