@@ -117,6 +117,14 @@ def origins(raw: DataFrame, n: int, step: int) -> list[tuple[int, datetime, date
     return out
 
 
+def rolling_blocks(past: DataFrame, targets: Sequence[str], windows: Sequence[int], keys: Sequence[str], ref: datetime | None = None) -> list[DataFrame]:
+    """Wide pair block and customer block of a rolling universe, back from ``ref`` or the rows' own ``rd``."""
+    kinds, pair = ("sum", "min", "max"), (*keys, "item_id")
+    pairs = feature_block(past, pair, windows, ref, letter="R", amount=kinds, quantity=kinds)
+    wide = widen(pairs, targets, _measures(pairs, pair), keys)
+    return [wide, feature_block(past, keys, windows, ref, prefix="C", letter="T", amount=kinds, quantity=kinds, sep="_")]
+
+
 def universe_rolling(raw: DataFrame, targets: Sequence[str], n: int = 6, step: int = 30,
                      windows: Sequence[int] = WINDOWS_LONG) -> Universe:
     """n stacked universes, ``step`` days apart: RFM with sum/min/max on pair and customer level,
@@ -127,14 +135,10 @@ def universe_rolling(raw: DataFrame, targets: Sequence[str], n: int = 6, step: i
     wanted = only_items(raw, targets)
     copies = wanted.withColumn("_o", F.explode(F.filter(spans, lambda s: F.col("InvoiceDate") <= s["end"])))
     copies = copies.select(*wanted.columns, f"_o.{ORIGIN}", "_o.rd")
-    keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
+    keys = (ORIGIN, *CUSTOMER)
     labelled = labels(copies.filter(F.col("InvoiceDate") > F.col("rd")), targets, keys)
     past = materialise(restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys), "past")
-    kinds = ("sum", "min", "max")
-    pairs = feature_block(past, pair, windows, letter="R", amount=kinds, quantity=kinds)
-    wide = widen(pairs, targets, _measures(pairs, pair), keys)
-    customers = feature_block(past, keys, windows, prefix="C", letter="T", amount=kinds, quantity=kinds, sep="_")
-    rows = attach_labels(_filled(labelled.select(*keys), [wide, customers], keys), labelled, keys)
+    rows = attach_labels(_filled(labelled.select(*keys), rolling_blocks(past, targets, windows, keys), keys), labelled, keys)
     return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")), labelled.select(*keys))
 
 
@@ -148,6 +152,13 @@ def popular_by_origin(raw: DataFrame, n: int, step: int, popular: int) -> DataFr
     return top_n(counts, [ORIGIN], "count", popular, ["item_id"])
 
 
+def gap_blocks(past: DataFrame, items: Sequence[str], keys: Sequence[str]) -> list[DataFrame]:
+    """Wide gap statistics of the listed items."""
+    pair = (*keys, "item_id")
+    gaps = gap_stats(past.filter(F.col("item_id").isin(*items)), pair)
+    return [widen(gaps, items, _measures(gaps, pair), keys)]
+
+
 def universe_gaps(raw: DataFrame, targets: Sequence[str], n: int = 6, step: int = 30, popular: int = 30) -> Universe:
     """Rolling universes of gap statistics and item lists over the targets and each universe's
     most popular items; gap columns are kept for items present in every universe."""
@@ -162,13 +173,11 @@ def universe_gaps(raw: DataFrame, targets: Sequence[str], n: int = 6, step: int
     copies = raw.withColumn("_o", F.explode(F.filter(spans, lambda s: (F.col("InvoiceDate") <= s["end"])
                                                      & F.array_contains(s["items"], F.col("item_id")))))
     copies = copies.select(*raw.columns, f"_o.{ORIGIN}", "_o.rd")
-    keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
+    keys = (ORIGIN, *CUSTOMER)
     labelled = labels(copies.filter(F.col("InvoiceDate") > F.col("rd")), targets, keys)
     past = restrict_to(copies.filter(F.col("InvoiceDate") <= F.col("rd")), labelled, keys)
-    gaps = gap_stats(past.filter(F.col("item_id").isin(*common)), pair)
-    wide = widen(gaps, common, _measures(gaps, pair), keys)
     base = past.select(*keys).distinct()
-    rows = attach_labels(_filled(base, [wide], keys), labelled, keys)
+    rows = attach_labels(_filled(base, gap_blocks(past, common, keys), keys), labelled, keys)
     return Universe(rows, past.select(*keys, F.col("item_id").alias("item")), base)
 
 
@@ -180,6 +189,14 @@ def newest_visits(raw: DataFrame, n: int) -> DataFrame:
     return top.groupBy(*CUSTOMER).agg(F.sort_array(F.collect_list("InvoiceDate"), asc=False).alias("visits"))
 
 
+def last_visit_blocks(past: DataFrame, targets: Sequence[str], windows: Sequence[int], keys: Sequence[str]) -> list[DataFrame]:
+    """Wide pair block and customer block of a last-visit universe, back from the rows' own ``rd``."""
+    pair = (*keys, "item_id")
+    pairs = feature_block(past, pair, windows, span="R_F", amount=("mean",))
+    wide = widen(pairs, targets, _measures(pairs, pair), keys)
+    return [wide, feature_block(past, keys, windows, prefix="C", span="T_F", amount=("mean",))]
+
+
 def universe_last_visit(raw: DataFrame, targets: Sequence[str], n: int = 4,
                         windows: Sequence[int] = WINDOWS_LONG) -> Universe:
     """Universe p drops each customer's p-1 newest visits (any item), labels from the newest
@@ -201,12 +218,9 @@ def universe_last_visit(raw: DataFrame, targets: Sequence[str], n: int = 4,
               .select(*wanted.columns, f"_o.{ORIGIN}", "_o.label_date", "_o.rd"))
     copies = materialise(copies, "copies")
     past = copies.filter(F.col("InvoiceDate") < F.col("label_date"))  # every customer here has a labelled visit
-    keys, pair = (ORIGIN, *CUSTOMER), (ORIGIN, *PAIR)
-    pairs = feature_block(past, pair, windows, span="R_F", amount=("mean",))
-    wide = widen(pairs, targets, _measures(pairs, pair), keys)
-    customers = feature_block(past, keys, windows, prefix="C", span="T_F", amount=("mean",))
+    keys = (ORIGIN, *CUSTOMER)
     labelled = labels(copies.filter(F.col("InvoiceDate") == F.col("label_date")), targets, keys)
-    rows = attach_labels(_filled(labelled.select(*keys), [wide, customers], keys), labelled, keys)
+    rows = attach_labels(_filled(labelled.select(*keys), last_visit_blocks(past, targets, windows, keys), keys), labelled, keys)
     return Universe(rows, past.select(*keys, tag("ITEM_", F.col("item_id")).alias("item")), labelled.select(*keys))
 
 
