@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import Model
@@ -10,7 +11,6 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -18,6 +18,7 @@ from trolley.functions.draws import draw_order
 from trolley.operators.metrics import accuracy, binary_cross_entropy
 from trolley.operators.ordering import number_rows
 from trolley.operators.sampling import split, undersample
+from trolley.operators.sparse import Linear, as_vectors, assemble_sparse, block as sparse_block, categories, column_kinds, from_vectors, logistic as logistic_fit, ridge
 from trolley.session import materialise
 
 # Regularisation grid and forest depth.
@@ -45,12 +46,21 @@ def standardise(train: DataFrame, columns: Sequence[str], apply_to: DataFrame |
 
 
 def assemble(blocks: Sequence[DataFrame], key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Feature blocks joined on their key, missing entries 0, as one vector column."""
+    """Feature blocks joined on their key, missing entries 0, as one vector column.
+
+    Columns are split by type: categorical ones become one entry per value, in the order of
+    ``<column>=<value>``, ahead of the numeric ones, and the vector is sparse then.
+    """
     joined = blocks[0]
     for block in blocks[1:]:
         joined = joined.join(block, list(key), "left")
     names = list(columns or [c for c in joined.columns if c not in key])
-    return VectorAssembler(inputCols=names, outputCol="features").transform(joined.na.fill(0, names))
+    categorical, numeric = column_kinds(joined.select(*[F.col(f"`{c}`") for c in names]))
+    if not categorical:
+        return VectorAssembler(inputCols=names, outputCol="features").transform(joined.na.fill(0, names))
+    joined = materialise(joined.na.fill(0, numeric), "joined")
+    rows, size = assemble_sparse(joined, key, [sparse_block(categories(joined, key, categorical))], numeric)
+    return as_vectors(rows, size)
 
 
 def logistic(c: float, n: int, label: str, features: str = "features") -> LogisticRegression:
@@ -79,13 +89,21 @@ def _score(model: Model, df: DataFrame, name: str) -> DataFrame:
             .drop("rawPrediction", "probability", "prediction"))
 
 
+def fit_targets(train: DataFrame, targets: Sequence[str], c: float = 1.0, tolerance: float = 1e-7, scans: int = 500) -> Linear:
+    """One logistic model per target over all features, fitted together: each step is one scan."""
+    rows = materialise(from_vectors(train.select("features", *[F.col(f"`{t}`") for t in targets])), "entries")
+    return logistic_fit(rows, targets, rows.agg(F.max(F.size("values"))).first()[0] or 0, c, tolerance, scans)
+
+
 def fit_per_target(train: DataFrame, score: DataFrame, targets: Sequence[str], key: Sequence[str], c: float = 1.0,
                    select: bool = False, balance: int | None = None) -> DataFrame:
     """One logistic model per target; probabilities of all targets in one pass over ``score``.
 
-    ``select`` keeps the strong features of each target, ``balance`` under-samples the
+    Without options all targets are fitted together. ``select`` keeps the strong features of each target, ``balance`` under-samples the
     larger class (with that seed) first.
     """
+    if not select and balance is None:
+        return fit_targets(train, targets, c).predict(from_vectors(score.select(*key, "features")), targets, logistic=True)
     out = score
     for target in targets:
         rows = train if balance is None else undersample(train, target, balance, key)
@@ -133,29 +151,34 @@ def fit_long(train: DataFrame, score: DataFrame, columns: Sequence[str], key: Se
     return fit_per_target(rows, new, [label], key, c, select=True)
 
 
+def column_families(columns: Sequence[str], targets: Sequence[str], term: str = "tfidf_", tagged: str = "item_") -> dict[str, list[str]]:
+    """The four families of a frame's columns: no terms; terms alone; all but the terms of tagged items
+    that are no target; everything."""
+    terms = [c for c in columns if c.startswith(term)]
+    own = {w for t in targets for w in re.findall(r"[^\W]{2,}", f"{tagged}{t}".lower())}
+    other = {c for c in terms if c.startswith(term + tagged) and c[len(term):] not in own}
+    return {"windows": [c for c in columns if c not in terms], "terms": terms,
+            "target_terms": [c for c in columns if c not in other], "all": list(columns)}
+
+
 def family_models(train: DataFrame, score: DataFrame, families: dict[str, Sequence[str]], targets: Sequence[str],
                   key: Sequence[str], c: float = 1.0) -> dict[str, DataFrame]:
-    """One set of per-target models for each family of feature columns."""
+    """One set of per-target models for each family of feature columns; all targets of a family are fitted
+    together, to a mean gradient of 1e-5 or for 100 scans."""
     out = {}
     for name, columns in families.items():
         vector = VectorAssembler(inputCols=list(columns), outputCol="features")
         rows = materialise(vector.transform(minmax(train, columns)).select(*key, "features", *[F.col(f"`{t}`") for t in targets]), name)
         new = vector.transform(minmax(train, columns, score)).select(*key, "features")
-        out[name] = fit_per_target(rows, new, targets, key, c)
+        fitted = fit_targets(rows, targets, c, 1e-5, 100)
+        out[name] = fitted.predict(from_vectors(new), targets, logistic=True)
     return out
 
 
-def fit_ridge(train: DataFrame, label: str, features: str = "features", alpha: float = 1.0) -> LinearRegressionModel:
-    """Ridge regression with the penalty alpha |w|^2 on the sum of squares.
-
-    The estimator penalises by regParam / deviation(label), so that factor is put back: the
-    population deviation for the normal equations, the sample one for the iterative solver.
-    """
-    wide = train.schema[features].metadata.get("ml_attr", {}).get("num_attrs", 0) > 4096
-    deviation = F.stddev_samp if wide else F.stddev_pop
-    size = train.agg(F.count(F.lit(1)).alias("n"), deviation(label).alias("sd")).first()
-    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / size["n"] * size["sd"], elasticNetParam=0.0,
-                            standardization=False, solver="l-bfgs" if wide else "normal").fit(train)
+def fit_ridge(train: DataFrame, label: str, features: str = "features", alpha: float = 1.0) -> Linear:
+    """Ridge regression with the penalty alpha |w|^2 on the sum of squares and a free intercept."""
+    rows = materialise(from_vectors(train.select(F.col(features).alias("features"), F.col(label).alias("y"))), "entries")
+    return ridge(rows, ["y"], rows.agg(F.max(F.size("values"))).first()[0] or 0, alpha)
 
 
 def fit_boosted(train: DataFrame, score: DataFrame, label: str, classes: Sequence[int], key: Sequence[str],
