@@ -29,7 +29,7 @@ def test_shares_of_host_pages(spark):
         pages.append((i, f"https://User@A.example:80/p{i}", body, "x", "y", 1))
     pages += [(100, None, "<p>no address</p>", None, None, None), (101, "http://b.example/", None, None, None, None), (102, "http://b.example/", "", None, None, None),
               (103, "http://b.example", "<p>everywhere", None, None, None), (103, "http://b.example", "<p>everywhere", None, None, None), (None, "x", "<br>", None, None, None)]
-    got = L.drop_boilerplate(spark.createDataFrame(pages, SCHEMA), ratio=0.6, least_pages=3).collect()
+    got = L.drop_boilerplate(spark.createDataFrame(pages, SCHEMA), ratio=0.6).collect()
     assert len(got) == len(pages)
     by = {r["page_id"]: r for r in got}
     assert by[0]["host"] == "a.example" and by[0]["kept"] == ["own 0"] and by[1]["kept"] == ["half the pages", "own 1"]
@@ -38,6 +38,13 @@ def test_shares_of_host_pages(spark):
     assert by[103]["kept"] == ["everywhere"]  # on half of its host's pages
 
 
+def test_small_hosts_follow_the_same_rule(spark):
+    pages = [(i, "http://small.example/", f"<li>menu</li><p>own {i}</p>", None, None, None) for i in range(19)]
+    pages += [(50 + i, "http://two.example/", f"<li>menu</li><p>own {i}</p>", None, None, None) for i in range(2)] + [(90, "http://one.example/", "<li>menu</li>", None, None, None)]
+    got = {r["page_id"]: r["kept"] for r in L.drop_boilerplate(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert all(got[i] == [f"own {i}"] for i in range(19)) and got[50] == ["own 0"] and got[90] == ["menu"]
+
+
 def test_lines_of_markup(spark):
     html = "<html><script>var x='<p>';</script><style>a{}</style><!-- <p>no</p> --><h1>A &amp;  B</h1>\n text<br/>one <b>bold</b>\t word&nbsp;&lt;p&gt;<p> </p></html>"
     long = "<p>" + "x" * 200_000 + "</p>" + "<p>y</p>" * 20_000

@@ -1,14 +1,16 @@
 """Line deduplication by site-relative frequency, in DataFrame expressions only.
 
 A page's lines are what its block elements hold as text. For every host, the number of pages that
-hold a line is divided by the number of the host's pages; lines above ``ratio`` are boilerplate and
-leave all pages of that host, whatever their place or count in a page.
-
-Scale: pages are read twice and their text is never shuffled: the first pass counts (host, line
-digest), once per page and combined before the shuffle, so neither a host nor a line with a third of
-all rows is a hot group. A host's boilerplate has at most (lines per page / ratio) entries, as each
-is on more than ``ratio`` of its pages; this list of one row per host is stored and joined, by
-broadcast only while its file is below Spark's threshold. Lines are known by their SHA-256.
+hold a line is divided by the number of the host's pages; lines above ``ratio`` that at least ``LEAST``
+pages hold are boilerplate and leave all pages of that host, whatever their place or count in a page. The
+size of the host plays no other part.
+
+Scale: pages are read and parsed once; what is stored of them is their lines with digests. Their text is
+never shuffled: (host, line digest) is counted once per page and combined before the shuffle, so neither
+a host nor a line with a third of all rows is a hot group. A host's boilerplate has at most (lines per
+page / ratio) entries, as each is on more than ``ratio`` of its pages; this list of one row per host is
+stored and joined, by broadcast only while its file is below Spark's threshold. Lines are known by their
+SHA-256.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trolley.llm.common import few, stored, table
 
-RATIO, LEAST_PAGES = 0.1, 20
+RATIO, LEAST = 0.1, 2
 
 # The same patterns serve both engines of the SQL check, so they use only what RE2 knows.
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
@@ -46,29 +48,32 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.sha2(line, 256))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, common): digests of the lines on more than ``ratio`` of a host's pages. Hosts with fewer
-    than ``least_pages`` pages have none."""
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.array_distinct(lines_of(F.col("html"))).alias("lines"))
+def parsed(pages: DataFrame) -> DataFrame:
+    """The stored lines of every page with their digests: page_id, host, lines, digests."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"))
+    return stored(rows.withColumn("digests", F.transform("lines", _digest)), "lines")
+
+
+def boilerplate(rows: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
+    """(host, common): digests of the lines on more than ``ratio`` of a host's pages, and on ``least``."""
     # The page itself is counted as the null line, so one aggregation gives both numbers.
-    entries = F.concat(F.transform("lines", _digest), F.array(F.lit(None).cast("binary")))
-    counts = stored(rows.select("host", F.explode(entries).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")), "line-counts")
-    sizes = stored(counts.filter("line is null").select("host", F.col("n").alias("pages")).filter(F.col("pages") >= least_pages), "hosts")
-    # No line on fewer pages can be boilerplate of any host: most lines end here, before the join.
-    frequent = counts.filter(F.col("line").isNotNull() & (F.col("n") > ratio * least_pages))
-    common = frequent.join(few(sizes), "host").filter(F.col("n") > ratio * F.col("pages"))
+    entries = F.concat(F.array_distinct("digests"), F.array(F.lit(None).cast("binary")))
+    counts = rows.select("host", F.explode(entries).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts.filter((F.col("n") >= least) | F.col("line").isNull()), "line-counts")  # most lines end here
+    sizes = stored(counts.filter("line is null").select("host", F.col("n").alias("pages")), "hosts")
+    common = counts.filter("line is not null").join(few(sizes), "host").filter(F.col("n") > ratio * F.col("pages"))
     return stored(common.groupBy("host").agg(F.collect_list("line").alias("common")), "boilerplate")
 
 
-def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """One row per page: page_id, host, lines, kept (the lines that stay, in order).
 
     Null or empty pages have no lines; a null address belongs to the empty host, which is a group
     like any other. Repeated rows count as pages of their own. An empty table gives an empty result.
     """
-    found = boilerplate(pages, ratio, least_pages)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"))
-    kept = F.filter("lines", lambda line: ~F.array_contains("common", _digest(line)))
+    rows = parsed(pages)
+    found = boilerplate(rows, ratio, least)
+    kept = F.transform(F.filter(F.arrays_zip("lines", "digests"), lambda e: ~F.array_contains("common", e["digests"])), lambda e: e["lines"])
     return rows.join(found, "host", "left").select("page_id", "host", "lines", F.when(F.col("common").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
 
 
@@ -94,7 +99,7 @@ SQL = f"""WITH p AS (SELECT row_number() OVER () AS r, page_id, lower(regexp_ext
   l AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p),
   h AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
   common AS (SELECT host, line FROM l JOIN h USING (host) GROUP BY host, line, pages
-    HAVING pages >= {LEAST_PAGES} AND count(DISTINCT r) > {RATIO} * pages),
+    HAVING count(DISTINCT r) >= {LEAST} AND count(DISTINCT r) > {RATIO} * pages),
   k AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS kept FROM l ANTI JOIN common USING (host, line) GROUP BY r)
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
 FROM p LEFT JOIN k USING (r)"""
