@@ -30,6 +30,13 @@ def test_like_the_library(codec, library):
         assert codec.decode(ids) == text.encode()
 
 
+def test_white_space_beside_spaces(codec, library):
+    draw, bits = random.Random(4), [" ", " ", "\xa0", "\u3000", "\n", "\t", "\r", "\x1c", "\x85", "b", "!"]
+    texts = ["x \xa0 \xa0", "\xa0 \xa0 \xa0 b", "a\n\xa0 b"] + ["".join(draw.choice(bits) for _ in range(draw.randint(1, 12))) for _ in range(20_000)]
+    for text in texts:
+        assert np.frombuffer(codec.encode(text), np.uint32).tolist() == library.encode_ordinary(text), repr(text)
+
+
 def test_small_tables_change_nothing(library):
     codec = B.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), remembered=3)
     for text in ("the cat, the dog\nand others", "thonen inth reou", "thonen inth reou"):

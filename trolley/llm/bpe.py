@@ -151,9 +151,12 @@ class Codec:
         parts = text.replace("\n", " \n").split(" ")
         if "" in parts or "\n" in parts:
             return self.cut(text)
-        first = self.cut(parts[0])
-        del parts[0]
+        head = parts.pop(0)
         new = set(parts).difference(known)
+        # Other white space beside a space would go on over the cut.
+        if head[-1:].isspace() or any(c[-1].isspace() or c.lstrip("\n")[:1].isspace() for c in new):
+            return self.cut(text)
+        first = self.cut(head)
         for chunk in new:
             known[chunk] = self.cut(chunk if chunk[0] == "\n" else " " + chunk)
         out = first + b"".join(map(known.__getitem__, parts))
