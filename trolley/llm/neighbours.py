@@ -101,7 +101,7 @@ def start_graph(points: DataFrame, pivots: np.ndarray, degree: int) -> DataFrame
 
     dealt = stored(points.mapInArrow(cells, "cell int, node long, point binary"), "cells")
     parts = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))  # a row per pivot
-    blocks = (dealt.join(F.broadcast(parts), "cell").groupBy("cell", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    blocks = (dealt.join(F.broadcast(parts), "cell").groupBy("cell", F.pmod(F.xxhash64("node", "cell"), "parts").alias("part"))
               .agg(F.collect_list(F.struct("node", "point")).alias("members")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
