@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import LONG, awkward, documents, empty
-from trolley.llm import near_dedup as N
+from trolley.llm import graph, near_dedup as N
 from trolley.llm.graph import components
 from trolley.llm.shingles import shingle_sets
 
@@ -105,7 +105,9 @@ def test_shingles_of_long_words_and_texts(monkeypatch):
     assert (shingle_sets(data, ends, 2)[0] == found).all()
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components_of_chains_and_stars(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW_LINKS", few)
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 300), (300, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(31)} | {i: 100 for i in range(100, 140)} | {200: 200, 300: 200}

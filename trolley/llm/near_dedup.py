@@ -41,6 +41,7 @@ from trolley.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS, BATCH, MISS = 40, 5, 25, 1e-9
 SMALL, BLOCK = 48, 256  # members of a bucket whose pairs are joined; documents a block holds on average
+PIECE = 1 << 20         # bytes of text whose shingles are made in one go (a longer text is one piece)
 _SEED = 7_919
 
 
@@ -78,7 +79,7 @@ def signed(docs: DataFrame, text: str, key: str, width: int, perms: int) -> Data
     """doc_id, n_shingles, fingerprint of the set, signature (null for an empty set)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations(perms)
-        for piece in slices(batches, "text", 2000, 4 << 20):
+        for piece in slices(batches, "text", 2000, PIECE):
             sets, bounds = shingle_sets(*text_bytes(piece.column(1)), width)
             own = [sets[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
             yield pa.record_batch([
@@ -137,7 +138,7 @@ def promising(pairs: DataFrame, reps: DataFrame, threshold: float, looks: list[i
 def set_rows(docs: DataFrame, ids: DataFrame, text: str, key: str, width: int) -> DataFrame:
     """(doc_id, set) of the documents in ``ids``: all shingles, sorted, as 64-bit values."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 2000, 4 << 20):
+        for piece in slices(batches, "text", 2000, PIECE):
             sets, bounds = shingle_sets(*text_bytes(piece.column(1)), width)
             yield pa.record_batch([piece.column(0), pa.array([sets[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:])], pa.binary())], ["doc_id", "shingles"])
 
@@ -168,8 +169,8 @@ def hot_groups(rows: DataFrame) -> DataFrame:
     that ask are outside the largest component of their hot group."""
     if rows.isEmpty():
         return rows.select("doc_id", F.col("doc_id").alias("hot"), "component", F.lit(True).alias("asks"))
-    leads = rows.groupBy("band").agg(F.min("doc_id").alias("a"))
-    groups = components(rows.join(leads, "band").select("a", F.col("doc_id").alias("b")))
+    leads = stored(rows.groupBy("band").agg(F.min("doc_id").alias("a")), "leads")
+    groups = components(rows.join(few(leads), "band").select("a", F.col("doc_id").alias("b")))
     members = stored(rows.select("doc_id", "component").distinct().join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("hot")), "doc_id"), "hot-members")
     largest = members.groupBy("hot", "component").count().groupBy("hot").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
     return members.join(largest, "hot").select("doc_id", "hot", "component", (F.col("component") != F.col("main")).alias("asks"))
@@ -247,7 +248,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     apart = with_component(shared.select("band", "doc_id"), belongs)
     mixed = (apart.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members"))
              .filter("least < most").select("band", "members"))
-    apart = stored(apart.join(mixed, "band"), "apart")
+    apart = stored(apart.join(few(stored(mixed, "mixed")), "band"), "apart")
     left, right = (apart.filter(F.col("members") <= SMALL).select("band", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
     more = left.join(right, "band").filter("a < b and ca != cb").select("a", "b").distinct()
     more = stored(promising(more, reps, threshold, looks, least), "candidates")
