@@ -61,6 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_rows: int, max_byte
             end = min(max(end, start + 1), start + max_rows, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # the worker lives on with other stages' tasks
 
 
 def offsets(column: pa.Array) -> np.ndarray:
