@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -61,7 +62,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_rows: int, max_byte
             end = min(max(end, start + 1), start + max_rows, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
-    pa.default_memory_pool().release_unused()  # the worker lives on with other stages' tasks
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: the worker lives on with other stages' tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def offsets(column: pa.Array) -> np.ndarray:
