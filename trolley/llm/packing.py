@@ -10,8 +10,8 @@ from windows left open at the end of a pool. Sequence numbers carry the partitio
 inside a pool is fixed by length, id and start, so a task that is run again gives its rows again.
 
 Tokenisation: the tokenizer never joins characters over white space, so distinct white-space
-delimited chunks are encoded once per worker and looked up after that (the table of chunks is
-bounded). Texts with control strings of the tokenizer or characters outside the common Latin
+delimited chunks are encoded once per worker and looked up after that. The table of chunks is bounded
+by bytes: when one half is full, the older half goes, and long chunks are never kept. Texts with control strings of the tokenizer or characters outside the common Latin
 ranges go through the tokenizer whole.
 """
 
@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -30,8 +32,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trolley.llm.common import empty_text, slices, table, worker_cache
 
 WINDOW, END_ID = 2048, 1
-CHUNKS = 1_000_000       # chunks remembered per worker
-POOL_BYTES = 48 << 20   # ids of rests packed together
+TABLE_BYTES = 128 << 20   # chunks remembered per worker, with what Python needs for them
+LONG_CHUNK = 200         # characters; longer chunks are encoded each time
+GROUP_BYTES = 128 << 10  # odd text given to the tokenizer in one go (a longer text is a group of its own)
+POOL_BYTES = 24 << 20   # ids of rests packed together
 _PLAIN = re.compile("[\\t\\n\\r -~ -įı-ſ‐-‧‰-⁞€]*")
 
 
@@ -85,28 +89,60 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[tuple[int, int]], in
 class ChunkEncoder:
     """Token ids of texts as little-endian unsigned 32-bit values."""
 
-    def __init__(self, path: str, chunks: int = CHUNKS):
+    def __init__(self, path: str, table_bytes: int = TABLE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.chunks = chunks
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.between, self.between_id = next(iter(added.items()), (None, None))
+        self.known: dict[str, bytes] = {}  # the half that is being filled
+        self.older: dict[str, bytes] = {}
+        self.half, self.held = table_bytes // 2, 0
+
+    def whole(self, texts: list[str]) -> Iterator[bytes]:
+        group, size = [], 0
+        for i, text in enumerate(texts):
+            group.append(text)
+            size += len(text) + 20
+            if size > GROUP_BYTES or i == len(texts) - 1:
+                for found in self.tokenizer.encode_batch_fast(group, add_special_tokens=False):
+                    yield array("I", found.ids).tobytes()
+                group, size = [], 0
+
+    def separate(self, chunks: list[str]) -> Iterator[bytes]:
+        """Ids of each chunk: many in one text, a control token between them, which no chunk holds."""
+        if self.between is None:
+            yield from self.whole(chunks)
+            return
+        for at in range(0, len(chunks), 1000):
+            text = self.between.join(chunks[at:at + 1000])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            raw, start = ids.tobytes(), 0
+            for end in [*(4 * np.flatnonzero(ids == self.between_id)).tolist(), len(raw)]:
+                yield raw[start:end]
+                start = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.chunks:
-            self.known.clear()
-        plain = [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
+        plain = [bool(_PLAIN.fullmatch(t)) and not self.special.search(t) for t in texts]
         cut = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
         known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        known.update(zip(new, self.whole(new)))
-        odd = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
-        return [b"".join(map(known.__getitem__, words)) if p else next(odd) for words, p in zip(cut, plain)]
+        met = set(chain.from_iterable(cut)).difference(known)
+        again = met & self.older.keys()
+        known.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(met - again)
+        known.update(zip(new, self.separate(new), strict=True))
+        odd = self.whole([t for t, p in zip(texts, plain) if not p])
+        out = [b"".join(map(known.__getitem__, words)) if p else next(odd) for words, p in zip(cut, plain)]
+        if max(map(len, met), default=0) > LONG_CHUNK:
+            for w in met:
+                if len(w) > LONG_CHUNK:
+                    del known[w]
+        self.held += sum(min(len(w), LONG_CHUNK) for w in met) + 200 * len(met)
+        if self.held > self.half:
+            self.known, self.older, self.held = {}, known, 0
+        return out
 
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -140,7 +176,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, text: str = "text", key
                              for (doc, start, total, ids), (number, offset) in zip(pool[at:at + 5000], places[at:at + 5000])])
             used, pool, held = used + windows, [], 0
 
-        for piece in slices(batches, "text", 1000, 4 << 20):
+        for piece in slices(batches, "text", 1000, 1 << 20):
             full = []
             for doc, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist())):
                 ids += tail
