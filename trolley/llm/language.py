@@ -137,6 +137,22 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
     return rows.mapInArrow(work, "doc_id long, lang_pred string, score double, proportions array<double>")
 
 
+def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und``, with all their columns: null texts and texts
+    without a letter go, also where nothing was learned. Every row is judged by its own text where it
+    stands, so null and repeated ids need no rule."""
+    lettered = docs.filter(empty_text(text).rlike("\\p{L}"))
+    if not model.languages:
+        return lettered
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, text, 1000, 1 << 20):
+            shares = model.mixtures(*text_bytes(piece.column(piece.schema.get_field_index(text))))
+            yield piece.filter(pa.array(shares.max(1) > 0))
+
+    return lettered.mapInArrow(work, docs.schema)
+
+
 def learned(docs: DataFrame) -> Model:
     return fit(docs.filter(id_bucket(F.col("doc_id"), 4) != 2))
 

@@ -142,6 +142,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
     return docs.select(F.col(key).cast("long").alias("doc_id"), empty_text(text).alias("text")).mapInArrow(work, "doc_id long, score double, predicted int")
 
 
+def clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns. Every row is judged by
+    its own text where it stands, so null and repeated ids need no rule."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, text, 2000, 2 << 20):
+            found = model.scores(*text_bytes(piece.column(piece.schema.get_field_index(text))))
+            yield piece.filter(pa.array(found < threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def learned(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Model:
     labels = table(spark, sf_dir, "labels")
     return fit(docs, labels.filter(id_bucket(F.col("doc_id"), 3) != 1))
