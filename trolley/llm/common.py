@@ -65,6 +65,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_rows: int, max_byte
     give_back()
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2_000, size: str = "4m") -> None:
+    """Bound the Arrow batches of this session by bytes and rows. A batch exists in the JVM, outside its
+    heap, and in the worker at once, and its buffers double as they grow, so the usual 10,000 long texts
+    take hundreds of megabytes of an executor. The setting is read when a job is planned, so it stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task: the worker lives on with other stages' tasks."""
     pa.default_memory_pool().release_unused()

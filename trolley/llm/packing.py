@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trolley.llm.common import empty_text, slices, table, worker_cache
 
 WINDOW, END_ID = 2048, 1
-TABLE_BYTES = 128 << 20   # chunks remembered per worker, with what Python needs for them
+TABLE_BYTES = 96 << 20    # chunks remembered per worker, with what Python needs for them
 LONG_CHUNK = 200         # characters; longer chunks are encoded each time
 GROUP_BYTES = 128 << 10  # odd text given to the tokenizer in one go (a longer text is a group of its own)
 POOL_BYTES = 24 << 20   # ids of rests packed together
@@ -171,9 +171,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None, text: str = "text", key
             nonlocal used, pool, held
             pool.sort(key=lambda p: (-len(p[3]), p[0] is not None, p[0] or 0, p[1]))
             places, windows = best_fit([len(p[3]) // 4 for p in pool], window)
-            for at in range(0, len(pool), 5000):
+            for at in range(0, len(pool), 1000):
                 yield batch([(doc, start, len(ids) // 4, total, base + used + number, offset, ids)
-                             for (doc, start, total, ids), (number, offset) in zip(pool[at:at + 5000], places[at:at + 5000])])
+                             for (doc, start, total, ids), (number, offset) in zip(pool[at:at + 1000], places[at:at + 1000])])
             used, pool, held = used + windows, [], 0
 
         for piece in slices(batches, "text", 1000, 1 << 20):
