@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trolley.llm.common import empty_text, slices, table, worker_cache
 
 WINDOW, END_ID = 2048, 1
-TABLE_BYTES = 96 << 20    # chunks remembered per worker, with what Python needs for them
+TABLE_BYTES = 192 << 20   # chunks remembered per worker, with what Python needs for them
 LONG_CHUNK = 200         # characters; longer chunks are encoded each time
 GROUP_BYTES = 128 << 10  # odd text given to the tokenizer in one go (a longer text is a group of its own)
 POOL_BYTES = 24 << 20   # ids of rests packed together
