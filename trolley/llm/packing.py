@@ -11,21 +11,23 @@ inside a pool is fixed by length, id and start, so a task that is run again give
 
 Tokenisation: the tokenizer never joins characters over white space, so distinct white-space
 delimited chunks are encoded once per worker and looked up after that. The table of chunks is bounded
-by bytes: when one half is full, the older half goes, and long chunks are never kept. Texts with control strings of the tokenizer or characters outside the common Latin
-ranges go through the tokenizer whole.
+by bytes: when one half is full, the older half goes, and long chunks are never kept. A new chunk is
+cut into words by the tokenizer's own pattern. Texts with control strings of the tokenizer or
+characters outside the common Latin ranges go through the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,9 +36,10 @@ from trolley.llm.common import empty_text, slices, table, worker_cache
 WINDOW, END_ID = 2048, 1
 TABLE_BYTES = 192 << 20   # chunks remembered per worker, with what Python needs for them
 LONG_CHUNK = 200         # characters; longer chunks are encoded each time
-GROUP_BYTES = 128 << 10  # odd text given to the tokenizer in one go (a longer text is a group of its own)
 POOL_BYTES = 24 << 20   # ids of rests packed together
 _PLAIN = re.compile("[\\t\\n\\r -~ -įı-ſ‐-‧‰-⁞€]*")
+# Bytes that byte-level vocabularies write as characters from 256 on, in order.
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class OpenWindows:
@@ -86,6 +89,23 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[tuple[int, int]], in
     return out, used
 
 
+class Remembered(dict):
+    """Ids by chunk, made where they are missing; looked up first in the table that was full before."""
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.older, self.held = encode, older, 0
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            self[chunk] = ids
+            self.held += 200 + len(chunk)
+        return ids
+
+
 class ChunkEncoder:
     """Token ids of texts as little-endian unsigned 32-bit values."""
 
@@ -94,55 +114,36 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.between, self.between_id = next(iter(added.items()), (None, None))
-        self.known: dict[str, bytes] = {}  # the half that is being filled
-        self.older: dict[str, bytes] = {}
-        self.half, self.held = table_bytes // 2, 0
-
-    def whole(self, texts: list[str]) -> Iterator[bytes]:
-        group, size = [], 0
-        for i, text in enumerate(texts):
-            group.append(text)
-            size += len(text) + 20
-            if size > GROUP_BYTES or i == len(texts) - 1:
-                for found in self.tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                    yield array("I", found.ids).tobytes()
-                group, size = [], 0
-
-    def separate(self, chunks: list[str]) -> Iterator[bytes]:
-        """Ids of each chunk: many in one text, a control token between them, which no chunk holds."""
-        if self.between is None:
-            yield from self.whole(chunks)
-            return
-        for at in range(0, len(chunks), 1000):
-            text = self.between.join(chunks[at:at + 1000])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            raw, start = ids.tobytes(), 0
-            for end in [*(4 * np.flatnonzero(ids == self.between_id)).tolist(), len(raw)]:
-                yield raw[start:end]
-                start = end + 4
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [bool(_PLAIN.fullmatch(t)) and not self.special.search(t) for t in texts]
-        cut = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        known = self.known
-        met = set(chain.from_iterable(cut)).difference(known)
-        again = met & self.older.keys()
-        known.update(zip(again, map(self.older.__getitem__, again)))
-        new = list(met - again)
-        known.update(zip(new, self.separate(new), strict=True))
-        odd = self.whole([t for t, p in zip(texts, plain) if not p])
-        out = [b"".join(map(known.__getitem__, words)) if p else next(odd) for words, p in zip(cut, plain)]
-        if max(map(len, met), default=0) > LONG_CHUNK:
-            for w in met:
-                if len(w) > LONG_CHUNK:
-                    del known[w]
-        self.held += sum(min(len(w), LONG_CHUNK) for w in met) + 200 * len(met)
-        if self.held > self.half:
-            self.known, self.older, self.held = {}, known, 0
-        return out
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
+        self.model, self.pattern = self.tokenizer.model, None
+        with open(path, encoding="utf-8") as f:
+            split, *rest = (json.load(f).get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+        # Words are cut here where the file says: matches of a pattern, written as bytes.
+        if rest and split["type"] == "Split" and split["invert"] and split["behavior"] == "Removed" and "Regex" in split["pattern"] \
+                and [(r["type"], r["add_prefix_space"], r["use_regex"]) for r in rest] == [("ByteLevel", False, False)]:
+            self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.known, self.half = Remembered(self.chunk, {}), table_bytes // 2
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk of a plain text, in lower case."""
+        if self.pattern is None:
+            return self.whole(chunk)
+        tokens, cut = self.model.tokenize, [chunk] if chunk.isalpha() else self.pattern.findall(chunk)
+        return array("I", [t.id for w in cut
+                           for t in tokens(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes()
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            if not _PLAIN.fullmatch(text) or self.special.search(text):
+                yield self.whole(text)
+                continue
+            yield b"".join(map(self.known.__getitem__, text.lower().split()))
+            if self.known.held > self.half:
+                self.known.older = {}
+                self.known = Remembered(self.chunk, self.known)
 
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
