@@ -61,9 +61,11 @@ def lanes(documents: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarr
     """Deal documents (symbols, the end symbol last) to lanes, longest first to the shortest lane.
 
     (symbols, document numbers, lane lengths); a column per lane, -1 below its end, and lanes by
-    falling length, so the active ones are always the first.
+    falling length, so the active ones are always the first. A document far longer than the rest takes
+    fewer lanes, so the table holds at most about twice the symbols there are.
     """
-    load = [(0, i) for i in range(min(width, len(documents)))]
+    longest = max(map(len, documents))
+    load = [(0, i) for i in range(min(width, len(documents), -(-2 * sum(map(len, documents)) // longest)))]
     dealt: list[list[int]] = [[] for _ in load]
     for d in sorted(range(len(documents)), key=lambda d: (-len(documents[d]), d)):
         length, i = heapq.heappop(load)
@@ -113,19 +115,38 @@ def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray,
 
 
 def class_log_softmax(p: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
-    logits = states @ p["to_class"] + p["class_bias"]
+    logits = states @ p["to_class"]
+    logits += p["class_bias"]
     logits -= logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    return logits
 
 
-def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first word, end word, rows) of each head class of more than one word."""
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(len(layout.cuts)))
-    for k in range(len(layout.cuts) - 1):
-        rows, start, stop = order[bounds[k]:bounds[k + 1]], int(layout.cuts[k]), int(layout.cuts[k + 1])
-        if len(rows) and stop - start > 1:
-            yield start, stop, rows
+def scaled_softmax(logits: np.ndarray, bias: np.ndarray, scale: np.float32) -> np.ndarray:
+    """Softmax of logits + bias times ``scale``, in place."""
+    logits += bias
+    logits -= logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= scale / logits.sum(1, keepdims=True)
+    return logits
+
+
+def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places that hold a symbol, their classes), ordered by class."""
+    real = np.flatnonzero(target >= 0)
+    classes = layout.class_of(target[real])
+    order = np.argsort(classes.astype(np.int16), kind="stable")  # a radix sort
+    return real[order], classes[order]
+
+
+def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, int, slice, np.ndarray]]:
+    """(first word, end word, rows, numbers from 0) of each head class of more than one word; classes must not fall."""
+    bounds = np.searchsorted(classes, np.arange(len(layout.cuts))).tolist()
+    cuts, numbers = layout.cuts.tolist(), np.arange(len(classes))
+    for k in range(len(cuts) - 1):
+        n = bounds[k + 1] - bounds[k]
+        if n and cuts[k + 1] - cuts[k] > 1:
+            yield cuts[k], cuts[k + 1], slice(bounds[k], bounds[k + 1]), numbers[:n]
 
 
 def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.ndarray], end: int, width: int = 256, steps: int = 32) -> np.ndarray:
@@ -136,14 +157,13 @@ def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.nda
     symbols, owner, lengths = lanes(documents, width)
     for first, wide, _, states, _, _ in windows(p, symbols, lengths, end, steps):
         target = symbols[first:first + len(states), :wide].ravel()
-        real = np.flatnonzero(target >= 0)
+        real, classes = targets(layout, target)
         states, target = states.reshape(-1, states.shape[2])[real], target[real]
-        classes = layout.class_of(target)
         found = class_log_softmax(p, states)[np.arange(len(real)), classes]
-        for start, stop, rows in by_class(layout, classes):
+        for start, stop, rows, each in by_class(layout, classes):
             logits = states[rows] @ p["to_word"][start:stop].T + p["word_bias"][start:stop]
             logits -= logits.max(1, keepdims=True)
-            found[rows] += logits[np.arange(len(rows)), target[rows] - start] - np.log(np.exp(logits).sum(1))
+            found[rows] += logits[each, target[rows] - start] - np.log(np.exp(logits).sum(1))
         out += np.bincount(owner[first:first + symbols[first:first + steps].shape[0], :wide].ravel()[real], found, len(documents))
     return out
 
@@ -170,23 +190,18 @@ class Trainer:
 
     def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, go_on: np.ndarray, kept: list) -> None:
         p, layout, hidden = self.p, self.layout, states.shape[2]
-        flat, real = states.reshape(-1, hidden), np.flatnonzero(target.ravel() >= 0)
+        flat, (real, classes) = states.reshape(-1, hidden), targets(layout, target.ravel())
         own, y = flat[real], target.ravel()[real]
-        classes = layout.class_of(y)
         # A token weighs the same in every window: the last ones of a batch hold only the rest of its longest texts.
         self.fullest = max(self.fullest, len(real), 1)
         scale = np.float32(1 / self.fullest)
-        wrong = np.exp(class_log_softmax(p, own))
-        wrong[np.arange(len(real)), classes] -= 1
-        wrong *= scale
+        wrong = scaled_softmax(own @ p["to_class"], p["class_bias"], scale)
+        wrong[np.arange(len(real)), classes] -= scale
         back = wrong @ p["to_class"].T
         word_moves = []
-        for start, stop, rows in by_class(layout, classes):
-            logits = own[rows] @ p["to_word"][start:stop].T + p["word_bias"][start:stop]
-            error = np.exp(logits - logits.max(1, keepdims=True))
-            error /= error.sum(1, keepdims=True)
-            error[np.arange(len(rows)), y[rows] - start] -= 1
-            error *= scale
+        for start, stop, rows, each in by_class(layout, classes):
+            error = scaled_softmax(own[rows] @ p["to_word"][start:stop].T, p["word_bias"][start:stop], scale)
+            error[each, y[rows] - start] -= scale
             back[rows] += error @ p["to_word"][start:stop]
             word_moves.append((slice(start, stop), error.T @ own[rows], error.sum(0)))
         slope = np.zeros_like(flat)

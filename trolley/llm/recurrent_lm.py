@@ -34,10 +34,10 @@ from trolley.llm import gru
 from trolley.llm.common import empty_text, id_bucket, slices, stored, table, text_bytes
 from trolley.llm.shingles import _LOWER, mix, word_hashes, words
 
-HEAD, CLASSES, TAILS, HIDDEN = 4096, 64, 64, 24
+HEAD, CLASSES, TAILS, HIDDEN = 4096, 32, 64, 24
 FREQUENT = 262_144      # words whose counts every task holds (16 bytes each)
 SHARE, ROUNDS, REPLICA_TOKENS = 1.0, 2, 1_500_000
-LANES, STEPS, RATE = 64, 20, 0.08
+LANES, STEPS, RATE = 256, 20, 0.12
 SMOOTH, END, _SEED = 0.1, 0, 3_001
 
 
@@ -131,7 +131,7 @@ def trained(rows: DataFrame, v: Vocabulary, layout: gru.Layout, start: dict[str,
     """One round: every replica trains from ``start`` on its rows; the average by tokens."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = gru.Trainer(start, layout, v.end, rate)
-        for piece in slices(batches, "text", 2000, 3 << 20):
+        for piece in slices(batches, "text", 6000, 8 << 20):
             found, tail, bounds = hashed(*text_bytes(piece.column(0)))
             trainer.train(with_end(symbols(v, found, tail)[0], bounds, v.end), LANES, STEPS)
         if trainer.tokens:
