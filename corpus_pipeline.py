@@ -4,8 +4,8 @@ Each stage reads all rows that the one before kept, from Parquet, and its decisi
 All but the last return the columns of ``documents``. The stages bound the session's Arrow batches by bytes.
 
 * toxicity: rows that the classifier predicts toxic go; every other row stays.
-* language: rows without an identifiable language (no letter in them, or null) go, also where no
-  language could be learned.
+* language: rows without an identifiable language go: those without a letter or null, also where no
+  language could be learned, and those that the language model finds to be noise.
 * exact_dedup: of equal texts the row with the largest id stays.
 * near_dedup: of documents linked by 0.8 similarity of five-word shingles, the smallest id stays.
 * packing: pieces of windows of 2048 tokens.

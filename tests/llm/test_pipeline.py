@@ -52,6 +52,17 @@ def test_language_stage(spark, done):
     assert ids(after) == sorted(r["doc_id"] for r in before.collect() if any(c.isalpha() for c in r["text"] or ""))
 
 
+def test_language_stage_uses_the_model(spark):
+    """Noise goes although it has letters; every learned language and short texts stay."""
+    docs = documents(spark)
+    junk = ["qzxvkw jqpxz vvkqj zzxqw kjqxv pqzzx wqkjx " * 5, "\u4e00\u9fa5\u4e8c" * 40]
+    good = ["the house was bought by the city last year", "la ciudad tiene una historia muy larga", "one", "x", "Total: 12.50 EUR, 2024-01-02 4088495698897153"]
+    extra = spark.createDataFrame([(None, t) for t in junk + good], "doc_id long, text string")
+    after = P.drop_unknown_language(spark, docs.unionByName(extra, allowMissingColumns=True), SF)
+    assert sorted(r["text"] for r in after.filter("doc_id is null").collect()) == sorted(good)
+    assert after.filter("doc_id is not null").count() == docs.filter("text rlike '\\\\p{L}'").count()
+
+
 def test_exact_stage(spark, done):
     before, after = done["exact_dedup"]
     largest = {}

@@ -8,6 +8,10 @@ each set being fitted again. The prediction is the largest proportion of the cho
 Scale: n-gram counts come from a bounded number of labelled texts per language, drawn by the hash
 of the id, and are a Spark aggregation of (language, bin). Prediction is one pass of Arrow batches:
 many texts go through each step of the iteration together, and nothing is shuffled.
+
+``identified`` adds one more component, noise (letters by chance, and as many stretches without letters
+as a language has): a text whose largest proportion is noise has no identifiable language. A language
+known from fewer than ``LEAST_TEXTS`` texts is blended with noise, so little training data rejects little.
 """
 
 from __future__ import annotations
@@ -27,12 +31,24 @@ PER_LANGUAGE = 3_000    # expected number of labelled texts per language
 ROUNDS, PENALTY = 8, 6.0  # overlapping n-grams repeat evidence, so a language costs more than half a log n
 LEAST_SHARE = 0.02      # a smaller share in the full mixture is never part of a larger set
 UNKNOWN = "und"
+LEAST_TEXTS = 100       # texts that make a language's counts count in full against noise
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     chance: np.ndarray  # bins x languages, float32
+    texts: tuple[int, ...] = ()  # labelled texts of each language
+    noise: bool = False  # whether the last language is noise, which has to win by the cost of a language
+
+    def with_noise(self) -> Model:
+        """The same languages and noise after them."""
+        noise = np.full(len(self.chance), 1 / len(self.chance))
+        blank = ngram_hashes(np.full(ORDER, 32, np.uint8), np.array([0, ORDER]), (ORDER,), BITS)[ORDER][0]
+        noise[blank] = self.chance[blank].max()  # digits and signs speak neither for nor against a language
+        trust = np.minimum(np.array(self.texts, float) / LEAST_TEXTS, 1)
+        chance = np.column_stack([self.chance * trust + noise[:, None] * (1 - trust), noise])
+        return Model([*self.languages, UNKNOWN], chance.astype(np.float32), self.texts, True)
 
     def mixtures(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Proportions of each document (zero outside its chosen set); equal ones without n-grams."""
@@ -49,6 +65,8 @@ class Model:
         alone = np.add.reduceat(np.log(self.chance)[bins], starts, dtype=np.float64)
         every, best = self._em(chance, starts, size, np.ones((len(filled), n_lang), bool))
         cost = PENALTY * 0.5 * np.log(size + 1)
+        if self.noise:
+            alone[:, -1] -= cost
         top = alone.argmax(1)
         score = alone.max(1)
         chosen = np.zeros((len(filled), n_lang))
@@ -110,7 +128,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     table_ = np.full((1 << BITS, len(languages)), smooth)
     place = {name: i for i, name in enumerate(languages)}
     table_[found["bin"].to_numpy(), [place[x] for x in found["lang"].to_pylist()]] += found["n"].to_numpy()
-    return Model(languages, (table_ / table_.sum(0)).astype(np.float32))
+    return Model(languages, (table_ / table_.sum(0)).astype(np.float32), tuple(counts[x] for x in languages))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -138,17 +156,19 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
 
 
 def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is not ``und``, with all their columns: null texts and texts
-    without a letter go, also where nothing was learned. Every row is judged by its own text where it
-    stands, so null and repeated ids need no rule."""
+    """The rows of ``docs`` whose language can be identified, with all their columns: null texts and texts
+    without a letter go, also where nothing was learned, and so does a text that is noise rather than any
+    learned language. Every row is judged by its own text where it stands, so null and repeated ids need
+    no rule."""
     lettered = docs.filter(empty_text(text).rlike("\\p{L}"))
     if not model.languages:
         return lettered
+    noisy = model.with_noise()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, text, 1000, 1 << 20):
-            shares = model.mixtures(*text_bytes(piece.column(piece.schema.get_field_index(text))))
-            yield piece.filter(pa.array(shares.max(1) > 0))
+            shares = noisy.mixtures(*text_bytes(piece.column(piece.schema.get_field_index(text))))
+            yield piece.filter(pa.array(shares.argmax(1) < len(noisy.languages) - 1))
 
     return lettered.mapInArrow(work, docs.schema)
 
