@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -83,3 +84,15 @@ def test_language_awkward_rows(spark):
     assert {r["lang_pred"] for r in L.predict(docs, nothing).collect()} == {"und"}
     single = L.fit(docs.filter("doc_id in (1, 2)"))
     assert {r["lang_pred"] for r in L.predict(docs.filter("doc_id in (1, 6)"), single).collect()} == {"en"}
+
+
+def test_features_of_a_slice_take_bounded_memory():
+    text = np.frombuffer(np.random.default_rng(5).choice(np.frombuffer(b"etaoin shrdlu", np.uint8), 1 << 20).tobytes(), np.uint8)
+    ends = np.linspace(0, len(text), 501).astype(int)
+    tracemalloc.start()
+    where, docs = T.present(text, ends, np.ones(T._SIZE, bool))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * len(text), most / len(text)  # bytes for a byte of text; more if all orders are held at once
+    pairs = np.unique(docs.astype(np.int64) << 32 | where)
+    assert len(pairs) == len(where) and docs.max() == 499 and where.max() < T._SIZE

@@ -88,3 +88,19 @@ def test_chunks_encode_like_whole_texts(tokenizer):
         encoder = P.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), chunks)
         for _ in range(2):
             assert [np.frombuffer(x, np.uint32).tolist() for x in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_workers_keep_no_chunks_after_a_task(spark):
+    assert P.pack(documents(spark).repartition(4)).count()
+
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        kept = vars(sys.modules["_trolley_llm_worker"]).values() if "_trolley_llm_worker" in sys.modules else []
+        yield pa.record_batch([pa.array([sum(len(x.known) for x in kept if isinstance(x, P.ChunkEncoder))])], ["n"])
+
+    assert sum(r["n"] for r in spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()) == 0

@@ -30,6 +30,7 @@ ORDER, BITS = 3, 15
 PER_LANGUAGE = 3_000    # expected number of labelled texts per language
 ROUNDS, PENALTY = 8, 6.0  # overlapping n-grams repeat evidence, so a language costs more than half a log n
 LEAST_SHARE = 0.02      # a smaller share in the full mixture is never part of a larger set
+SLICE = 1 << 18         # bytes of text worked on in one go (a longer text is one slice)
 UNKNOWN = "und"
 LEAST_TEXTS = 100       # texts that make a language's counts count in full against noise
 
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for piece in slices(batches, "text", 500, 2 << 20):
+        for piece in slices(batches, "text", 500, SLICE):
             bins, own = ngram_hashes(LETTERS[(both := text_bytes(piece.column(1)))[0]], both[1], (ORDER,), BITS)[ORDER]
             names = np.array(piece.column(0).to_pylist(), object)
             for name in set(names):
@@ -138,7 +139,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
     names = model.languages
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 1000, 1 << 20):
+        for piece in slices(batches, "text", 1000, SLICE):
             data, ends = text_bytes(piece.column(1))
             shares = model.mixtures(data, ends)
             known = piece.column(2).to_numpy(zero_copy_only=False) & bool(names)
@@ -166,7 +167,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     noisy = model.with_noise()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text, 1000, 1 << 20):
+        for piece in slices(batches, text, 1000, SLICE):
             shares = noisy.mixtures(*text_bytes(piece.column(piece.schema.get_field_index(text))))
             yield piece.filter(pa.array(shares.argmax(1) < len(noisy.languages) - 1))
 

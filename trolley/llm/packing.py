@@ -10,8 +10,9 @@ from windows left open at the end of a pool. Sequence numbers carry the partitio
 inside a pool is fixed by length, id and start, so a task that is run again gives its rows again.
 
 Tokenisation: the tokenizer never joins characters over white space, so distinct white-space
-delimited chunks are encoded once per worker and looked up after that. The table of chunks is bounded
-by bytes: when one half is full, the older half goes, and long chunks are never kept. A new chunk is
+delimited chunks are encoded once per task and looked up after that. The table of chunks is bounded
+by bytes: when one half is full, the older half goes, long chunks are never kept, and at the end of a
+task the table goes, for the worker lives on through tasks that do not need it. A new chunk is
 cut into words by the tokenizer's own pattern. Texts with control strings of the tokenizer or
 characters outside the common Latin ranges go through the tokenizer whole.
 """
@@ -31,10 +32,10 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trolley.llm.common import empty_text, slices, table, worker_cache
+from trolley.llm.common import empty_text, give_back, slices, table, worker_cache
 
 WINDOW, END_ID = 2048, 1
-TABLE_BYTES = 192 << 20   # chunks remembered per worker, with what Python needs for them
+TABLE_BYTES = 192 << 20   # chunks remembered per task, with what Python needs for them
 LONG_CHUNK = 200         # characters; longer chunks are encoded each time
 POOL_BYTES = 24 << 20   # ids of rests packed together
 _PLAIN = re.compile("[\\t\\n\\r -~ -įı-ſ‐-‧‰-⁞€]*")
@@ -122,7 +123,11 @@ class ChunkEncoder:
         if rest and split["type"] == "Split" and split["invert"] and split["behavior"] == "Removed" and "Regex" in split["pattern"] \
                 and [(r["type"], r["add_prefix_space"], r["use_regex"]) for r in rest] == [("ByteLevel", False, False)]:
             self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.known, self.half = Remembered(self.chunk, {}), table_bytes // 2
+        self.half = table_bytes // 2
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Remembered(self.chunk, {})
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
@@ -195,6 +200,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, text: str = "text", key
                 yield from packed()
         if pool:
             yield from packed()
+        encoder.forget()
+        give_back()
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), empty_text(text).alias("text")).mapInArrow(work, PIECE)
 

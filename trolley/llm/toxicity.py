@@ -28,6 +28,7 @@ from trolley.llm.ngrams import FOLD, ngram_hashes
 ORDERS, BITS = (4, 5, 6, 7), 18
 PER_CLASS, SELECTED, LEAST_TEXTS = 3_000, 8_192, 4
 THRESHOLD = 0.7
+SLICE = 1 << 18  # bytes of text whose n-grams are made in one go (a longer text is one slice)
 _SIZE = len(ORDERS) << BITS
 
 
@@ -44,12 +45,16 @@ class Model:
 
 def present(data: np.ndarray, ends: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(features, document numbers): each wanted feature once per document that holds it."""
-    keys = []
-    for i, (bins, docs) in enumerate(ngram_hashes(FOLD[data], ends, ORDERS, BITS).values()):
+    n_docs = max(len(ends) - 1, 1)
+    kind = np.uint32 if n_docs << BITS <= 1 << 32 else np.int64
+    features, owners, folded = [], [], FOLD[data]
+    for i, order in enumerate(ORDERS):  # one order at a time: the n-grams of a text take many times its bytes
+        bins, docs = ngram_hashes(folded, ends, (order,), BITS)[order]
         hit = np.flatnonzero(wanted[i << BITS:(i + 1) << BITS][bins])
-        keys.append(np.unique(docs[hit].astype(np.int64) << 32 | (bins[hit].astype(np.int64) + (i << BITS))))
-    found = np.concatenate(keys)
-    return found & 0xFFFFFFFF, found >> 32
+        keys = np.unique(docs[hit].astype(kind) << kind(BITS) | bins[hit].astype(kind))
+        features.append((keys & kind((1 << BITS) - 1)).astype(np.int32) + np.int32(i << BITS))
+        owners.append((keys >> kind(BITS)).astype(np.int32))
+    return np.concatenate(features), np.concatenate(owners)
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, text: str, key: str, per_class: int) -> tuple[DataFrame, int, int]:
@@ -74,7 +79,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, _SIZE), np.int64)
-        for piece in slices(batches, "text", 500, 2 << 20):
+        for piece in slices(batches, "text", 500, SLICE):
             where, own = present(*text_bytes(piece.column(1)), np.ones(_SIZE, bool))
             kinds = piece.column(2).to_numpy()
             for c in (0, 1):
@@ -98,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 
     def regress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
-        for piece in slices(batches, "text", 500, 2 << 20):
+        for piece in slices(batches, "text", 500, SLICE):
             where, own = present(*text_bytes(piece.column(1)), ratios != 0)
             order = np.argsort(own, kind="stable")
             where, cuts = where[order], np.searchsorted(own[order], np.arange(piece.num_rows + 1))
@@ -135,7 +140,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
     """One row per document: doc_id, score, predicted. Null text counts as empty, whose score is the
     model's intercept; an empty table gives an empty result."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 2000, 2 << 20):
+        for piece in slices(batches, "text", 2000, SLICE):
             found = model.scores(*text_bytes(piece.column(1)))
             yield pa.record_batch([piece.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
@@ -146,7 +151,7 @@ def clean(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """The rows of ``docs`` that are not predicted toxic, with all their columns. Every row is judged by
     its own text where it stands, so null and repeated ids need no rule."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text, 2000, 2 << 20):
+        for piece in slices(batches, text, 2000, SLICE):
             found = model.scores(*text_bytes(piece.column(piece.schema.get_field_index(text))))
             yield piece.filter(pa.array(found < threshold))
 
