@@ -59,3 +59,23 @@ def test_awkward_rows(spark, library):
     got = sorted(([np.frombuffer(r["ids"], np.uint32).tolist(), bytes(r["decoded"])] for r in B.decode(B.encode(docs)).collect()))
     assert got == sorted([library.encode_ordinary(r["text"] or ""), (r["text"] or "").encode()] for r in docs.collect())
     assert B.decode(B.encode(empty(spark))).count() == 0
+
+
+def test_pre_tokens_merged_together_are_merged_as_alone(codec, library):
+    pieces = [b"aaaaaaa", b"thonen", b"a", "日本語é".encode(), b"inginging" * 50, b" reouther"]
+    together = B.merge_all(pieces, codec.pairs, codec.queue)
+    assert [np.frombuffer(x, np.uint32).tolist() for x in together] == [B.merge(p, codec.pairs, codec.queue) for p in pieces]
+    assert not codec.queue.top and not codec.queue.buckets
+    # A join of a lower rank than the one in hand goes first in its own pre-token.
+    ranks = {bytes([b]): b for b in range(256)} | {b"bcd": 256, b"bc": 258, b"cd": 257, b"ab": 259, b"abc": 260, b"bcde": 261}
+    queue, pairs = B.RankQueue(300), B.Pairs(ranks)
+    want = tiktoken.Encoding("low", pat_str=".+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcbcd", "bcdbcd", "abcde", "cdbcdab", "bbcdcde" * 9):
+        assert B.merge(text.encode(), pairs, queue) == want.encode_ordinary(text), text
+
+
+def test_texts_encoded_together(codec, library):
+    texts = ["x" * 300 + " the", "y　 z", "a  b", "", "the " * 50 + "end."] * 3
+    for got, text in zip(codec.encode_batch(texts), texts, strict=True):
+        assert np.frombuffer(got, np.uint32).tolist() == library.encode_ordinary(text)
+    assert max(map(len, codec.known)) <= 200

@@ -3,8 +3,9 @@
 A pre-token is a linked list of byte strings. Every adjacent pair whose join has a merge rank sits
 in the bucket of that rank, by position. A bitmap of two levels marks the buckets in use, so the
 next rank is two find-first-set steps, whatever the number of pairs; entries whose pair has changed
-since are skipped when they come up. Merging costs O(log n) per pair, so a pre-token of
-millions of letters is no special case.
+since are skipped when they come up. Many pre-tokens, with walls between them, go through one queue
+together, so a bucket is found once for all their pairs of its rank. Merging costs O(log n) per pair,
+so a pre-token of millions of letters is no special case.
 
 Pre-tokens repeat, so ids are remembered per worker, in tables of bounded size, by chunk (what
 stands between single spaces or line ends, where the pattern always cuts) and by pre-token. Texts where white space meets white space are cut by the pattern as a whole.
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trolley.llm.common import empty_text, slices, table, worker_cache
 
 REMEMBERED = 1_000_000  # chunks and pre-tokens per worker
+TOGETHER = 1 << 17      # bytes of pre-tokens merged in one queue; eight times as many characters are encoded together
+_WALL = 0xFFFFF         # stands between pre-tokens and joins with nothing
 
 
 class RankQueue:
-    """Positions by merge rank; the next one is the lowest rank's leftmost position.
+    """Positions by merge rank; the next ones are the lowest rank's, from the left.
 
     Two levels of bitmaps: ``top`` has a bit per word of ``low``, whose bits are the ranks in use.
     """
@@ -40,77 +42,104 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
+    def fill(self, rank: int, positions: list[int]) -> None:
         bucket = self.buckets.get(rank)
         if bucket is not None:
-            heappush(bucket, position)
+            bucket += positions
             return
-        self.buckets[rank] = [position]
+        self.buckets[rank] = positions
         i = rank >> 8
         if not self.low[i]:
             self.top |= 1 << i
         self.low[i] |= 1 << (rank & 255)
 
+    def take(self) -> tuple[int, list[int]]:
+        """The lowest rank and all its positions from the left, which leave the queue."""
+        word_at = (self.top & -self.top).bit_length() - 1
+        word = self.low[word_at]
+        bit = word & -word
+        self.low[word_at] = word ^ bit
+        if word == bit:
+            self.top ^= 1 << word_at
+        rank = word_at << 8 | bit.bit_length() - 1
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
 
 class Pairs(dict):
-    """(left id << 20 | right id) -> id of their join, or None; filled as pairs are met."""
+    """(left id << 20 | right id) -> id of their join, or -1; filled as pairs are met."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
-        self.single = [ranks.get(bytes([b])) for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.double = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
 
-    def __missing__(self, pair: int) -> int | None:
-        found = self[pair] = self.ranks.get(self.bytes_of[pair >> 20] + self.bytes_of[pair & 0xFFFFF])
+    def __missing__(self, pair: int) -> int:
+        left, right = pair >> 20, pair & 0xFFFFF
+        found = self[pair] = -1 if _WALL in (left, right) else self.ranks.get(self.bytes_of[left] + self.bytes_of[right], -1)
         return found
 
 
 def merge(piece: bytes, pairs: Pairs, queue: RankQueue) -> list[int]:
-    """Ids of one pre-token (a merged token's id is its rank). Taking the next position from the queue
-    is written out: this loop is where encoding spends its time."""
-    if piece in pairs.ranks:
-        return [pairs.ranks[piece]]
-    n, push, low, buckets = len(piece), queue.push, queue.low, queue.buckets
-    part = [pairs.single[b] for b in piece]
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    rank_of = [pairs[a << 20 | b] for a, b in zip(part, part[1:])]  # of the pair that begins here
-    rank_of.append(None)
-    for i, rank in enumerate(rank_of):
-        if rank is not None:
-            push(rank, i)
-    while top := queue.top:
-        word_at = (top & -top).bit_length() - 1
-        word = low[word_at]
-        bit = word & -word
-        rank = word_at << 8 | bit.bit_length() - 1
-        bucket = buckets[rank]
-        if len(bucket) > 1:
-            i = heappop(bucket)
-        else:
-            i = bucket[0]
-            del buckets[rank]
-            low[word_at] = word ^ bit
-            if word == bit:
-                queue.top = top ^ (1 << word_at)
-        if rank_of[i] != rank:
-            continue  # stale
-        j = after[i]
-        part[i] = own = rank
-        rank_of[j] = part[j] = None
-        k = after[i] = after[j]
-        if k < n:
+    """Ids of one pre-token."""
+    return np.frombuffer(merge_all([piece], pairs, queue)[0], np.uint32).tolist()
+
+
+def merge_all(pieces: list[bytes], pairs: Pairs, queue: RankQueue) -> list[bytes]:
+    """Ids of each pre-token (a merged token's id is its rank), as little-endian unsigned 32-bit values."""
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    number = np.repeat(np.arange(len(pieces)), sizes)
+    place = np.arange(len(data)) + number + 1  # a wall before each pre-token and after the last
+    total = len(data) + len(pieces) + 1
+    first, second = np.full(total, _WALL, np.int32), np.full(total, -1, np.int32)
+    first[place] = pairs.single[data]
+    joined = pairs.double[data[:-1].astype(np.int32) << 8 | data[1:]]
+    second[place[:-1]] = np.where(number[1:] == number[:-1], joined, -1)
+    live = np.flatnonzero(second >= 0)
+    live = live[np.argsort(second[live], kind="stable")]
+    ranks, starts = np.unique(second[live], return_index=True)
+    for rank, positions in zip(ranks.tolist(), np.split(live, starts[1:])):
+        queue.fill(rank, positions.tolist())
+    part, rank_of = first.tolist(), second.tolist()  # rank_of: of the pair that begins here
+    after, before = list(range(1, total + 1)), list(range(-1, total - 1))
+    get, fill = queue.buckets.get, queue.fill
+    while queue.top:
+        own, bucket = queue.take()
+        waiting = iter(bucket)
+        for i in waiting:
+            if rank_of[i] != own:
+                continue  # stale
+            j = after[i]
+            part[i], part[j], rank_of[j] = own, -1, -1
+            k = after[i] = after[j]
             before[k] = i
-            rank = rank_of[i] = pairs[own << 20 | part[k]]
-            if rank is not None:
-                push(rank, i)
-        else:
-            rank_of[i] = None
-        h = before[i]
-        if h >= 0:
-            rank = rank_of[h] = pairs[part[h] << 20 | own]
-            if rank is not None:
-                push(rank, h)
-    return [p for p in part if p is not None]
+            right = rank_of[i] = pairs[own << 20 | part[k]]
+            if right >= 0:
+                found = get(right)
+                if found is None:
+                    fill(right, [i])
+                else:
+                    found.append(i)
+            h = before[i]
+            left = rank_of[h] = pairs[part[h] << 20 | own]
+            if left >= 0:
+                found = get(left)
+                if found is None:
+                    fill(left, [h])
+                else:
+                    found.append(h)
+            if -1 < right < own or -1 < left < own:  # a lower rank has come up: it goes first
+                rest = list(waiting)
+                if rest:
+                    fill(own, rest)
+    ids = np.array(part, np.int64)
+    held = (ids >= 0) & (ids != _WALL)
+    ends = 4 * np.cumsum(np.bincount(number[held[place]], minlength=len(pieces)))
+    out, ends = ids[held].astype("<u4").tobytes(), ends.tolist()
+    return [out[s:e] for s, e in zip([0, *ends], ends)]
 
 
 class Codec:
@@ -128,43 +157,82 @@ class Codec:
         self.plain: dict[str, bytes] = {}  # by pre-token that does not
         self.remembered = remembered
 
-    def cut(self, text: str) -> bytes:
-        """Ids of a text by the pattern alone."""
-        out = []
-        for piece in self.pattern.findall(text):
-            table_, name = (self.known, piece[1:]) if piece[0] == " " and not piece[1:2].isspace() and len(piece) > 1 else (self.plain, piece)
-            ids = table_.get(name)
-            if ids is None:
-                ids = np.array(merge(piece.encode(), self.pairs, self.queue), np.uint32).tobytes()
-                if len(piece) < 200:
-                    table_[name] = ids
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
-
-    def encode(self, text: str) -> bytes:
+    def cut(self, text: str) -> list[tuple[dict[str, bytes], str, str]]:
+        """(table, name there, pre-token) of each match of the pattern."""
+        return [(self.known, piece[1:], piece) if piece[0] == " " and len(piece) > 1 and not piece[1].isspace() else (self.plain, piece, piece)
+                for piece in self.pattern.findall(text)]
+
+    def learn(self, cuts: Iterator[list[tuple[dict[str, bytes], str, str]]]) -> None:
+        """Enter the ids of all pre-tokens that are not known yet."""
+        new = {(table_ is self.known, name): piece.encode() for cut in cuts for table_, name, piece in cut if name not in table_}
+        ranks, todo, held = self.pairs.ranks, [], 0
+
+        def merged() -> None:
+            for (spaced, name), ids in zip([n for n, _ in todo], merge_all([p for _, p in todo], self.pairs, self.queue)):
+                (self.known if spaced else self.plain)[name] = ids
+
+        for key, piece in new.items():
+            if piece in ranks:
+                (self.known if key[0] else self.plain)[key[1]] = np.uint32(ranks[piece]).tobytes()
+                continue
+            todo.append((key, piece))
+            held += len(piece)
+            if held > TOGETHER:
+                merged()
+                todo, held = [], 0
+        if todo:
+            merged()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit values."""
         known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        for table_ in (self.plain, self.pairs):
+        for table_ in (known, self.plain, self.pairs):
             if len(table_) > self.remembered:
                 table_.clear()
-        parts = text.replace("\n", " \n").split(" ")
-        if "" in parts or "\n" in parts:
-            return self.cut(text)
-        head = parts.pop(0)
-        new = set(parts).difference(known)
-        # Other white space beside a space would go on over the cut.
-        if head[-1:].isspace() or any(c[-1].isspace() or c.lstrip("\n")[:1].isspace() for c in new):
-            return self.cut(text)
-        first = self.cut(head)
-        for chunk in new:
-            known[chunk] = self.cut(chunk if chunk[0] == "\n" else " " + chunk)
-        out = first + b"".join(map(known.__getitem__, parts))
-        for chunk in new:  # a chunk without any break is remembered for this text only
-            if len(chunk) > 200:
-                del known[chunk]
+        plans, chunks = [], {}
+        for text in texts:
+            parts = text.replace("\n", " \n").split(" ")
+            if "" in parts or "\n" in parts:
+                plans.append((self.cut(text), []))
+                continue
+            head = parts.pop(0)
+            new = [c for c in set(parts).difference(known) if c not in chunks]
+            # Other white space beside a space would go on over the cut.
+            if head[-1:].isspace() or any(c[-1].isspace() or c.lstrip("\n")[:1].isspace() for c in new):
+                plans.append((self.cut(text), []))
+                continue
+            plans.append((self.cut(head), parts))
+            for c in new:
+                chunks[c] = [(known, c, " " + c)] if c.isalpha() else self.cut(c if c[0] == "\n" else " " + c)
+        self.learn(c for cuts in ([p[0] for p in plans], chunks.values()) for c in cuts)
+        for chunk, cut in chunks.items():
+            if chunk not in known:
+                known[chunk] = b"".join([table_[name] for table_, name, _ in cut])
+        out = [b"".join([table_[name] for table_, name, _ in cut] + [known[c] for c in parts]) for cut, parts in plans]
+        for table_ in (known, self.plain):  # long ones without any break are remembered for these texts only
+            for name in [n for cut, _ in plans for t, n, _ in cut if t is table_ and len(n) > 200]:
+                table_.pop(name, None)
+        for chunk, cut in chunks.items():
+            for table_, name in [(known, chunk), *[(t, n) for t, n, _ in cut]]:
+                if len(name) > 200:
+                    table_.pop(name, None)
         return out
 
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
+        """As ``encode_all``, a bounded number of characters at a time."""
+        group, held = [], 0
+        for text in texts:
+            group.append(text)
+            held += len(text)
+            if held > 8 * TOGETHER:
+                yield from self.encode_all(group)
+                group, held = [], 0
+        if group:
+            yield from self.encode_all(group)
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
 
@@ -177,7 +245,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", k
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_cache(f"codec:{vocabulary}", lambda: Codec(vocabulary))
         for rows in slices(batches, "text", 2000, 8 << 20):
-            yield pa.record_batch([rows.column(0), pa.array([codec.encode(t) for t in rows.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
+            yield pa.record_batch([rows.column(0), pa.array(list(codec.encode_batch(rows.column(1).to_pylist())), pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), empty_text(text).alias("text")).mapInArrow(work, "doc_id long, ids binary")
 
