@@ -38,7 +38,7 @@ from trolley.llm.common import empty_text, slices, stored, table, text_bytes
 
 LEAST_DOCS, SMOOTH, UNIT, TOP = 30, 5, 1_000_000_000, 50
 SOURCES, TERMS = 64, 1024       # a task's block of source pairs: sources a side, terms
-FLUSH, PIECE = 200_000, 1 << 20  # entries of a counting table; bytes of a text looked at in one go
+FLUSH, PIECE = 800_000, 1 << 20  # entries of a counting table; bytes of a text looked at in one go
 
 # Bytes of a term (letters of ASCII, and all bytes of other characters), lower-cased; others part terms.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -64,9 +64,14 @@ def counted(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             for group, counts in n.items():
+                counts[b""] = df[group][b""] = 0
                 own, size = df[group], len(counts)
-                yield pa.record_batch([pa.array([group[0]] * size), pa.array([group[1]] * size), pa.array([t.decode("utf-8", "replace") for t in counts]),
-                                       pa.array(list(counts.values()), pa.int64()), pa.array([own[t] for t in counts], pa.int64())], ["lang", "source", "term", "n", "df"])
+                try:
+                    terms = pa.array(list(counts), pa.binary()).cast(pa.string())
+                except pa.ArrowInvalid:  # a text that is not UTF-8
+                    terms = pa.array([t.decode("utf-8", "replace") for t in counts])
+                yield pa.record_batch([pa.repeat(pa.scalar(group[0], pa.string()), size), pa.repeat(pa.scalar(group[1], pa.string()), size), terms,
+                                       pa.array(list(counts.values()), pa.int64()), pa.array(list(map(own.__getitem__, counts)), pa.int64())], ["lang", "source", "term", "n", "df"])
             n.clear()
             df.clear()
 
@@ -74,12 +79,12 @@ def counted(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
             data, ends = text_bytes(batch.column(2))
             data, ends = data.tobytes(), ends.tolist()
             for lang, source, start, end in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ends[:-1], ends[1:]):
-                group, own = (lang, source), Counter()
+                group, own = (lang, source), set()
+                total, docs_ = n.setdefault(group, Counter({b"": 0})), df.setdefault(group, Counter())
                 for found in tokens(data[start:end]):
+                    total.update(found)  # counts a list in C; adding up two counters would be a Python loop
                     own.update(found)
-                own.pop(b"", None)
-                n.setdefault(group, Counter({b"": 0})).update(own)
-                df.setdefault(group, Counter()).update(own.keys())
+                docs_.update(own)
             if sum(map(len, n.values())) > flush:
                 yield from out()
         yield from out()
