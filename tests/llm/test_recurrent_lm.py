@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, documents, empty
-from trolley.llm import gru, recurrent_lm as R
+from trolley.llm import gru, recurrent_lm as R, shingles as S
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -123,3 +123,59 @@ def test_every_training_document_is_trained_on_once(spark, monkeypatch):
     monkeypatch.setattr(R, "trained", noted)
     R.fit(docs)
     assert Counter(seen) == Counter(r["text"] or "" for r in docs.collect())
+
+
+def test_a_token_meets_few_words_of_its_class():
+    counts = 1e7 / np.arange(1, 4097)
+    layout = gru.equal_mass(counts, 32, 4)
+    assert layout.head == 4096 and len(layout.cuts) <= 33
+    assert (np.diff(layout.cuts) * np.add.reduceat(counts, layout.cuts[:-1])).sum() / counts.sum() < 70
+
+
+@pytest.mark.parametrize("size", [0.3, 30.0])  # scores within the bounds, and far beyond
+def test_chances_equal_plain_softmaxes(size):
+    draw = np.random.default_rng(1)
+    layout = gru.Layout(np.array([0, 1, 4, 9]), 3)
+    weights = gru.initial(layout, np.arange(9.0), np.arange(6.0), 4, 1)
+    weights = {k: (v + draw.normal(0, size if k.startswith("to_") else 0.3, v.shape)).astype(np.float32) for k, v in weights.items()}
+    assert gru.shifted(weights["to_word"], weights["word_bias"], layout.cuts[:-1])[1] == [size < 1] * 3
+    docs = [np.append(draw.integers(0, 12, n), 0).astype(np.int32) for n in (9, 5, 1)]  # each with the end symbol
+    want = []
+    for doc in docs:
+        h, total, last = np.zeros(4), 0.0, 0
+        for symbol in doc:
+            h = h * (last != 0)
+            a = h @ weights["state"]
+            z, r = 1 / (1 + np.exp(-(weights["inputs"][:2, last] + a[:2])))
+            h = h + z * (np.tanh(weights["inputs"][2, last] + r * a[2]) - h)
+            k = int(layout.class_of(symbol))
+            scores = h @ weights["to_class"] + weights["class_bias"]
+            total += scores[k] - np.logaddexp.reduce(scores)
+            if symbol < 9:
+                own = np.arange(layout.cuts[k], layout.cuts[k + 1])
+                scores = weights["to_word"][own] @ h + weights["word_bias"][own]
+                total += scores[symbol - own[0]] - np.logaddexp.reduce(scores)
+            last = symbol
+        want.append(total)
+    assert np.allclose(gru.log_chances(weights, layout, docs, 0, 2, 3), want, rtol=1e-3, atol=1e-3)
+
+
+def test_hashes_are_found_whatever_their_upper_bits():
+    draw = np.random.default_rng(2)
+    known = np.unique(np.concatenate([draw.integers(0, 2**63, 50).astype(np.uint64), np.arange(40, dtype=np.uint64), np.uint64(2**64 - 1) - np.arange(40, dtype=np.uint64)]))
+    v = R.Vocabulary(known[:1], known, known, known, known, 0, 0)
+    probe = np.concatenate([known, known + np.uint64(1), known - np.uint64(1)])
+    place = {int(k): i for i, k in enumerate(known)}
+    assert v.find(probe).tolist() == [place.get(int(k), -1) for k in probe]
+
+
+def test_word_hashes_of_short_and_very_long_words():
+    texts = [b"a Bc a", b"x" * 70_000 + b" y", b"q " * 40_000, b"", b"Zz"]
+    ends = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, stops = S.words(data, ends)
+    found = S.word_hashes(data, starts, stops)
+    odd, mask = int(S._ODD), (1 << 64) - 1
+    for i in {0, 1, 2, 3, 4, 5, 35_000, len(starts) - 1}:
+        value = sum(int(S._BYTE[b]) * pow(odd, j + 1, 1 << 64) for j, b in enumerate(bytes(data[starts[i]:stops[i]]).lower())) & mask
+        assert found[i] == S.mix(np.array([value], np.uint64) + np.uint64(stops[i] - starts[i]))[0]

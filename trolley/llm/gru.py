@@ -1,7 +1,7 @@
 """A gated recurrent language model in numpy with a class-factored output softmax.
 
 Symbols are the head words (by falling frequency) followed by the tail classes, which stand for all
-other words. Output classes are runs of head words of about equal frequency, then one class per tail
+other words. Output classes are runs of head words (few frequent ones or more rare ones), then one class per tail
 class: P(word) = P(class | state) * P(word | class, state). Inside a tail class the caller goes on
 with counts.
 """
@@ -36,9 +36,11 @@ class Layout:
 
 
 def equal_mass(counts: np.ndarray, classes: int, tails: int) -> Layout:
-    """Cut falling counts into at most ``classes`` runs of about equal total."""
-    share = np.cumsum(counts) / max(counts.sum(), 1)
-    number = np.minimum((share - counts / max(counts.sum(), 1) / 2) * classes, classes - 1).astype(int)
+    """Cut falling counts into at most ``classes`` runs of about equal total of their square roots, which
+    makes the words of a token's class, summed over all tokens, about as few as any cuts do."""
+    weight = np.sqrt(counts)
+    share = np.cumsum(weight) / max(weight.sum(), 1)
+    number = np.minimum((share - weight / max(weight.sum(), 1) / 2) * classes, classes - 1).astype(int)
     starts = np.flatnonzero(np.diff(number, prepend=-1) > 0)
     return Layout(np.append(starts, len(counts)), tails)
 
@@ -48,8 +50,8 @@ def initial(layout: Layout, word_counts: np.ndarray, class_counts: np.ndarray, h
     draw = np.random.default_rng(seed)
     symbols = layout.head + layout.tails
     return {
-        "inputs": draw.normal(0, 0.3, (symbols, 3 * hidden)).astype(np.float32),
-        "state": draw.normal(0, 0.5 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32),
+        "inputs": draw.normal(0, 0.3, (3, symbols, hidden)).astype(np.float32),  # of the gates z and r and of the new value
+        "state": draw.normal(0, 0.5 / np.sqrt(hidden), (3, hidden, hidden)).astype(np.float32),
         "to_class": np.zeros((hidden, layout.classes), np.float32),
         "class_bias": np.log(class_counts + 0.5).astype(np.float32),
         "to_word": np.zeros((layout.head, hidden), np.float32),
@@ -84,51 +86,62 @@ def lanes(documents: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarr
     return symbols, owner, lengths
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray, end: int, steps: int, keep: bool = False) -> Iterator[tuple]:
     """Run all lanes, ``steps`` positions at a time, the state carried from window to window and
-    cleared where a document begins. Yields (first row, lanes, inputs, states[, what backpropagation needs])."""
-    hidden = len(p["state"])
-    state = np.zeros((symbols.shape[1], hidden), np.float32)
+    cleared where a document begins. Yields (first row, lanes, inputs, states[, what backpropagation needs]);
+    the last column of the states is 1 and belongs to the biases."""
+    hidden = p["state"].shape[1]
+    state = np.zeros((symbols.shape[1], hidden), p["state"].dtype)
     for first in range(0, len(symbols), steps):
         last, width = min(first + steps, len(symbols)), int((lengths > first).sum())
         before = np.full((last - first, width), end, np.int32)
         before[int(first == 0):] = symbols[max(first - 1, 0):last - 1, :width]
         before = np.maximum(before, 0)
-        fed, go_on = p["inputs"][before], (before != end).astype(np.float32)[:, :, None]
-        states, kept, h = np.empty((last - first, width, hidden), np.float32), [], state[:width]
+        fed, go_on = np.take(p["inputs"], before, 1), (before != end).astype(np.float32)[:, :, None]
+        states, h = np.ones((last - first, width, hidden + 1), state.dtype), state[:width]
+        olds, kept = np.empty((last - first, width, hidden), state.dtype), None
+        if keep:
+            kept = (olds, fed, np.empty_like(olds))
         for t in range(last - first):
-            old = h * go_on[t]
-            a = old @ p["state"]
-            gates = _sigmoid(fed[t, :, :2 * hidden] + a[:, :2 * hidden])
-            z, r = gates[:, :hidden], gates[:, hidden:]
-            new = np.tanh(fed[t, :, 2 * hidden:] + r * a[:, 2 * hidden:])
-            h = old + z * (new - old)
-            states[t] = h
+            old = np.multiply(h, go_on[t], out=olds[t])
+            a, gates, new = np.matmul(old, p["state"]), fed[:2, t], fed[2, t]
+            gates += a[:2]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             if keep:
-                kept.append((old, z, r, new, a[:, 2 * hidden:]))
+                kept[2][t] = a[2]
+            a[2] *= gates[1]
+            new += a[2]
+            np.tanh(new, out=new)
+            h = new - old
+            h *= gates[0]
+            h += old
+            states[t, :, :hidden] = h
         state = h
         yield (first, width, before, states, go_on, kept)
 
 
-def class_log_softmax(p: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
-    logits = states @ p["to_class"]
-    logits += p["class_bias"]
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits
+def shifted(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bool]]:
+    """(weights with the bias as last column, per group of rows whether exp() of its scores needs no look at each token).
+
+    A state's entries lie in -1 to 1, which bounds every score, and the largest of a group from below; one
+    shift of all scores to the middle of these bounds serves if they are not too far apart."""
+    out = np.empty((len(weights), weights.shape[1] + 1), weights.dtype)
+    out[:, :-1] = weights
+    reach = np.abs(weights) @ np.ones(weights.shape[1], weights.dtype)
+    high, low = np.maximum.reduceat(bias + reach, starts), np.maximum.reduceat(bias - reach, starts)
+    out[:, -1] = bias - np.repeat((high + low) / 2, np.diff(starts, append=len(weights)))
+    return out, (high - low < 80).tolist()
 
 
-def scaled_softmax(logits: np.ndarray, bias: np.ndarray, scale: np.float32) -> np.ndarray:
-    """Softmax of logits + bias times ``scale``, in place."""
-    logits += bias
-    logits -= logits.max(1, keepdims=True)
+def exponents(logits: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray | float]:
+    """exp(logits) in place and the sum of each row."""
+    if not bounded:
+        logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    logits *= scale / logits.sum(1, keepdims=True)
-    return logits
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
 def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,14 +152,23 @@ def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return real[order], classes[order]
 
 
-def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, int, slice, np.ndarray]]:
-    """(first word, end word, rows, numbers from 0) of each head class of more than one word; classes must not fall."""
+def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, slice, slice, np.ndarray]]:
+    """(class, its words, rows, numbers from 0) of each head class of more than one word; classes must not fall."""
     bounds = np.searchsorted(classes, np.arange(len(layout.cuts))).tolist()
     cuts, numbers = layout.cuts.tolist(), np.arange(len(classes))
     for k in range(len(cuts) - 1):
         n = bounds[k + 1] - bounds[k]
         if n and cuts[k + 1] - cuts[k] > 1:
-            yield cuts[k], cuts[k + 1], slice(bounds[k], bounds[k + 1]), numbers[:n]
+            yield k, slice(cuts[k], cuts[k + 1]), slice(bounds[k], bounds[k + 1]), numbers[:n]
+
+
+def log_softmax(states: np.ndarray, weights: np.ndarray, bounded: bool, each: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of each row's softmax at its chosen place."""
+    logits = states @ weights.T
+    if not bounded:
+        logits -= logits.max(1, keepdims=True)
+    score = logits[each, chosen]
+    return score - np.log(exponents(logits, True)[1])
 
 
 def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.ndarray], end: int, width: int = 256, steps: int = 32) -> np.ndarray:
@@ -155,15 +177,15 @@ def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.nda
     if not documents:
         return out
     symbols, owner, lengths = lanes(documents, width)
+    to_class, (bounded,) = shifted(p["to_class"].T, p["class_bias"], np.zeros(1, int))
+    to_word, words_bounded = shifted(p["to_word"], p["word_bias"], layout.cuts[:-1])
     for first, wide, _, states, _, _ in windows(p, symbols, lengths, end, steps):
         target = symbols[first:first + len(states), :wide].ravel()
         real, classes = targets(layout, target)
-        states, target = states.reshape(-1, states.shape[2])[real], target[real]
-        found = class_log_softmax(p, states)[np.arange(len(real)), classes]
-        for start, stop, rows, each in by_class(layout, classes):
-            logits = states[rows] @ p["to_word"][start:stop].T + p["word_bias"][start:stop]
-            logits -= logits.max(1, keepdims=True)
-            found[rows] += logits[each, target[rows] - start] - np.log(np.exp(logits).sum(1))
+        states, target = np.take(states.reshape(-1, states.shape[2]), real, 0), target[real]
+        found = log_softmax(states, to_class, bounded, np.arange(len(real)), classes)
+        for k, own, rows, each in by_class(layout, classes):
+            found[rows] += log_softmax(states[rows], to_word[own], words_bounded[k], each, target[rows] - own.start)
         out += np.bincount(owner[first:first + symbols[first:first + steps].shape[0], :wide].ravel()[real], found, len(documents))
     return out
 
@@ -176,10 +198,15 @@ class Trainer:
         self.sums = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
         self.tokens = self.fullest = 0
 
-    def _move(self, name: str, slope: np.ndarray, rows: slice | np.ndarray = slice(None)) -> None:
-        total = self.sums[name][rows] + slope * slope
-        self.sums[name][rows] = total
-        self.p[name][rows] -= self.rate * slope / np.sqrt(total)
+    def _move(self, name: str, slope: np.ndarray, rows: slice | np.ndarray | tuple = slice(None)) -> None:
+        total = self.sums[name][rows]
+        total += slope * slope
+        if not isinstance(rows, slice):
+            self.sums[name][rows] = total  # a copy so far
+        step = np.sqrt(total)
+        np.divide(slope, step, out=step)
+        step *= self.rate
+        self.p[name][rows] -= step
 
     def train(self, documents: list[np.ndarray], width: int, steps: int) -> None:
         if not documents:
@@ -188,47 +215,76 @@ class Trainer:
         for first, wide, before, states, go_on, kept in windows(self.p, symbols, lengths, self.end, steps, True):
             self._step(symbols[first:first + len(states), :wide], before, states, go_on, kept)
 
-    def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, go_on: np.ndarray, kept: list) -> None:
-        p, layout, hidden = self.p, self.layout, states.shape[2]
-        flat, (real, classes) = states.reshape(-1, hidden), targets(layout, target.ravel())
-        own, y = flat[real], target.ravel()[real]
+    def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, go_on: np.ndarray, kept: tuple) -> None:
+        p, layout, hidden = self.p, self.layout, states.shape[2] - 1
+        flat, (real, classes) = states.reshape(-1, hidden + 1), targets(layout, target.ravel())
+        own, y = np.take(flat, real, 0), target.ravel()[real]
         # A token weighs the same in every window: the last ones of a batch hold only the rest of its longest texts.
         self.fullest = max(self.fullest, len(real), 1)
         scale = np.float32(1 / self.fullest)
-        wrong = scaled_softmax(own @ p["to_class"], p["class_bias"], scale)
-        wrong[np.arange(len(real)), classes] -= scale
-        back = wrong @ p["to_class"].T
-        word_moves = []
-        for start, stop, rows, each in by_class(layout, classes):
-            error = scaled_softmax(own[rows] @ p["to_word"][start:stop].T, p["word_bias"][start:stop], scale)
-            error[each, y[rows] - start] -= scale
-            back[rows] += error @ p["to_word"][start:stop]
-            word_moves.append((slice(start, stop), error.T @ own[rows], error.sum(0)))
-        slope = np.zeros_like(flat)
+        # The error of a row is (exponents - their sum at the target) * scale / sum; the factor goes to the narrow side of each product.
+        weights, (bounded,) = shifted(p["to_class"].T, p["class_bias"], np.zeros(1, int))
+        wrong, total = exponents(own @ weights.T, bounded)
+        wrong[np.arange(len(real)), classes] -= total
+        factor = (scale / total)[:, None]
+        back = wrong @ weights[:, :hidden]
+        back *= factor
+        class_move = (own * factor).T @ wrong
+        word_move = np.zeros((layout.head, hidden + 1), own.dtype)
+        weights, bounded = shifted(p["to_word"], p["word_bias"], layout.cuts[:-1])
+        for k, words, rows, each in by_class(layout, classes):
+            error, total = exponents(own[rows] @ weights[words].T, bounded[k])
+            error[each, y[rows] - words.start] -= total
+            factor = (scale / total)[:, None]
+            back[rows] += (error @ weights[words, :hidden]) * factor
+            word_move[words] = error.T @ (own[rows] * factor)
+        slope = np.zeros((len(flat), hidden), own.dtype)
         slope[real] = back
-        slope = slope.reshape(states.shape)
-        inputs, recurrent, carry = np.empty((*states.shape[:2], 3 * hidden), np.float32), np.zeros_like(p["state"]), np.zeros_like(states[0])
-        for t in range(len(states) - 1, -1, -1):
-            old, z, r, new, a = kept[t]
-            d = slope[t] + carry
-            dn = d * z * (1 - new * new)
-            dz = d * (new - old) * z * (1 - z)
-            dr = dn * a * r * (1 - r)
-            inputs[t] = np.concatenate([dz, dr, dn], 1)
-            moved = np.concatenate([dz, dr, dn * r], 1)
-            recurrent += old.T @ moved
-            carry = (d * (1 - z) + moved @ p["state"].T) * go_on[t]
-        self._move("to_class", own.T @ wrong)
-        self._move("class_bias", wrong.sum(0))
-        for rows, weights, bias in word_moves:
-            self._move("to_word", weights, rows)
-            self._move("word_bias", bias, rows)
+        slope = slope.reshape(*states.shape[:2], hidden)
+        inputs, moved = self._back(slope, go_on, *kept)
+        recurrent = np.matmul(kept[0].reshape(-1, hidden).T, moved.reshape(3, -1, hidden))
+        self._move("to_class", class_move[:hidden])
+        self._move("class_bias", class_move[hidden])
+        self._move("to_word", np.ascontiguousarray(word_move[:, :hidden]))
+        self._move("word_bias", word_move[:, hidden])
         self._move("state", recurrent)
-        order = np.argsort(before.ravel(), kind="stable")
+        order = np.argsort(before.ravel().astype(np.uint16) if layout.head + layout.tails < 1 << 16 else before.ravel(), kind="stable")
         symbol, starts = np.unique(before.ravel()[order], return_index=True)
-        self._move("inputs", np.add.reduceat(inputs.reshape(-1, 3 * hidden)[order], starts), symbol)
+        per_symbol = np.add.reduceat(np.take(inputs.reshape(3, -1, hidden), order, 1), starts, 1)
+        for k in range(3):
+            self._move("inputs", per_symbol[k], (k, symbol))
         self.tokens += len(real)
 
+    def _back(self, slope: np.ndarray, go_on: np.ndarray, olds: np.ndarray, gates: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slopes of what the inputs and what the states added to both gates and the new value."""
+        z, r, new = gates
+        inputs = np.empty_like(gates)  # first the factors of the slopes, for all positions at once
+        kept = 1 - z
+        np.subtract(new, olds, out=inputs[0])
+        inputs[0] *= z
+        inputs[0] *= kept
+        np.multiply(new, new, out=inputs[2])
+        np.subtract(1, inputs[2], out=inputs[2])
+        inputs[2] *= z
+        np.subtract(1, r, out=inputs[1])
+        inputs[1] *= r
+        inputs[1] *= a
+        inputs[1] *= inputs[2]
+        moved, turned = np.empty_like(gates), np.ascontiguousarray(self.p["state"].transpose(0, 2, 1))
+        carry = np.zeros_like(slope[0])
+        for t in range(len(slope) - 1, -1, -1):
+            carry += slope[t]
+            inputs[:, t] *= carry
+            moved[:2, t] = inputs[:2, t]
+            np.multiply(inputs[2, t], r[t], out=moved[2, t])
+            through = np.matmul(moved[:, t], turned)
+            carry *= kept[t]
+            carry += through[0]
+            carry += through[1]
+            carry += through[2]
+            carry *= go_on[t]
+        return inputs, moved
+
 
 def pack(p: dict[str, np.ndarray]) -> bytes:
     return b"".join(p[k].tobytes() for k in sorted(p))

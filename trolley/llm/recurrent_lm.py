@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from math import ceil, log
 
 import numpy as np
@@ -55,6 +56,27 @@ class Vocabulary:
     def end(self) -> int:
         return int(np.flatnonzero(self.head == END)[0])
 
+    @cached_property
+    def _starts(self) -> tuple[np.uint64, np.ndarray]:
+        """(shift, the first place in ``known`` not below each value of a hash's upper bits)."""
+        bits = max(1, (4 * len(self.known) - 1).bit_length())
+        lowest = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        return np.uint64(64 - bits), np.searchsorted(self.known, lowest).astype(np.int32)
+
+    def find(self, found: np.ndarray) -> np.ndarray:
+        """Places of hashes in ``known``, or -1."""
+        shift, starts = self._starts
+        at, last = starts[(found >> shift).view(np.int64)], len(self.known) - 1
+        np.minimum(at, last, out=at)
+        below = np.flatnonzero(self.known[at] < found)
+        while len(below):  # on to the next of the few that share their upper bits
+            at[below] += 1
+            below = below[at[below] <= last]
+            below = below[self.known[at[below]] < found[below]]
+        np.minimum(at, last, out=at)
+        at[self.known[at] != found] = -1
+        return at
+
 
 @dataclass(frozen=True)
 class Model:
@@ -117,8 +139,7 @@ def vocabulary(counts: DataFrame, head: int, frequent: int) -> tuple[Vocabulary,
 
 def symbols(v: Vocabulary, found: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, places in ``known`` or -1)."""
-    at = np.minimum(np.searchsorted(v.known, found), len(v.known) - 1)
-    at[v.known[at] != found] = -1
+    at = v.find(found)
     place = np.where(at >= 0, v.place[at], -1)
     return np.where(place >= 0, place, len(v.head) + tail).astype(np.int32), at
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 import numpy as np
 
 _SEED = 20_011
-_CHUNK = 1 << 21  # bytes of words hashed at once, which bounds the memory of a very long text
+_CHUNK = 1 << 16  # bytes of words hashed at once (one longer word alone)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BYTE = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype=np.uint64)
+_FOLDED = _BYTE[_LOWER]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_POWER = np.cumprod(np.full(_CHUNK, _ODD, np.uint64))  # from the first power on
+_INVERSE = np.cumprod(np.append(np.uint64(1), np.full(_CHUNK, np.uint64(pow(int(_ODD), -1, 1 << 64)))))  # from the zeroth on
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,17 +37,18 @@ def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word of its bytes with A-Z in lower case."""
+    """A 64-bit hash per word of its bytes with A-Z in lower case: a polynomial modulo 2^64, from running
+    sums whose powers count from the chunk's start and are divided out at the word's."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(stops, starts[at] + _CHUNK, "right")))
-        sizes = stops[at:to] - starts[at:to]
-        begins = np.cumsum(sizes) - sizes
-        place = np.arange(sizes.sum()) - np.repeat(begins, sizes)
-        taken = _BYTE[_LOWER[data[np.repeat(starts[at:to], sizes) + place]]]
-        power = np.cumprod(np.full(sizes.max() + 1, _ODD, np.uint64))
-        out[at:to] = mix(np.add.reduceat(taken * power[place], begins) + sizes.astype(np.uint64))
+        begins, ends = starts[at:to] - starts[at], stops[at:to] - starts[at]
+        taken = _FOLDED[data[starts[at]:stops[to - 1]]]
+        taken *= _POWER[:len(taken)] if len(taken) <= _CHUNK else np.cumprod(np.full(len(taken), _ODD, np.uint64))
+        running = np.zeros(len(taken) + 1, np.uint64)
+        np.cumsum(taken, out=running[1:])
+        out[at:to] = mix((running[ends] - running[begins]) * _INVERSE[begins] + (ends - begins).astype(np.uint64))
         at = to
     return out
 
