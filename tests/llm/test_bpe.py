@@ -79,3 +79,29 @@ def test_texts_encoded_together(codec, library):
     for got, text in zip(codec.encode_batch(texts), texts, strict=True):
         assert np.frombuffer(got, np.uint32).tolist() == library.encode_ordinary(text)
     assert max(map(len, codec.known)) <= 200
+
+
+def test_lists_decoded_together(codec, library, monkeypatch):
+    texts = ["", "a", "日本語é", "x" * 5000, "", LONG[:3000], "end\n"]
+    ids = codec.encode_all(texts)
+    for together in (1, 40, 1 << 17):  # the end of a group at every list, at some, at none
+        monkeypatch.setattr(B, "TOGETHER", together)
+        assert codec.decode_all(ids) == [t.encode() for t in texts]
+    # Ids need not be without holes.
+    ranks = {b"a": 0, b"bc": 7, b"d": 3}
+    other = object.__new__(B.Codec)
+    other.bytes_of = {i: b for b, i in ranks.items()}
+    other.tabulate()
+    assert other.decode_all([np.array([7, 0, 3, 7], np.uint32).tobytes(), b""]) == [b"bcadbc", b""]
+
+
+def test_new_words_of_several_texts_are_merged_once(library, monkeypatch):
+    codec = B.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["zqxv zqxv grumfel", "zqxv's grumfel zqxv", "grumfel zqxv"]
+    merged, plain = [], B.merge_all
+    monkeypatch.setattr(B, "merge_all", lambda pieces, *more: merged.extend(pieces) or plain(pieces, *more))
+    for got, text in zip(codec.encode_all(texts), texts, strict=True):
+        assert np.frombuffer(got, np.uint32).tolist() == library.encode_ordinary(text)
+    assert sorted(merged) == sorted(set(merged))
+    monkeypatch.setattr(codec, "learn", lambda cuts, words: [*words] and pytest.fail("known words are learnt again"))
+    codec.encode_all(["zqxv grumfel"])

@@ -151,37 +151,47 @@ class Codec:
         self.pairs = Pairs(self.ranks)
         self.bytes_of = self.pairs.bytes_of
         self.queue = RankQueue(max(self.bytes_of) + 1)
+        self.tabulate()
         # \s of this module also holds the separators U+001C to U+001F, which are not white space in Unicode.
         self.pattern = regex.compile(pattern.replace("\\s", "\\p{White_Space}").replace("\\S", "\\P{White_Space}"))
         self.known: dict[str, bytes] = {}  # by pre-token; one that begins with a space, without it
         self.plain: dict[str, bytes] = {}  # by pre-token that does not
         self.remembered = remembered
 
+    def tabulate(self) -> None:
+        """All tokens' bytes in one array, for decoding: a token's are ``sizes`` bytes from ``starts`` on."""
+        self.sizes = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self.sizes[list(self.bytes_of)] = [len(b) for b in self.bytes_of.values()]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes_at = np.frombuffer(b"".join(b for _, b in sorted(self.bytes_of.items())), np.uint8)
+
     def cut(self, text: str) -> list[tuple[dict[str, bytes], str, str]]:
         """(table, name there, pre-token) of each match of the pattern."""
         return [(self.known, piece[1:], piece) if piece[0] == " " and len(piece) > 1 and not piece[1].isspace() else (self.plain, piece, piece)
                 for piece in self.pattern.findall(text)]
 
-    def learn(self, cuts: Iterator[list[tuple[dict[str, bytes], str, str]]]) -> None:
-        """Enter the ids of all pre-tokens that are not known yet."""
-        new = {(table_ is self.known, name): piece.encode() for cut in cuts for table_, name, piece in cut if name not in table_}
-        ranks, todo, held = self.pairs.ranks, [], 0
-
-        def merged() -> None:
-            for (spaced, name), ids in zip([n for n, _ in todo], merge_all([p for _, p in todo], self.pairs, self.queue)):
-                (self.known if spaced else self.plain)[name] = ids
-
-        for key, piece in new.items():
-            if piece in ranks:
-                (self.known if key[0] else self.plain)[key[1]] = np.uint32(ranks[piece]).tobytes()
-                continue
-            todo.append((key, piece))
-            held += len(piece)
-            if held > TOGETHER:
-                merged()
-                todo, held = [], 0
-        if todo:
-            merged()
+    def learn(self, cuts: Iterator[list[tuple[dict[str, bytes], str, str]]], words: Iterator[str]) -> None:
+        """Enter the ids of all pre-tokens that are not known yet; a word is one behind a space."""
+        spaced, plain = {w: (" " + w).encode() for w in words}, {}
+        for cut in cuts:
+            for table_, name, piece in cut:
+                if name not in table_:
+                    (spaced if table_ is self.known else plain)[name] = piece.encode()
+        for table_, new in ((self.known, spaced), (self.plain, plain)):
+            names, pieces, held = [], [], 0
+            for name, piece in new.items():
+                rank = self.pairs.ranks.get(piece)
+                if rank is not None:
+                    table_[name] = rank.to_bytes(4, "little")
+                    continue
+                names.append(name)
+                pieces.append(piece)
+                held += len(piece)
+                if held > TOGETHER:
+                    table_.update(zip(names, merge_all(pieces, self.pairs, self.queue)))
+                    names, pieces, held = [], [], 0
+            if pieces:
+                table_.update(zip(names, merge_all(pieces, self.pairs, self.queue)))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit values."""
@@ -189,33 +199,43 @@ class Codec:
         for table_ in (known, self.plain, self.pairs):
             if len(table_) > self.remembered:
                 table_.clear()
-        plans, chunks = [], {}
+        plans, chunks, new_words = [], {}, set()  # new chunks that are cut further, and that are one pre-token
         for text in texts:
             parts = text.replace("\n", " \n").split(" ")
             if "" in parts or "\n" in parts:
-                plans.append((self.cut(text), []))
+                plans.append((self.cut(text), [], [], []))
                 continue
             head = parts.pop(0)
-            new = [c for c in set(parts).difference(known) if c not in chunks]
+            ids = list(map(known.get, parts))
+            gaps = [i for i, found in enumerate(ids) if found is None] if None in ids else []
+            new = {parts[i] for i in gaps}.difference(new_words, chunks)
             # Other white space beside a space would go on over the cut.
             if head[-1:].isspace() or any(c[-1].isspace() or c.lstrip("\n")[:1].isspace() for c in new):
-                plans.append((self.cut(text), []))
+                plans.append((self.cut(text), [], [], []))
                 continue
-            plans.append((self.cut(head), parts))
+            plans.append((self.cut(head), parts, ids, gaps))
             for c in new:
-                chunks[c] = [(known, c, " " + c)] if c.isalpha() else self.cut(c if c[0] == "\n" else " " + c)
-        self.learn(c for cuts in ([p[0] for p in plans], chunks.values()) for c in cuts)
+                if c.isalpha():
+                    new_words.add(c)
+                else:
+                    chunks[c] = self.cut(c if c[0] == "\n" else " " + c)
+        self.learn([*(p[0] for p in plans), *chunks.values()], new_words)
         for chunk, cut in chunks.items():
             if chunk not in known:
                 known[chunk] = b"".join([table_[name] for table_, name, _ in cut])
-        out = [b"".join([table_[name] for table_, name, _ in cut] + [known[c] for c in parts]) for cut, parts in plans]
-        for table_ in (known, self.plain):  # long ones without any break are remembered for these texts only
-            for name in [n for cut, _ in plans for t, n, _ in cut if t is table_ and len(n) > 200]:
-                table_.pop(name, None)
-        for chunk, cut in chunks.items():
-            for table_, name in [(known, chunk), *[(t, n) for t, n, _ in cut]]:
+        out = []
+        for cut, parts, ids, gaps in plans:
+            for i in gaps:
+                ids[i] = known[parts[i]]
+            out.append(b"".join([*[table_[name] for table_, name, _ in cut], *ids]))
+        # Long ones without any break are remembered for these texts only.
+        for cut in (*(p[0] for p in plans), *chunks.values()):
+            for table_, name, _ in cut:
                 if len(name) > 200:
                     table_.pop(name, None)
+        for c in (*chunks, *new_words):
+            if len(c) > 200:
+                known.pop(c, None)
         return out
 
     def encode(self, text: str) -> bytes:
@@ -234,7 +254,24 @@ class Codec:
             yield from self.encode_all(group)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, all_ids: list[bytes]) -> list[bytes]:
+        """The bytes of each list of ids; many ids at a time are looked up in one table of all tokens' bytes."""
+        out, at = [], 0
+        while at < len(all_ids):
+            to, held = at, 0
+            while to < len(all_ids) and (to == at or held + len(all_ids[to]) <= TOGETHER):
+                held += len(all_ids[to])
+                to += 1
+            ids = np.frombuffer(b"".join(all_ids[at:to]), np.uint32)
+            sizes = self.sizes[ids]
+            stops = np.append(0, np.cumsum(sizes))
+            found = self.bytes_at[np.repeat(self.starts[ids] - stops[:-1], sizes) + np.arange(stops[-1])].tobytes()
+            ends = stops[np.cumsum([0, *(len(i) // 4 for i in all_ids[at:to])])].tolist()
+            out += [found[s:e] for s, e in zip(ends, ends[1:])]
+            at = to
+        return out
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -257,7 +294,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_cache(f"codec:{vocabulary}", lambda: Codec(vocabulary))
         for rows in slices(batches, "ids", 2000, 16 << 20):
-            yield pa.record_batch([*rows.columns[:2], pa.array([codec.decode(i) for i in rows.column(1).to_pylist()], pa.binary())], ["doc_id", "ids", "decoded"])
+            yield pa.record_batch([*rows.columns[:2], pa.array(codec.decode_all(rows.column(1).to_pylist()), pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")).mapInArrow(work, "doc_id long, ids binary, decoded binary")
 
