@@ -108,6 +108,26 @@ def test_per_target_fits_agree_with_the_estimator(spark, data):
     assert max(abs(ours[r["id"]] - r["p"]) for r in theirs) < 1e-4
 
 
+def assembled(spark, data):
+    """300 rows, five labels of other rates, and a last feature that is always 0."""
+    x, _ = data
+    rows = [(i, float(r[0]), 0.0 if i % 3 else float(r[1]), 0.0, *[int(r[0] + r[2] > t / 3) for t in range(5)]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, " + ", ".join(f"y{t} int" for t in range(5)))
+    return rows, VectorAssembler(inputCols=list("abc"), outputCol="features").transform(df).drop(*"abc")
+
+
+def test_scans_meet_no_zeros(spark, data, monkeypatch):
+    rows, ready = assembled(spark, data)
+    met, fit = [], M.logistic_fit
+    monkeypatch.setattr(M, "logistic_fit", lambda entries, *more: met.append(entries) or fit(entries, *more))
+    model = M.fit_targets(ready, ["y0", "y1"])
+    assert met[0].agg(F.sum(F.size("values"))).first()[0] == sum(v != 0 for r in rows for v in r[1:4])
+    assert model.weights.shape == (3, 2) and (model.weights[2] == 0).all() and (model.weights[:2] != 0).all()
+    dense = S.from_vectors(ready)
+    for got, want in zip(*(sorted(map(tuple, model.predict(d.select("id", "indices", "values"), ["p", "q"], logistic=True).collect())) for d in (S.without_zeros(dense), dense))):
+        assert got == pytest.approx(want, abs=1e-12)
+
+
 def test_stored_configuration(spark, tmp_path):
     train = spark.createDataFrame([(1, "a b a", "q", 1.0, 5), (2, None, "", 3.0, 5)], "id long, t string, u string, x double, k int")
     new = spark.createDataFrame([(7, "b zz a a", None, 5.0, 6), (8, None, "q q", None, 5)], "id long, t string, u string, x double, k int")
