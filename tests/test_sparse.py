@@ -128,6 +128,15 @@ def test_scans_meet_no_zeros(spark, data, monkeypatch):
         assert got == pytest.approx(want, abs=1e-12)
 
 
+def test_mean_probability_is_the_base_rate(spark, data):
+    rows, ready = assembled(spark, data)
+    names = [f"y{t}" for t in range(5)]
+    model = M.fit_targets(ready, names)
+    x, y = np.array([r[1:4] for r in rows]), np.array([r[4:] for r in rows])
+    p = 1 / (1 + np.exp(-(x @ model.weights + model.intercepts)))
+    assert np.abs(p.mean(0) - y.mean(0)).max() < 2e-9
+
+
 def test_stored_configuration(spark, tmp_path):
     train = spark.createDataFrame([(1, "a b a", "q", 1.0, 5), (2, None, "", 3.0, 5)], "id long, t string, u string, x double, k int")
     new = spark.createDataFrame([(7, "b zz a a", None, 5.0, 6), (8, None, "q q", None, 5)], "id long, t string, u string, x double, k int")

@@ -89,8 +89,9 @@ def _score(model: Model, df: DataFrame, name: str) -> DataFrame:
             .drop("rawPrediction", "probability", "prediction"))
 
 
-def fit_targets(train: DataFrame, targets: Sequence[str], c: float = 1.0, tolerance: float = 1e-7, scans: int = 500) -> Linear:
-    """One logistic model per target over all features, fitted together: each step is one scan."""
+def fit_targets(train: DataFrame, targets: Sequence[str], c: float = 1.0, tolerance: float = 1e-9, scans: int = 500) -> Linear:
+    """One logistic model per target over all features, fitted together: each step is one scan. The mean of a
+    target's probabilities is its base rate up to ``tolerance``."""
     rows = from_vectors(train.select("features", *[F.col(f"`{t}`") for t in targets]))
     size = rows.agg(F.max(F.size("values"))).first()[0] or 0
     return logistic_fit(materialise(without_zeros(rows), "entries"), targets, size, c, tolerance, scans)
