@@ -179,3 +179,41 @@ def test_word_hashes_of_short_and_very_long_words():
     for i in {0, 1, 2, 3, 4, 5, 35_000, len(starts) - 1}:
         value = sum(int(S._BYTE[b]) * pow(odd, j + 1, 1 << 64) for j, b in enumerate(bytes(data[starts[i]:stops[i]]).lower())) & mask
         assert found[i] == S.mix(np.array([value], np.uint64) + np.uint64(stops[i] - starts[i]))[0]
+
+
+def test_lanes_wait_for_more_documents():
+    """Every token is trained on once, from the state its document had reached, in fewer windows than call by call."""
+    draw = np.random.default_rng(2)
+    layout = gru.equal_mass(np.array([9.0, 5, 4, 3, 2, 1]), 3, 2)
+    weights = gru.initial(layout, np.arange(6.0), np.arange(float(layout.classes)), 5, 1)
+    pieces = [[np.append(draw.integers(1, 8, n), 0).astype(np.int32) for n in draw.permutation([90, 60, *draw.integers(0, 30, 40)])] for _ in range(3)]
+
+    def run(calls):
+        trainer, seen = gru.Trainer(weights, layout, 0, 0.0), []  # at rate 0 the weights stay
+        step = trainer._step
+
+        def noted(target, before, states, *more):
+            seen.append([(b, *s.round(4)) for t, b, s in zip(target.ravel(), before.ravel(), states.reshape(-1, states.shape[2])) if t >= 0])
+            step(target, before, states, *more)
+
+        trainer._step = noted
+        for documents, more in calls:
+            trainer.train(documents, 16, 4, more)
+        assert not trainer.held and trainer.tokens == sum(map(len, sum(pieces, [])))
+        return len(seen), sorted(sum(seen, []))
+
+    windows, places = run([(p, False) for p in pieces])
+    fewer, carried = run([*((p, True) for p in pieces), ([], False)])
+    assert fewer < windows and np.allclose(places, carried, atol=2e-4)
+    long = [np.append(np.ones(3000, int), 0).astype(np.int32)]  # too long a rest would leave the next call few lanes
+    trainer = gru.Trainer(weights, layout, 0, 0.1)
+    trainer.train(pieces[0] + long, 16, 4, more=True)
+    assert sum(len(rest) for rest, _, _ in trainer.held) <= 2 * sum(map(len, pieces[0] + long)) / 16
+
+
+def test_sums_per_symbol():
+    draw = np.random.default_rng(3)
+    for n, kinds in ((5000, 900), (300, 3), (40, 40), (17, 1), (16, 1), (15, 1), (1, 1)):
+        symbols, values = np.minimum(draw.zipf(1.3, n) - 1, kinds - 1).astype(np.uint16), draw.normal(size=(3, n, 4))
+        found, sums = gru.summed(values, symbols)
+        assert sorted(found) == sorted(set(symbols)) and np.allclose(sums, np.stack([values[:, symbols == s].sum(1) for s in found], 1))

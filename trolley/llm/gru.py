@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -34,6 +35,11 @@ class Layout:
         inside = np.searchsorted(self.cuts, symbol, "right") - 1
         return np.where(symbol < self.head, inside, symbol - self.head + len(self.cuts) - 1)
 
+    @cached_property
+    def of_symbol(self) -> np.ndarray:
+        """The class of each symbol."""
+        return self.class_of(np.arange(self.head + self.tails)).astype(np.int16)
+
 
 def equal_mass(counts: np.ndarray, classes: int, tails: int) -> Layout:
     """Cut falling counts into at most ``classes`` runs of about equal total of their square roots, which
@@ -59,51 +65,60 @@ def initial(layout: Layout, word_counts: np.ndarray, class_counts: np.ndarray, h
     }
 
 
-def lanes(documents: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Deal documents (symbols, the end symbol last) to lanes, longest first to the shortest lane.
+def lanes(documents: list[np.ndarray], width: int, begun: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Deal documents (symbols, the end symbol last) to lanes, longest first to the shortest lane. The first
+    ``begun`` documents are the rests of lanes that were left; each is the first of a lane.
 
     (symbols, document numbers, lane lengths); a column per lane, -1 below its end, and lanes by
     falling length, so the active ones are always the first. A document far longer than the rest takes
     fewer lanes, so the table holds at most about twice the symbols there are.
     """
     longest = max(map(len, documents))
-    load = [(0, i) for i in range(min(width, len(documents), -(-2 * sum(map(len, documents)) // longest)))]
+    load = [(0, i) for i in range(max(begun, min(width, len(documents), -(-2 * sum(map(len, documents)) // longest))))]
     dealt: list[list[int]] = [[] for _ in load]
-    for d in sorted(range(len(documents)), key=lambda d: (-len(documents[d]), d)):
+    for d in sorted(range(len(documents)), key=lambda d: (d >= begun, -len(documents[d]), d)):
         length, i = heapq.heappop(load)
         dealt[i].append(d)
         heapq.heappush(load, (length + len(documents[d]), i))
     order = [i for _, i in sorted(load, key=lambda x: (-x[0], x[1]))]
     lengths = np.array([n for n, _ in sorted(load, key=lambda x: (-x[0], x[1]))])
-    symbols = np.full((int(lengths[0]), len(order)), -1, np.int32)
+    symbols = np.full((len(order), int(lengths[0])), -1, np.int32)
     owner = np.full(symbols.shape, -1, np.int32)
     for lane, i in enumerate(order):
         at = 0
         for d in dealt[i]:
-            symbols[at:at + len(documents[d]), lane] = documents[d]
-            owner[at:at + len(documents[d]), lane] = d
+            symbols[lane, at:at + len(documents[d])] = documents[d]
+            owner[lane, at:at + len(documents[d])] = d
             at += len(documents[d])
-    return symbols, owner, lengths
+    return np.ascontiguousarray(symbols.T), np.ascontiguousarray(owner.T), lengths
 
 
-def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray, end: int, steps: int, keep: bool = False) -> Iterator[tuple]:
+def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray, end: int, steps: int, keep: bool = False,
+            begun: tuple[np.ndarray, list, list] | None = None) -> Iterator[tuple]:
     """Run all lanes, ``steps`` positions at a time, the state carried from window to window and
-    cleared where a document begins. Yields (first row, lanes, inputs, states[, what backpropagation needs]);
+    cleared where a document begins. ``begun``: lanes that go on with a rest, their states and the symbols before.
+    Yields (first row, lanes, inputs, states[, what backpropagation needs]);
     the last column of the states is 1 and belongs to the biases."""
     hidden = p["state"].shape[1]
     state = np.zeros((symbols.shape[1], hidden), p["state"].dtype)
+    if begun is not None:
+        state[begun[0]] = begun[1]
     for first in range(0, len(symbols), steps):
         last, width = min(first + steps, len(symbols)), int((lengths > first).sum())
         before = np.full((last - first, width), end, np.int32)
         before[int(first == 0):] = symbols[max(first - 1, 0):last - 1, :width]
+        if not first and begun is not None:
+            before[0, begun[0]] = begun[2]
         before = np.maximum(before, 0)
-        fed, go_on = np.take(p["inputs"], before, 1), (before != end).astype(np.float32)[:, :, None]
+        fed, fresh = np.take(p["inputs"], before, 1), [np.flatnonzero(x) for x in before == end]
         states, h = np.ones((last - first, width, hidden + 1), state.dtype), state[:width]
         olds, kept = np.empty((last - first, width, hidden), state.dtype), None
         if keep:
             kept = (olds, fed, np.empty_like(olds))
         for t in range(last - first):
-            old = np.multiply(h, go_on[t], out=olds[t])
+            old = olds[t]
+            old[:] = h
+            old[fresh[t]] = 0
             a, gates, new = np.matmul(old, p["state"]), fed[:2, t], fed[2, t]
             gates += a[:2]
             np.negative(gates, out=gates)
@@ -120,7 +135,7 @@ def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray,
             h += old
             states[t, :, :hidden] = h
         state = h
-        yield (first, width, before, states, go_on, kept)
+        yield (first, width, before, states, fresh, kept)
 
 
 def shifted(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bool]]:
@@ -147,14 +162,14 @@ def exponents(logits: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray
 def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places that hold a symbol, their classes), ordered by class."""
     real = np.flatnonzero(target >= 0)
-    classes = layout.class_of(target[real])
-    order = np.argsort(classes.astype(np.int16), kind="stable")  # a radix sort
+    classes = layout.of_symbol[target[real]]
+    order = np.argsort(classes, kind="stable")  # a radix sort
     return real[order], classes[order]
 
 
 def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, slice, slice, np.ndarray]]:
     """(class, its words, rows, numbers from 0) of each head class of more than one word; classes must not fall."""
-    bounds = np.searchsorted(classes, np.arange(len(layout.cuts))).tolist()
+    bounds = np.searchsorted(classes, np.arange(len(layout.cuts), dtype=classes.dtype)).tolist()
     cuts, numbers = layout.cuts.tolist(), np.arange(len(classes))
     for k in range(len(cuts) - 1):
         n = bounds[k + 1] - bounds[k]
@@ -190,6 +205,27 @@ def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.nda
     return out
 
 
+def summed(values: np.ndarray, symbols: np.ndarray, often: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """(different symbols, the sums of ``values[:, i]`` over the places i of each): frequent ones by a product each,
+    the others by adding all first places, all second places and so on."""
+    order = np.argsort(symbols, kind="stable")
+    ascending = symbols[order]
+    starts = np.flatnonzero(np.append(True, ascending[1:] != ascending[:-1]))
+    counts = np.diff(starts, append=len(order))
+    rank = np.minimum(counts, often).astype(np.int16)
+    falling = np.argsort(-rank, kind="stable")
+    starts, counts, rank = starts[falling], counts[falling], rank[falling]
+    more = np.searchsorted(-rank, -np.arange(often + 1, dtype=np.int16), "left").tolist()  # symbols of more than r places
+    many = more[often - 1]
+    out = np.take(values, order[starts], 1)
+    for r in range(1, often - 1):
+        out[:, many:more[r]] += np.take(values, order[starts[many:more[r]] + r], 1)
+    ones = np.ones((1, int(counts[:many].max(initial=0))), values.dtype)
+    for i, (start, n) in enumerate(zip(starts[:many].tolist(), counts[:many].tolist())):
+        out[:, i] = np.matmul(ones[:, :n], np.take(values, order[start:start + n], 1))[:, 0]
+    return ascending[starts], out
+
+
 class Trainer:
     """Truncated backpropagation through time with Adagrad, one window a step."""
 
@@ -197,6 +233,7 @@ class Trainer:
         self.p, self.layout, self.end, self.rate = {k: v.copy() for k, v in p.items()}, layout, end, rate
         self.sums = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
         self.tokens = self.fullest = 0
+        self.held: list[tuple[np.ndarray, np.ndarray, int]] = []  # rest, state and symbol before of each lane that waits
 
     def _move(self, name: str, slope: np.ndarray, rows: slice | np.ndarray | tuple = slice(None)) -> None:
         total = self.sums[name][rows]
@@ -208,14 +245,27 @@ class Trainer:
         step *= self.rate
         self.p[name][rows] -= step
 
-    def train(self, documents: list[np.ndarray], width: int, steps: int) -> None:
+    def train(self, documents: list[np.ndarray], width: int, steps: int, more: bool = False) -> None:
+        """Train on the documents and on what waits. With ``more`` to come, lanes wait for the next call as soon
+        as fewer than half are busy, unless a rest is too long to share all lanes with as many symbols again."""
+        held, self.held = self.held, []
+        documents = [*(rest for rest, _, _ in held), *documents]
         if not documents:
             return
-        symbols, _, lengths = lanes(documents, width)
-        for first, wide, before, states, go_on, kept in windows(self.p, symbols, lengths, self.end, steps, True):
-            self._step(symbols[first:first + len(states), :wide], before, states, go_on, kept)
-
-    def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, go_on: np.ndarray, kept: tuple) -> None:
+        symbols, owner, lengths = lanes(documents, width, len(held))
+        begun = np.flatnonzero(owner[0] < len(held))
+        own = [held[i] for i in owner[0, begun]]
+        share = 2 * sum(map(len, documents)) / width
+        for first, wide, before, states, fresh, kept in windows(
+                self.p, symbols, lengths, self.end, steps, True, (begun, [x[1] for x in own], [x[2] for x in own]) if own else None):
+            self._step(symbols[first:first + len(states), :wide], before, states, fresh, kept)
+            last = first + len(states)
+            busy = int((lengths > last).sum())
+            if more and 2 * busy < width and len(symbols) - last <= share:
+                self.held = [(symbols[last:lengths[i], i].copy(), states[-1, i, :-1].copy(), int(symbols[last - 1, i])) for i in range(busy)]
+                return
+
+    def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, fresh: list[np.ndarray], kept: tuple) -> None:
         p, layout, hidden = self.p, self.layout, states.shape[2] - 1
         flat, (real, classes) = states.reshape(-1, hidden + 1), targets(layout, target.ravel())
         own, y = np.take(flat, real, 0), target.ravel()[real]
@@ -241,22 +291,20 @@ class Trainer:
         slope = np.zeros((len(flat), hidden), own.dtype)
         slope[real] = back
         slope = slope.reshape(*states.shape[:2], hidden)
-        inputs, moved = self._back(slope, go_on, *kept)
-        recurrent = np.matmul(kept[0].reshape(-1, hidden).T, moved.reshape(3, -1, hidden))
+        inputs, moved = self._back(slope, fresh, *kept)
+        recurrent = (kept[0].reshape(-1, hidden).T @ moved.reshape(-1, 3 * hidden)).reshape(hidden, 3, hidden).transpose(1, 0, 2)
         self._move("to_class", class_move[:hidden])
         self._move("class_bias", class_move[hidden])
         self._move("to_word", np.ascontiguousarray(word_move[:, :hidden]))
         self._move("word_bias", word_move[:, hidden])
         self._move("state", recurrent)
-        order = np.argsort(before.ravel().astype(np.uint16) if layout.head + layout.tails < 1 << 16 else before.ravel(), kind="stable")
-        symbol, starts = np.unique(before.ravel()[order], return_index=True)
-        per_symbol = np.add.reduceat(np.take(inputs.reshape(3, -1, hidden), order, 1), starts, 1)
-        for k in range(3):
-            self._move("inputs", per_symbol[k], (k, symbol))
+        narrow = before.ravel().astype(np.uint16) if layout.head + layout.tails < 1 << 16 else before.ravel()
+        symbol, per_symbol = summed(inputs.reshape(3, -1, hidden), narrow)
+        self._move("inputs", per_symbol, (slice(None), symbol))
         self.tokens += len(real)
 
-    def _back(self, slope: np.ndarray, go_on: np.ndarray, olds: np.ndarray, gates: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Slopes of what the inputs and what the states added to both gates and the new value."""
+    def _back(self, slope: np.ndarray, fresh: list[np.ndarray], olds: np.ndarray, gates: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slopes of what the inputs and, side by side, of what the states added to both gates and the new value."""
         z, r, new = gates
         inputs = np.empty_like(gates)  # first the factors of the slopes, for all positions at once
         kept = 1 - z
@@ -270,19 +318,18 @@ class Trainer:
         inputs[1] *= r
         inputs[1] *= a
         inputs[1] *= inputs[2]
-        moved, turned = np.empty_like(gates), np.ascontiguousarray(self.p["state"].transpose(0, 2, 1))
+        hidden = slope.shape[2]
+        moved, turned = np.empty((*slope.shape[:2], 3 * hidden), slope.dtype), self.p["state"].transpose(0, 2, 1).reshape(3 * hidden, hidden)
         carry = np.zeros_like(slope[0])
         for t in range(len(slope) - 1, -1, -1):
             carry += slope[t]
             inputs[:, t] *= carry
-            moved[:2, t] = inputs[:2, t]
-            np.multiply(inputs[2, t], r[t], out=moved[2, t])
-            through = np.matmul(moved[:, t], turned)
+            own = moved[t]
+            own[:, :hidden], own[:, hidden:2 * hidden] = inputs[0, t], inputs[1, t]
+            np.multiply(inputs[2, t], r[t], out=own[:, 2 * hidden:])
             carry *= kept[t]
-            carry += through[0]
-            carry += through[1]
-            carry += through[2]
-            carry *= go_on[t]
+            carry += own @ turned
+            carry[fresh[t]] = 0
         return inputs, moved
 
 

@@ -40,6 +40,7 @@ FREQUENT = 262_144      # words whose counts every task holds (16 bytes each)
 SHARE, ROUNDS, REPLICA_TOKENS = 1.0, 2, 1_500_000
 LANES, STEPS, RATE = 256, 20, 0.12
 SMOOTH, END, _SEED = 0.1, 0, 3_001
+_TAIL = (mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(TAILS)).astype(np.int32)  # of a word's first two bytes
 
 
 @dataclass(frozen=True)
@@ -92,9 +93,9 @@ def hashed(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(len(ends), np.int64)
     starts, stops = words(data, ends)
     found = np.maximum(word_hashes(data, starts, stops), np.uint64(1))
-    second = np.where(stops - starts > 1, _LOWER[data[np.minimum(starts + 1, len(data) - 1)]], 0).astype(np.uint64)
-    tail = mix(_LOWER[data[starts]].astype(np.uint64) << np.uint64(8) | second) % np.uint64(TAILS)
-    return found, tail.astype(np.int32), np.searchsorted(starts, ends)
+    second = _LOWER[data[np.minimum(starts + 1, len(data) - 1)]]
+    second[stops - starts == 1] = 0
+    return found, _TAIL[_LOWER[data[starts]].astype(np.uint16) << np.uint16(8) | second], np.searchsorted(starts, ends)
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -102,9 +103,11 @@ def counted(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 4000, 4 << 20):
             found, tail, _ = hashed(*text_bytes(piece.column(0)))
-            word, first, n = np.unique(found, return_index=True, return_counts=True)
-            yield pa.record_batch([pa.array(np.append(word, np.uint64(END)).view(np.int64)), pa.array(np.append(tail[first], 0).astype(np.int32)),
-                                   pa.array(np.append(n, piece.num_rows))], ["word", "tail", "c"])
+            order = np.argsort(found)
+            ordered = found[order]
+            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
+            yield pa.record_batch([pa.array(np.append(ordered[first], np.uint64(END)).view(np.int64)), pa.array(np.append(tail[order[first]], 0).astype(np.int32)),
+                                   pa.array(np.append(np.diff(first, append=len(order)), piece.num_rows))], ["word", "tail", "c"])
 
     return rows.select("text").mapInArrow(work, "word long, tail int, c long").groupBy("word", "tail").agg(F.sum("c").alias("c"))
 
@@ -152,9 +155,10 @@ def trained(rows: DataFrame, v: Vocabulary, layout: gru.Layout, start: dict[str,
     """One round: every replica trains from ``start`` on its rows; the average by tokens."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = gru.Trainer(start, layout, v.end, rate)
-        for piece in slices(batches, "text", 6000, 8 << 20):
+        for piece in slices(batches, "text", 6000, 12 << 20):
             found, tail, bounds = hashed(*text_bytes(piece.column(0)))
-            trainer.train(with_end(symbols(v, found, tail)[0], bounds, v.end), LANES, STEPS)
+            trainer.train(with_end(symbols(v, found, tail)[0], bounds, v.end), LANES, STEPS, more=True)
+        trainer.train([], LANES, STEPS)
         if trainer.tokens:
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([trainer.tokens]), pa.array([gru.pack(trainer.p)])], ["replica", "tokens", "weights"])
 
@@ -208,17 +212,18 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        log_count = np.log10(v.counts + SMOOTH)
+        log_count = np.append(np.log10(v.counts + SMOOTH), 0)
         for piece in slices(batches, "text", 4000, 12 << 20):
             found, tail, bounds = hashed(*text_bytes(piece.column(1)))
             symbol, at = symbols(v, found, tail)
             owner = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
             there = at >= 0
             end_place = int(np.searchsorted(v.known, np.uint64(END)))
-            known = np.bincount(owner[there], v.counts[at[there]] > 0, piece.num_rows) + (v.counts[end_place] > 0)
-            base = np.bincount(owner[there], log_count[at[there]], piece.num_rows) + log_count[end_place]
-            in_tail = symbol >= layout.head
-            inside = np.bincount(owner[in_tail], np.where(there[in_tail], log_count[at[in_tail]], 0) - v.tail_log[symbol[in_tail] - layout.head], piece.num_rows)
+            logs = log_count[at]  # 0 at the end, for words without a count here
+            known = np.bincount(owner[there], minlength=piece.num_rows) + (v.counts[end_place] > 0)  # every word in the table but END was counted
+            base = np.bincount(owner, logs, piece.num_rows) + log_count[end_place]
+            in_tail = np.flatnonzero(symbol >= layout.head)
+            inside = np.bincount(owner[in_tail], logs[in_tail] - v.tail_log[symbol[in_tail] - layout.head], piece.num_rows)
             neural = gru.log_chances(weights, layout, with_end(symbol, bounds, v.end), v.end) / log(10)
             # Words without a count here: distinct ones per document, for the join.
             far = np.flatnonzero(~there)

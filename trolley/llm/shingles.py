@@ -9,8 +9,8 @@ _CHUNK = 1 << 16  # bytes of words hashed at once (one longer word alone)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_INK = np.ones(256, bool)
+_INK[[32, 9, 10, 11, 12, 13]] = False
 _BYTE = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype=np.uint64)
 _FOLDED = _BYTE[_LOWER]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -27,13 +27,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words [^\\x20\\x09-\\x0D]+; a document's end also ends its word."""
-    ink = ~_SPACE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[ends] = True
-    first, last = ink.copy(), ink.copy()
-    first[1:] &= ~ink[:-1] | edge[1:-1]
-    last[:-1] &= ~ink[1:] | edge[1:-1]
-    return np.flatnonzero(first), np.flatnonzero(last) + 1
+    ink = np.zeros(len(data) + 2, bool)
+    ink[1:-1] = _INK[data]
+    change = np.flatnonzero(ink[1:] != ink[:-1])
+    starts, stops = change[::2], change[1::2]
+    cut = np.unique(ends)
+    cut = cut[ink[cut] & ink[cut + 1]]  # between two letters
+    if len(cut):
+        starts, stops = (np.insert(x, np.searchsorted(x, cut), cut) for x in (starts, stops))
+    return starts, stops
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
