@@ -217,3 +217,56 @@ def test_sums_per_symbol():
         symbols, values = np.minimum(draw.zipf(1.3, n) - 1, kinds - 1).astype(np.uint16), draw.normal(size=(3, n, 4))
         found, sums = gru.summed(values, symbols)
         assert sorted(found) == sorted(set(symbols)) and np.allclose(sums, np.stack([values[:, symbols == s].sum(1) for s in found], 1))
+
+
+def test_tail_classes_share_one_output_class(spark):
+    """A token meets the classes and the words of its own class; a class for each tail class would be met by every token."""
+    model = R.fit(documents(spark))
+    layout = model.layout
+    assert layout.tails == R.TAILS and layout.classes == model.weights["to_class"].shape[1] <= R.CLASSES + 1
+    counts = np.append(1e7 / np.arange(1, 4097), np.full(R.TAILS, 1e6))  # four tokens of ten in the tail
+    layout = gru.equal_mass(counts[:4096], R.CLASSES, R.TAILS, joint=True)
+    inside = np.diff(layout.runs)[layout.of_symbol]
+    assert layout.classes + (inside * counts).sum() / counts.sum() < 105  # 96 + 43 with a class each
+
+
+@pytest.mark.parametrize("size", [0.3, 30.0])
+def test_joint_tails_chances_and_gradient(size):
+    draw = np.random.default_rng(4)
+    layout = gru.Layout(np.array([0, 1, 4, 9]), 3, joint=True)
+    assert layout.classes == 4 and layout.of_symbol.tolist() == [0, 1, 1, 1, 2, 2, 2, 2, 2, 3, 3, 3]
+    weights = gru.initial(layout, np.arange(12.0), np.arange(4.0), 4, 1)
+    weights = {k: v + draw.normal(0, size if k.startswith("to_") else 0.3, v.shape) for k, v in weights.items()}
+    starts = gru.log_chances(weights, layout, [np.array([s], np.int32) for s in range(12)], 0)
+    assert np.exp(starts).sum() == pytest.approx(1, abs=1e-6)
+    docs = [np.append(draw.integers(1, 12, n), 0).astype(np.int32) for n in (9, 5, 1)]
+    slopes = {k: np.zeros(v.shape) for k, v in weights.items()}
+    trainer = gru.Trainer(weights, layout, 0, 0.1)
+    trainer._move = lambda name, slope, rows=slice(None): np.add.at(slopes[name], rows, slope)
+    trainer.train(docs, 3, 100)
+    n = sum(map(len, docs))
+    for name, full in slopes.items():
+        at = np.unravel_index(np.argmax(np.abs(full)), full.shape)
+        up, down = ({**weights, name: weights[name].copy()} for _ in range(2))
+        up[name][at] += 1e-5
+        down[name][at] -= 1e-5
+        numeric = -(gru.log_chances(up, layout, docs, 0).sum() - gru.log_chances(down, layout, docs, 0).sum()) / 2e-5 / n
+        assert full[at] == pytest.approx(numeric, rel=1e-3, abs=1e-6), name
+
+
+def test_moved_rows_are_those_of_the_symbols():
+    draw = np.random.default_rng(5)
+    layout = gru.Layout(np.array([0, 1, 4, 9]), 3, joint=True)
+    weights = gru.initial(layout, np.arange(12.0), np.arange(4.0), 4, 1)
+    trainer = gru.Trainer(weights, layout, 0, 0.1)
+    symbols, slope = np.array([7, 2, 11], np.uint16), draw.normal(size=(3, 3, 4)).astype(np.float32)
+    trainer._move("inputs", slope, (slice(None), symbols))
+    want = weights["inputs"].copy()
+    want[:, symbols] -= np.float32(0.1) * slope / np.sqrt(np.float32(1e-6) + slope * slope)
+    assert np.allclose(trainer.p["inputs"], want, atol=1e-6)
+
+
+def test_word_bounds_at_every_byte():
+    data = np.arange(256, dtype=np.uint8)
+    starts, stops = S.words(data, np.array([0, 256]))
+    assert list(zip(starts.tolist(), stops.tolist())) == [(0, 9), (14, 32), (33, 256)]

@@ -2,8 +2,8 @@
 
 Symbols are the head words (by falling frequency) followed by the tail classes, which stand for all
 other words. Output classes are runs of head words (few frequent ones or more rare ones), then one class per tail
-class: P(word) = P(class | state) * P(word | class, state). Inside a tail class the caller goes on
-with counts.
+class, or one for all of them with the tail classes as its words: P(word) = P(class | state) * P(word | class, state).
+Inside a tail class the caller goes on with counts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -22,6 +22,7 @@ class Layout:
 
     cuts: np.ndarray  # head class k holds head words cuts[k] to cuts[k + 1]
     tails: int
+    joint: bool = False  # all tail classes are the words of one output class
 
     @property
     def head(self) -> int:
@@ -29,11 +30,21 @@ class Layout:
 
     @property
     def classes(self) -> int:
-        return len(self.cuts) - 1 + self.tails
+        return len(self.runs) - 1 + (0 if self.joint else self.tails)
+
+    @cached_property
+    def runs(self) -> np.ndarray:
+        """Class k of those that hold words has the symbols runs[k] to runs[k + 1]."""
+        return np.append(self.cuts, self.head + self.tails) if self.joint else self.cuts
+
+    @property
+    def inner(self) -> int:
+        """The number of symbols that are words of a class."""
+        return int(self.runs[-1])
 
     def class_of(self, symbol: np.ndarray) -> np.ndarray:
-        inside = np.searchsorted(self.cuts, symbol, "right") - 1
-        return np.where(symbol < self.head, inside, symbol - self.head + len(self.cuts) - 1)
+        inside = np.searchsorted(self.runs, symbol, "right") - 1
+        return np.where(symbol < self.inner, inside, symbol - self.inner + len(self.runs) - 1)
 
     @cached_property
     def of_symbol(self) -> np.ndarray:
@@ -41,14 +52,14 @@ class Layout:
         return self.class_of(np.arange(self.head + self.tails)).astype(np.int16)
 
 
-def equal_mass(counts: np.ndarray, classes: int, tails: int) -> Layout:
+def equal_mass(counts: np.ndarray, classes: int, tails: int, joint: bool = False) -> Layout:
     """Cut falling counts into at most ``classes`` runs of about equal total of their square roots, which
     makes the words of a token's class, summed over all tokens, about as few as any cuts do."""
     weight = np.sqrt(counts)
     share = np.cumsum(weight) / max(weight.sum(), 1)
     number = np.minimum((share - weight / max(weight.sum(), 1) / 2) * classes, classes - 1).astype(int)
     starts = np.flatnonzero(np.diff(number, prepend=-1) > 0)
-    return Layout(np.append(starts, len(counts)), tails)
+    return Layout(np.append(starts, len(counts)), tails, joint)
 
 
 def initial(layout: Layout, word_counts: np.ndarray, class_counts: np.ndarray, hidden: int, seed: int) -> dict[str, np.ndarray]:
@@ -60,7 +71,7 @@ def initial(layout: Layout, word_counts: np.ndarray, class_counts: np.ndarray, h
         "state": draw.normal(0, 0.5 / np.sqrt(hidden), (3, hidden, hidden)).astype(np.float32),
         "to_class": np.zeros((hidden, layout.classes), np.float32),
         "class_bias": np.log(class_counts + 0.5).astype(np.float32),
-        "to_word": np.zeros((layout.head, hidden), np.float32),
+        "to_word": np.zeros((layout.inner, hidden), np.float32),
         "word_bias": np.log(word_counts + 0.5).astype(np.float32),
     }
 
@@ -101,6 +112,7 @@ def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray,
     the last column of the states is 1 and belongs to the biases."""
     hidden = p["state"].shape[1]
     state = np.zeros((symbols.shape[1], hidden), p["state"].dtype)
+    signs = np.array([-1, -1, 1], state.dtype)[:, None, None]  # a gate is 1 / (1 + exp(-what was added up))
     if begun is not None:
         state[begun[0]] = begun[1]
     for first in range(0, len(symbols), steps):
@@ -112,16 +124,15 @@ def windows(p: dict[str, np.ndarray], symbols: np.ndarray, lengths: np.ndarray,
         before = np.maximum(before, 0)
         fed, fresh = np.take(p["inputs"], before, 1), [np.flatnonzero(x) for x in before == end]
         states, h = np.ones((last - first, width, hidden + 1), state.dtype), state[:width]
-        olds, kept = np.empty((last - first, width, hidden), state.dtype), None
+        olds, turned, kept = np.empty((last - first, width, hidden), state.dtype), p["state"] * signs, None
         if keep:
             kept = (olds, fed, np.empty_like(olds))
         for t in range(last - first):
             old = olds[t]
             old[:] = h
             old[fresh[t]] = 0
-            a, gates, new = np.matmul(old, p["state"]), fed[:2, t], fed[2, t]
-            gates += a[:2]
-            np.negative(gates, out=gates)
+            a, gates, new = np.matmul(old, turned), fed[:2, t], fed[2, t]
+            np.subtract(a[:2], gates, out=gates)
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
@@ -151,12 +162,17 @@ def shifted(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[
     return out, (high - low < 80).tolist()
 
 
+@cache
+def ones(n: int, kind: np.dtype) -> np.ndarray:
+    return np.ones(n, kind)
+
+
 def exponents(logits: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray | float]:
     """exp(logits) in place and the sum of each row."""
     if not bounded:
         logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
+    return logits, logits @ ones(logits.shape[1], logits.dtype)
 
 
 def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,23 +183,28 @@ def targets(layout: Layout, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return real[order], classes[order]
 
 
-def by_class(layout: Layout, classes: np.ndarray) -> Iterator[tuple[int, slice, slice, np.ndarray]]:
-    """(class, its words, rows, numbers from 0) of each head class of more than one word; classes must not fall."""
-    bounds = np.searchsorted(classes, np.arange(len(layout.cuts), dtype=classes.dtype)).tolist()
-    cuts, numbers = layout.cuts.tolist(), np.arange(len(classes))
-    for k in range(len(cuts) - 1):
-        n = bounds[k + 1] - bounds[k]
-        if n and cuts[k + 1] - cuts[k] > 1:
-            yield k, slice(cuts[k], cuts[k + 1]), slice(bounds[k], bounds[k + 1]), numbers[:n]
+def by_class(layout: Layout, classes: np.ndarray, symbols: np.ndarray) -> Iterator[tuple[int, slice, slice, np.ndarray]]:
+    """(class, its words, rows, the places of their symbols in a flat table of these rows and words) of each class
+    of more than one word; classes must not fall."""
+    bounds = np.searchsorted(classes, np.arange(len(layout.runs), dtype=classes.dtype))
+    own, last = classes[:bounds[-1]], int(bounds[-1])
+    places = np.arange(last) - np.take(bounds, own)
+    places *= np.take(np.diff(layout.runs), own)
+    places += symbols[:last] - np.take(layout.runs, own)
+    runs, bounds = layout.runs.tolist(), bounds.tolist()
+    for k in range(len(runs) - 1):
+        if bounds[k + 1] > bounds[k] and runs[k + 1] - runs[k] > 1:
+            rows = slice(bounds[k], bounds[k + 1])
+            yield k, slice(runs[k], runs[k + 1]), rows, places[rows]
 
 
-def log_softmax(states: np.ndarray, weights: np.ndarray, bounded: bool, each: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of each row's softmax at its chosen place."""
+def softmax_parts(states: np.ndarray, weights: np.ndarray, bounded: bool, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row's softmax the scores at the flat places and the sums of the exponents."""
     logits = states @ weights.T
     if not bounded:
         logits -= logits.max(1, keepdims=True)
-    score = logits[each, chosen]
-    return score - np.log(exponents(logits, True)[1])
+    score = np.take(logits, places)
+    return score, exponents(logits, True)[1]
 
 
 def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.ndarray], end: int, width: int = 256, steps: int = 32) -> np.ndarray:
@@ -193,14 +214,18 @@ def log_chances(p: dict[str, np.ndarray], layout: Layout, documents: list[np.nda
         return out
     symbols, owner, lengths = lanes(documents, width)
     to_class, (bounded,) = shifted(p["to_class"].T, p["class_bias"], np.zeros(1, int))
-    to_word, words_bounded = shifted(p["to_word"], p["word_bias"], layout.cuts[:-1])
+    to_word, words_bounded = shifted(p["to_word"], p["word_bias"], layout.runs[:-1])
     for first, wide, _, states, _, _ in windows(p, symbols, lengths, end, steps):
         target = symbols[first:first + len(states), :wide].ravel()
         real, classes = targets(layout, target)
         states, target = np.take(states.reshape(-1, states.shape[2]), real, 0), target[real]
-        found = log_softmax(states, to_class, bounded, np.arange(len(real)), classes)
-        for k, own, rows, each in by_class(layout, classes):
-            found[rows] += log_softmax(states[rows], to_word[own], words_bounded[k], each, target[rows] - own.start)
+        found, total = softmax_parts(states, to_class, bounded, np.arange(len(real)) * len(to_class) + classes)
+        inside = np.ones_like(total)
+        for k, own, rows, places in by_class(layout, classes, target):
+            score, inside[rows] = softmax_parts(states[rows], to_word[own], words_bounded[k], places)
+            found[rows] += score
+        found -= np.log(total)
+        found -= np.log(inside)
         out += np.bincount(owner[first:first + symbols[first:first + steps].shape[0], :wide].ravel()[real], found, len(documents))
     return out
 
@@ -226,6 +251,12 @@ def summed(values: np.ndarray, symbols: np.ndarray, often: int = 16) -> tuple[np
     return ascending[starts], out
 
 
+def put_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at] = rows, each row copied as one value."""
+    kind = f"V{rows.itemsize * rows.shape[1]}"
+    np.put(table.view(kind), at, rows.view(kind))
+
+
 class Trainer:
     """Truncated backpropagation through time with Adagrad, one window a step."""
 
@@ -235,15 +266,21 @@ class Trainer:
         self.tokens = self.fullest = 0
         self.held: list[tuple[np.ndarray, np.ndarray, int]] = []  # rest, state and symbol before of each lane that waits
 
-    def _move(self, name: str, slope: np.ndarray, rows: slice | np.ndarray | tuple = slice(None)) -> None:
-        total = self.sums[name][rows]
+    def _move(self, name: str, slope: np.ndarray, symbols: tuple | None = None) -> None:
+        weights, sums = self.p[name], self.sums[name]
+        if symbols is not None:  # (all gates, symbols): the rows of a flat table
+            at = (np.arange(len(weights))[:, None] * weights.shape[1] + symbols[1]).ravel()
+            weights, sums, slope = (x.reshape(-1, x.shape[2]) for x in (weights, sums, slope))
+        total = sums if symbols is None else np.take(sums, at, 0)
         total += slope * slope
-        if not isinstance(rows, slice):
-            self.sums[name][rows] = total  # a copy so far
         step = np.sqrt(total)
         np.divide(slope, step, out=step)
         step *= self.rate
-        self.p[name][rows] -= step
+        if symbols is None:
+            weights -= step
+        else:
+            put_rows(sums, at, total)
+            put_rows(weights, at, np.take(weights, at, 0) - step)
 
     def train(self, documents: list[np.ndarray], width: int, steps: int, more: bool = False) -> None:
         """Train on the documents and on what waits. With ``more`` to come, lanes wait for the next call as soon
@@ -268,23 +305,23 @@ class Trainer:
     def _step(self, target: np.ndarray, before: np.ndarray, states: np.ndarray, fresh: list[np.ndarray], kept: tuple) -> None:
         p, layout, hidden = self.p, self.layout, states.shape[2] - 1
         flat, (real, classes) = states.reshape(-1, hidden + 1), targets(layout, target.ravel())
-        own, y = np.take(flat, real, 0), target.ravel()[real]
+        own, y = np.take(flat, real, 0), np.take(target, real)
         # A token weighs the same in every window: the last ones of a batch hold only the rest of its longest texts.
         self.fullest = max(self.fullest, len(real), 1)
         scale = np.float32(1 / self.fullest)
         # The error of a row is (exponents - their sum at the target) * scale / sum; the factor goes to the narrow side of each product.
         weights, (bounded,) = shifted(p["to_class"].T, p["class_bias"], np.zeros(1, int))
         wrong, total = exponents(own @ weights.T, bounded)
-        wrong[np.arange(len(real)), classes] -= total
+        wrong.reshape(-1)[np.arange(len(real)) * layout.classes + classes] -= total
         factor = (scale / total)[:, None]
         back = wrong @ weights[:, :hidden]
         back *= factor
         class_move = (own * factor).T @ wrong
-        word_move = np.zeros((layout.head, hidden + 1), own.dtype)
-        weights, bounded = shifted(p["to_word"], p["word_bias"], layout.cuts[:-1])
-        for k, words, rows, each in by_class(layout, classes):
+        word_move = np.zeros((layout.inner, hidden + 1), own.dtype)
+        weights, bounded = shifted(p["to_word"], p["word_bias"], layout.runs[:-1])
+        for k, words, rows, places in by_class(layout, classes, y):
             error, total = exponents(own[rows] @ weights[words].T, bounded[k])
-            error[each, y[rows] - words.start] -= total
+            error.reshape(-1)[places] -= total
             factor = (scale / total)[:, None]
             back[rows] += (error @ weights[words, :hidden]) * factor
             word_move[words] = error.T @ (own[rows] * factor)

@@ -103,11 +103,12 @@ def counted(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 4000, 4 << 20):
             found, tail, _ = hashed(*text_bytes(piece.column(0)))
-            order = np.argsort(found)
-            ordered = found[order]
-            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
-            yield pa.record_batch([pa.array(np.append(ordered[first], np.uint64(END)).view(np.int64)), pa.array(np.append(tail[order[first]], 0).astype(np.int32)),
-                                   pa.array(np.append(np.diff(first, append=len(order)), piece.num_rows))], ["word", "tail", "c"])
+            coded = pa.array(found.view(np.int64)).dictionary_encode()
+            word, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+            at = np.empty(len(word), np.int64)
+            at[code] = np.arange(len(code))  # a place of each word
+            yield pa.record_batch([pa.array(np.append(word, np.int64(END))), pa.array(np.append(tail[at], 0).astype(np.int32)),
+                                   pa.array(np.append(np.bincount(code, minlength=len(word)), piece.num_rows))], ["word", "tail", "c"])
 
     return rows.select("text").mapInArrow(work, "word long, tail int, c long").groupBy("word", "tail").agg(F.sum("c").alias("c"))
 
@@ -191,9 +192,8 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", head: int = HE
     rows = docs.select(empty_text(text).alias("text"), F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_003)).alias("draw"))
     counts = stored(counted(rows), "counts")
     v, rare, class_counts = vocabulary(counts, head, frequent)
-    layout = gru.equal_mass(class_counts[:len(v.head)], CLASSES, TAILS)
-    per_class = np.concatenate([np.add.reduceat(class_counts[:layout.head], layout.cuts[:-1]), class_counts[layout.head:]])
-    weights = gru.initial(layout, class_counts[:layout.head], per_class, hidden, _SEED)
+    layout = gru.equal_mass(class_counts[:len(v.head)], CLASSES, TAILS, joint=True)
+    weights = gru.initial(layout, class_counts, np.add.reduceat(class_counts, layout.runs[:-1]), hidden, _SEED)
     replicas = max(1, round(v.total * share / rounds / REPLICA_TOKENS))
     for i in range(rounds):
         low, high = (int(1_000_003 * share * j / rounds) for j in (i, i + 1))

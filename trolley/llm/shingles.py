@@ -9,8 +9,6 @@ _CHUNK = 1 << 16  # bytes of words hashed at once (one longer word alone)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_INK = np.ones(256, bool)
-_INK[[32, 9, 10, 11, 12, 13]] = False
 _BYTE = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype=np.uint64)
 _FOLDED = _BYTE[_LOWER]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -28,7 +26,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words [^\\x20\\x09-\\x0D]+; a document's end also ends its word."""
     ink = np.zeros(len(data) + 2, bool)
-    ink[1:-1] = _INK[data]
+    np.greater(data - np.uint8(9), 4, out=ink[1:-1])  # not 9 to 13
+    ink[1:-1] &= data != 32
     change = np.flatnonzero(ink[1:] != ink[:-1])
     starts, stops = change[::2], change[1::2]
     cut = np.unique(ends)
