@@ -99,6 +99,21 @@ def test_families(spark, data):
     assert loss < 0.4
 
 
+def test_families_scale_and_store_the_columns_once(spark, data, monkeypatch):
+    """Families of the same columns share a fit, and each family equals its own fit on its columns alone."""
+    x, draw = data
+    rows = spark.createDataFrame([(i, *map(float, r[:4]), int(r[0] + draw.normal() > 0)) for i, r in enumerate(x)], "customer_id long, a double, b double, c double, d double, u int")
+    scaled, fits, minmax, fit = [], [], M.minmax, M.logistic_fit
+    monkeypatch.setattr(M, "minmax", lambda *args: scaled.append(args) or minmax(*args))
+    monkeypatch.setattr(M, "logistic_fit", lambda *args: fits.append(args) or fit(*args))
+    found = M.family_models(rows, rows, {"one": ["c", "a"], "two": ["b", "d"], "same": ["c", "a"]}, ["u"], ["customer_id"])
+    assert len(scaled) == 2 and len(fits) == 2
+    for name, columns in (("one", ["c", "a"]), ("two", ["b", "d"]), ("same", ["c", "a"])):
+        alone = VectorAssembler(inputCols=columns, outputCol="features").transform(minmax(rows, columns))
+        want = {r["customer_id"]: r["u"] for r in M.fit_targets(alone, ["u"], 1.0, 1e-5, 100).predict(S.from_vectors(alone.select("customer_id", "features")), ["u"], logistic=True).collect()}
+        assert {r["customer_id"]: r["u"] for r in found[name].collect()} == pytest.approx(want, abs=1e-12)
+
+
 def test_per_target_fits_agree_with_the_estimator(spark, data):
     x, draw = data
     rows = spark.createDataFrame([(i, *map(float, r[:4]), int(r[0] + r[1] + draw.normal() > 0)) for i, r in enumerate(x)], "id long, a double, b double, c double, d double, y int")
