@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trolley.catalog.base import TX, ctes, register, stored_transactions
+from trolley.catalog.base import TX, ctes, register, transactions
 from trolley.operators import baskets as B
+from trolley.session import materialise
 
 MIN_SUPP, MIN_CONF, RHS = 0.015, 0.13, "Brand#5"
 
@@ -20,7 +21,8 @@ SETS = ctes(*LEVELS) + "SELECT * FROM sets"
 
 
 def order_baskets(spark, d):
-    return B.to_baskets(stored_transactions(spark, d), "transaction_id", "item_id")
+    """Stored, because most queries read them several times."""
+    return materialise(B.to_baskets(transactions(spark, d, spread_out=True), "transaction_id", "item_id"), "baskets")
 
 
 def named(found):
