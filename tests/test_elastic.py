@@ -89,3 +89,22 @@ def test_gram_tiles_dense_and_sparse(spark, monkeypatch, pairs):
     got = {(r["i"], r["j"]): r["g"] for r in elastic.gram(triples(spark, x), users_per_block=7, items_per_block=6).collect()}
     want = x.T @ x
     assert got == {(i, j): float(want[i, j]) for i in range(30) for j in range(30) if want[i, j]}
+
+
+@pytest.mark.parametrize("pairs", [0, 10**9])
+@pytest.mark.parametrize("users_per_block", [7, 2048])
+def test_gram_of_the_strongest_partners(spark, monkeypatch, pairs, users_per_block):
+    """The largest entries of a column, equal ones by the smaller item, in few rows; a user or an item that is missing adds nothing."""
+    draw = np.random.default_rng(4)
+    x = np.where(draw.random((20, 30)) < 0.4, draw.integers(-1, 3, (20, 30)), 0)
+    monkeypatch.setattr(elastic, "SPARSE_PAIRS", pairs)
+    monkeypatch.setattr(elastic, "STRIP", 40)
+    odd = spark.createDataFrame([(None, 1, 1.0), (1, None, 1.0), (2, None, 1.0)], "user int, item int, value double")
+    urm = triples(spark, x).selectExpr("CAST(user AS INT) AS user", "CAST(item AS INT) AS item", "CAST(value AS DOUBLE) AS value").unionByName(odd)
+    rows = elastic.gram(urm, users_per_block=users_per_block, items_per_block=6, strongest=3).collect()
+    g = x.T @ x
+    for j in range(30):
+        got = sorted(((-r["g"], r["i"]) for r in rows if r["j"] == j and r["i"] != j))[:3]
+        assert got == sorted((-float(g[i, j]), i) for i in range(30) if i != j and g[i, j])[:3]
+    assert {r["i"]: r["g"] for r in rows if r["i"] == r["j"]} == {i: float(g[i, i]) for i in range(30) if g[i, i]}
+    assert len(rows) <= 30 + 30 * 3 * 10

@@ -23,10 +23,13 @@ from trolley.session import materialise
 
 # Pairs of a tile up to which they are formed one by one; beyond, the tile is one dense product.
 SPARSE_PAIRS = 4_000_000
+# Entries of a tile that are ranked at once.
+STRIP = 1 << 21
 
 
-def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
-    """X_lo' X_hi of one user block and one pair of item blocks."""
+def _tile_product(pdf: pd.DataFrame, strongest: int | None = None) -> pd.DataFrame:
+    """X_lo' X_hi of one user block and one pair of item blocks; of each column the diagonal and the
+    ``strongest`` other entries, if given."""
     lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
     sides = [pdf.loc[pdf["block"] == b, ["user", "item", "value"]] for b in (lo, hi)]
     meetings = (sides[0].groupby("user").size() * sides[1].groupby("user").size()).sum()
@@ -35,18 +38,27 @@ def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
         both = both.assign(g=both["value_x"] * both["value_y"]).groupby(["item_x", "item_y"], sort=False)["g"].sum().reset_index()
         out = both.set_axis(["i", "j", "g"], axis=1)
         out = out[out["g"] != 0]
-        return out if lo == hi else pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "g"]]], ignore_index=True)
+        out = out if lo == hi else pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "g"]]], ignore_index=True)
+        if strongest is None:
+            return out
+        off = out[out["i"] != out["j"]].sort_values(["j", "g", "i"], ascending=[True, False, True]).groupby("j").head(strongest)
+        return pd.concat([out[out["i"] == out["j"]], off], ignore_index=True)
     users, n_users = pdf["user"].factorize()[0], pdf["user"].nunique()
 
     def dense(block: int) -> tuple[np.ndarray, np.ndarray]:
         rows = (pdf["block"] == block).to_numpy()
-        codes, names = pdf.loc[rows, "item"].factorize()
+        codes, names = pdf.loc[rows, "item"].factorize(sort=strongest is not None)
         x = np.zeros((n_users, len(names)))
         np.add.at(x, (users[rows], codes), pdf.loc[rows, "value"].to_numpy())
         return x, np.asarray(names)
 
     left, left_names = dense(lo)
     right, right_names = (left, left_names) if lo == hi else dense(hi)
+    if strongest is not None:
+        parts = [_strongest(left, left_names, right, right_names, strongest, lo == hi)]
+        if lo != hi:
+            parts.append(_strongest(right, right_names, left, left_names, strongest, False))
+        return pd.concat(parts, ignore_index=True)
     product = left.T @ right
     i, j = np.nonzero(product)
     out = pd.DataFrame({"i": left_names[i], "j": right_names[j], "g": product[i, j]})
@@ -55,23 +67,64 @@ def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([out, out.rename(columns={"i": "j", "j": "i"})[["i", "j", "g"]]], ignore_index=True)
 
 
-def gram(urm: DataFrame, users_per_block: int = 2048, items_per_block: int = 1024) -> DataFrame:
-    """Non-zero entries ``(i, j, g)`` of X'X for triples (user, item, value)."""
-    urm = urm.groupBy("user", "item").agg(F.sum("value").alias("value"))  # bounds a tile by its cells, not by rows
+def _strongest(left: np.ndarray, left_names: np.ndarray, right: np.ndarray, right_names: np.ndarray, most: int, same: bool) -> pd.DataFrame:
+    """Of each column of X_left' X_right the ``most`` largest entries (equal ones by the smaller item) and, if both
+    sides are the ``same``, the diagonal; some columns at a time. The left names are sorted."""
+    parts, step = [], max(1, STRIP // left.shape[1])
+    for at in range(0, right.shape[1], step):
+        product = right[:, at:at + step].T @ left  # a row per column j
+        if same:
+            own = np.arange(len(product))
+            diagonal = product[own, at + own]
+            product[own, at + own] = 0
+            met = np.flatnonzero(diagonal)
+            parts.append(pd.DataFrame({"i": left_names[at + met], "j": right_names[at + met], "g": diagonal[met]}))
+        product[product == 0] = -np.inf
+        least = np.partition(product, -most, axis=1)[:, -most][:, None] if most < product.shape[1] else -np.inf
+        j, i = np.nonzero((product >= least) & (product > -np.inf))
+        g = product[j, i]
+        order = np.lexsort((i, -g, j))
+        j, i, g = j[order], i[order], g[order]
+        place = np.arange(len(j)) - np.searchsorted(j, j)
+        kept = place < most
+        parts.append(pd.DataFrame({"i": left_names[i[kept]], "j": right_names[at + j[kept]], "g": g[kept]}))
+    return pd.concat(parts, ignore_index=True)
+
+
+def gram(urm: DataFrame, users_per_block: int = 2048, items_per_block: int | None = None, strongest: int | None = None) -> DataFrame:
+    """Non-zero entries ``(i, j, g)`` of X'X for triples (user, item, value).
+
+    With ``strongest`` a caller that ranks each item's partners gets fewer of them: the diagonal and at least the
+    ``strongest`` largest other entries of each column j (equal ones by the smaller i). If one block holds all
+    users, the others never leave their tile; else they are cut after the tiles are added up.
+    """
+    # Bounds a tile by its cells, not by rows; stored, because it is read more than once.
+    urm = materialise(urm.filter(F.col("user").isNotNull() & F.col("item").isNotNull()).groupBy("user", "item").agg(F.sum("value").cast("double").alias("value")), "cells")
     size = urm.agg(F.approx_count_distinct("user").alias("u"), F.approx_count_distinct("item").alias("i")).first()
     user_blocks = max(1, math.ceil(size["u"] / users_per_block))
-    item_blocks = max(1, math.ceil(size["i"] / items_per_block))
-    blocked = urm.select(
-        "user", "item", F.col("value").cast("double").alias("value"),
-        F.pmod(F.xxhash64("user"), F.lit(user_blocks)).cast("int").alias("ub"),
-        F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int").alias("block"))
-    # A cell meets only the item blocks its own user has items in.
-    has = blocked.groupBy("user").agg(F.collect_set("block").alias("others"))
-    paired = (blocked.join(has, "user").withColumn("other", F.explode("others"))
-              .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")))
+    item_blocks = max(1, math.ceil(size["i"] / (items_per_block or (1024 if strongest is None else 4096))))
     kind = urm.schema["item"].dataType.simpleString()
-    tiles = paired.groupBy("ub", "lo", "hi").applyInPandas(_tile_product, f"i {kind}, j {kind}, g double")
-    return tiles.groupBy("i", "j").agg(F.sum("g").alias("g"))
+    block_of = F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int")
+    blocked = urm.select("user", "item", "value", F.pmod(F.xxhash64("user"), F.lit(user_blocks)).cast("int").alias("ub"), block_of.alias("block"))
+    if item_blocks == 1:
+        paired = blocked.withColumns({"lo": F.lit(0), "hi": F.lit(0)})
+    else:
+        # A cell meets only the item blocks its own user has items in.
+        has = blocked.groupBy("user").agg(F.collect_set("block").alias("others"))
+        paired = (blocked.join(has, "user").withColumn("other", F.explode("others"))
+                  .select("user", "item", "value", "ub", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+    within = strongest if user_blocks == 1 else None
+    if within is not None:  # few rows, much work: as many tasks as the session has for a shuffle
+        wanted = min(item_blocks * (item_blocks + 1) // 2, int(urm.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        paired = paired.repartition(wanted, "ub", "lo", "hi")
+    tiles = paired.groupBy("ub", "lo", "hi").applyInPandas(lambda pdf: _tile_product(pdf, within), f"i {kind}, j {kind}, g double")
+    if within is not None:
+        return tiles
+    summed = tiles.groupBy("i", "j").agg(F.sum("g").alias("g"))
+    if strongest is None:
+        return summed
+    best = W.partitionBy("j", F.col("i") == F.col("j")).orderBy(F.desc("g"), F.asc("i"))
+    return summed.filter("g <> 0").withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= strongest).drop("_rn")
 
 
 def _descend(g: np.ndarray, c: np.ndarray, n: float, l1: float, l2: float, positive: bool,

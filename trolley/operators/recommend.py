@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from trolley.functions.columns import log_shift
 from trolley.operators.filters import in_scope, min_activity, valid_keys
 from trolley.operators.summary import popular_items, popularity_index, top_n
+from trolley.session import materialise
 
 # The intercept pseudo-item, its value, and the shift of the logarithm.
 INTERCEPT = 9999
 INTERCEPT_VALUE = 1
 LOG_SHIFT = 0.1
+# Longest list of weights that is broadcast.
+BROADCAST_WEIGHTS = 100_000
 
 
 def add_intercept(df: DataFrame, user: str = "user", item: str = "item", value: str = "value") -> DataFrame:
@@ -55,7 +58,12 @@ def topk_weights(weights: DataFrame, k: int) -> DataFrame:
 
 
 def score_items(profiles: DataFrame, weights: DataFrame) -> DataFrame:
-    """Sparse product of user profiles and item weights."""
+    """Sparse product of user profiles and item weights. A short list of weights (stored and counted) goes to all
+    tasks, and only the profiles are shuffled, by user; a user has a cell for each item of such a list at most."""
+    weights = materialise(weights.select("item_from", "item_to", "weight"), "weights")
+    if weights.count() <= BROADCAST_WEIGHTS:
+        profiles = profiles.join(F.broadcast(weights.select(F.col("item_from").alias("item")).distinct()), "item", "left_semi").repartition("user")
+        weights = F.broadcast(weights)
     return (profiles.join(weights, profiles["item"] == weights["item_from"])
             .groupBy("user", F.col("item_to").alias("item"))
             .agg(F.sum(F.col("value") * F.col("weight")).alias("score")))
