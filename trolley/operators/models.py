@@ -19,7 +19,7 @@ from trolley.operators.metrics import accuracy, binary_cross_entropy
 from trolley.operators.ordering import number_rows
 from trolley.operators.sampling import split, undersample
 from trolley.operators.sparse import Linear, as_vectors, assemble_sparse, block as sparse_block, categories, column_kinds, from_vectors, logistic as logistic_fit, only, ridge, without_zeros
-from trolley.session import materialise
+from trolley.session import materialise, shared_dir
 
 # Regularisation grid and forest depth.
 GRID_C = (0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.01)
@@ -206,9 +206,11 @@ def fit_boosted(train: DataFrame, score: DataFrame, label: str, classes: Sequenc
 
 
 def fit_factors(ratings: DataFrame, rank: int = 50, iterations: int = 10, reg: float = 0.05, seed: int = 42) -> ALSModel:
-    """Latent factors of (user, item, rating); ids are contiguous integers."""
+    """Latent factors of (user, item, rating); ids are contiguous integers. Item factors are stored in each
+    iteration, and the shuffles before them are dropped then."""
+    shared_dir(ratings.sparkSession)  # without a checkpoint folder ALS keeps all shuffles
     return ALS(userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg,
-               coldStartStrategy="drop", seed=seed).fit(ratings)
+               coldStartStrategy="drop", seed=seed, checkpointInterval=1).fit(ratings)
 
 
 def clip_ratings(predicted: DataFrame, low: float, high: float, column: str = "prediction") -> DataFrame:
